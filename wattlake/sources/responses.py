@@ -22,18 +22,26 @@ RESPONSE_SCHEMA = T.StructType(
 )
 
 
-def read_responses(spark: SparkSession, root: str, partitioned: bool = True) -> DataFrame:
-    """Documents with their source file and, if laid out so, request keys."""
-    reader = spark.read.option("wholetext", True)
+def read_responses(
+    spark: SparkSession, root: str, partitioned: bool = True, whole_files: bool = True
+) -> DataFrame:
+    """Documents with their source file and, if laid out so, request keys.
+
+    ``whole_files``: one document per file (any formatting); otherwise one
+    document per line (JSON Lines, several responses in one file).
+    """
+    reader = spark.read.option("wholetext", whole_files)
     if partitioned:
         reader = reader.schema(RESPONSE_SCHEMA)
     df = reader.text(root)
     return df.withColumn("source_file", F.col("_metadata.file_path"))
 
 
-def stream_responses(spark: SparkSession, root: str, max_files_per_trigger: int | None = None):
+def stream_responses(
+    spark: SparkSession, root: str, max_files_per_trigger: int | None = None, whole_files: bool = True
+):
     """The same documents as a file stream (new files only, tracked by checkpoint)."""
-    reader = spark.readStream.schema(RESPONSE_SCHEMA).option("wholetext", True)
+    reader = spark.readStream.schema(RESPONSE_SCHEMA).option("wholetext", whole_files)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.format("text").load(root)

@@ -205,3 +205,49 @@ def event_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reading_columns() -> list[str]:
     return list(READING_COLUMNS)
+
+
+def land_event_responses(
+    spark: SparkSession,
+    sf_dir: str,
+    plan: DataFrame,
+    raw_root: str,
+    as_of,
+    value_shift: float = 0.0,
+    chunk_days: int = 90,
+) -> None:
+    """Play the fetcher: land the events of every planned chunk as responses.
+
+    Days after ``as_of`` are not available yet.  ``value_shift`` is added to
+    every value (a later run delivering corrected readings).  Documents are
+    written as JSON Lines under the chunk's folder keys.
+    """
+    from wattlake.operators.joins import join_small
+    from wattlake.operators.planning import chunk_of
+
+    # One row per meter; the chunk of a day follows by arithmetic, so there
+    # is no range join and no fan-out over a meter's chunks.
+    windows = plan.select(MP, "date_from", "date_to").distinct()
+    ev = table(spark, sf_dir, "events")
+    kind = F.col("event_type")
+    pts = ev.select(
+        F.col("user_id").cast("string").alias(MP),
+        "event_id",
+        F.to_date("ts").alias("day"),
+        _point(kind, F.col("value") + F.lit(value_shift), F.hour("ts")).alias("point"),
+        (kind == "error").alias("failed"),
+    ).where(F.col("day") <= F.lit(as_of).cast("date"))
+    placed = join_small(pts, windows, MP, "inner").where(
+        F.col("day").between(F.col("date_from"), F.col("date_to"))
+    )
+    start = F.date_add("date_from", chunk_of(F.col("day"), F.col("date_from"), chunk_days) * chunk_days)
+    placed = placed.withColumn("chunk_from", start).withColumn(
+        "chunk_to", F.least(F.date_add(start, chunk_days - 1), F.col("date_to"))
+    )
+    docs = pack_responses(placed.drop("date_from", "date_to"), ["chunk_from", "chunk_to"])
+    (
+        docs.select("metering_point", "chunk_from", "chunk_to", "value")
+        .write.mode("overwrite")
+        .partitionBy("metering_point", "chunk_from", "chunk_to")
+        .text(raw_root)
+    )
