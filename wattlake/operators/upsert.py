@@ -1,7 +1,10 @@
 """Write and upsert reading rows into the lake.
 
-Layout: ``metering_point=<id>/date=<UTC day>/part-*.parquet`` (snappy), rows
-sorted by timestamp inside each file.  The upsert key is the timestamp within
+Layouts (``schema.LAYOUTS``): ``meter_day`` is the source system's
+``metering_point=<id>/date=<UTC day>/`` with one file per meter and day;
+``day`` (the default for a new lake) is ``date=<UTC day>/`` with rows sorted
+by meter and timestamp, which keeps file counts proportional to data volume,
+not to meters x days.  Files are snappy Parquet, rows sorted by timestamp.  The upsert key is the timestamp within
 (meter, day): an existing row goes when the new batch has a row with the same
 meter and timestamp; every new row stays, duplicates inside the new batch
 included.  Only partitions the batch touches are rewritten (dynamic overwrite).
@@ -9,13 +12,14 @@ included.  Only partitions the batch touches are rewritten (dynamic overwrite).
 Plan of an upsert:
   1. new rows -> (min date, max date) of the batch: one small aggregate.
   2. lake scan pruned to that date range (static partition pruning), then
-     semi join on the (meter, day) keys the batch touches and anti join on
-     (meter, day, timestamp): the surviving old rows.
-  3. survivors UNION ALL new rows -> REBALANCE(meter, day) -> sort within
+     semi join on the partitions the batch touches and anti join on
+     (meter, day, timestamp): the surviving old rows.  In the ``day`` layout
+     a touched day is rewritten whole, so its other meters survive too.
+  3. survivors UNION ALL new rows -> REBALANCE(partition keys) -> sort within
      partitions -> partitioned write.  REBALANCE lets AQE split a hot
-     (meter, day) over several tasks and pack small ones together, so there
-     is one file per partition in the normal case and no straggler when one
-     meter holds a third of the rows.
+     partition over several tasks and pack small ones together, so there is
+     one file per partition in the normal case and no straggler when one
+     meter or day holds a third of the rows.
 Spark stages the output and swaps partitions only at job commit, so lost
 executors just rerun tasks; reading and dynamically overwriting the same
 root is safe because every read happens before the commit.
@@ -29,9 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattlake.functions.calendar import ntz_to_instant, utc_date
-from wattlake.schema import PARTITION_COLUMNS, READING_COLUMNS
-from wattlake.session import path_exists
-from wattlake.sources.lake import read_lake
+from wattlake.schema import DEFAULT_LAYOUT, LAYOUTS, PARTITION_COLUMNS, READING_COLUMNS
+from wattlake.sources.lake import detect_layout, read_lake
 
 MP = "metering_point_id"
 
@@ -61,34 +64,43 @@ def to_lake_rows(readings: DataFrame) -> DataFrame:
     return rows.withColumn("metering_point", F.col(MP)).withColumn("date", utc_date(rows, "timestamp"))
 
 
-def write_partitions(rows: DataFrame, root: str) -> None:
-    """Dynamic-overwrite the (meter, day) partitions present in ``rows``."""
+def write_partitions(rows: DataFrame, root: str, layout: str = DEFAULT_LAYOUT) -> None:
+    """Dynamic-overwrite the partitions present in ``rows``."""
+    keys = LAYOUTS[layout]
     (
-        rows.select(*READING_COLUMNS, *PARTITION_COLUMNS)
-        .hint("rebalance", *PARTITION_COLUMNS)
-        .sortWithinPartitions(*PARTITION_COLUMNS, "timestamp")
+        rows.select(*READING_COLUMNS, *keys)
+        .hint("rebalance", *keys)
+        .sortWithinPartitions(*keys, MP, "timestamp")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
-        .partitionBy(*PARTITION_COLUMNS)
+        .partitionBy(*keys)
         .parquet(root)
     )
 
 
-def surviving_rows(existing: DataFrame, new_rows: DataFrame) -> DataFrame:
+def surviving_rows(existing: DataFrame, new_rows: DataFrame, layout: str = DEFAULT_LAYOUT) -> DataFrame:
     """Old rows of the touched partitions whose timestamp the batch does not bring."""
-    touched = new_rows.select(*PARTITION_COLUMNS).distinct()
+    keys = LAYOUTS[layout]
+    touched = new_rows.select(*keys).distinct()
     replaced = new_rows.select(*PARTITION_COLUMNS, "timestamp").distinct()
-    return existing.join(touched, PARTITION_COLUMNS, "left_semi").join(
+    return existing.join(touched, keys, "left_semi").join(
         replaced, [*PARTITION_COLUMNS, "timestamp"], "left_anti"
     )
 
 
-def upsert_readings(spark: SparkSession, readings: DataFrame, root: str) -> int:
+def upsert_readings(
+    spark: SparkSession, readings: DataFrame, root: str, layout: str | None = None
+) -> int:
     """Upsert ``readings`` into the lake at ``root``; returns the rows written.
 
-    An empty batch writes nothing and touches no partition.
+    An existing lake keeps its layout; a new one gets ``layout`` (default
+    ``day``).  An empty batch writes nothing and touches no partition.
     """
+    found = detect_layout(spark, root)
+    if found and layout and found != layout:
+        raise ValueError(f"lake at {root} has layout {found}, not {layout}")
+    layout = found or layout or DEFAULT_LAYOUT
     new_rows = to_lake_rows(readings).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         bounds = new_rows.agg(
@@ -96,15 +108,15 @@ def upsert_readings(spark: SparkSession, readings: DataFrame, root: str) -> int:
         ).first()
         if not bounds["n"]:
             return 0
-        if path_exists(spark, root):
-            existing = read_lake(spark, root, check=False).where(
+        if found:
+            existing = read_lake(spark, root, check=False, layout=found).where(
                 F.col("date").between(F.lit(bounds["lo"]), F.lit(bounds["hi"]))
             )
-            out = surviving_rows(existing, new_rows).select(*READING_COLUMNS, *PARTITION_COLUMNS)
+            out = surviving_rows(existing, new_rows, layout).select(*READING_COLUMNS, *PARTITION_COLUMNS)
             out = out.unionByName(new_rows.select(*READING_COLUMNS, *PARTITION_COLUMNS))
         else:
             out = new_rows
-        write_partitions(out, root)
+        write_partitions(out, root, layout)
         return int(bounds["n"])
     finally:
         new_rows.unpersist()

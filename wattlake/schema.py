@@ -19,18 +19,31 @@ READING = T.StructType(
 
 READING_COLUMNS = [f.name for f in READING.fields]
 
-# Directory keys of the lake layout metering_point=<id>/date=<YYYY-MM-DD>/.
+# Directory keys of the lake.  Both layouts carry the columns
+# ``metering_point`` and ``date`` once read; they differ in which are folders.
+#   meter_day: metering_point=<id>/date=<YYYY-MM-DD>/  one folder per meter and
+#              day, the source system's layout (many small files at scale);
+#   day:       date=<YYYY-MM-DD>/  rows sorted by meter and time in each file,
+#              meter filters prune through Parquet statistics.
+LAYOUTS = {"meter_day": ["metering_point", "date"], "day": ["date"]}
+DEFAULT_LAYOUT = "day"
 PARTITION_COLUMNS = ["metering_point", "date"]
 
-# Read schema of the lake: file columns plus the partition columns.  Naming the
-# partition types here keeps ids such as "0012" as strings (no int inference).
-LAKE_SCHEMA = T.StructType(
-    READING.fields
-    + [
-        T.StructField("metering_point", T.StringType()),
-        T.StructField("date", T.DateType()),
-    ]
-)
+_PARTITION_FIELDS = {
+    "metering_point": T.StructField("metering_point", T.StringType()),
+    "date": T.StructField("date", T.DateType()),
+}
+
+
+def lake_schema(layout: str) -> T.StructType:
+    """Read schema of a lake: file columns plus the layout's folder keys.
+
+    Naming the key types here keeps ids such as "0012" as strings.
+    """
+    return T.StructType(READING.fields + [_PARTITION_FIELDS[c] for c in LAYOUTS[layout]])
+
+
+LAKE_SCHEMA = lake_schema("meter_day")
 
 # Ingestion state: one row per meter.
 STATE = T.StructType(

@@ -7,12 +7,28 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.schema import LAKE_SCHEMA, READING_COLUMNS
-from wattlake.session import path_exists
+from wattlake.schema import DEFAULT_LAYOUT, READING_COLUMNS, lake_schema
+from wattlake.session import hadoop_fs, path_exists
 
 
-def read_lake(spark: SparkSession, root: str, check: bool = True) -> DataFrame:
-    """All lake rows with the partition columns ``metering_point`` and ``date``.
+def detect_layout(spark: SparkSession, root: str) -> str | None:
+    """Layout of an existing lake from its first folder, None if it has none."""
+    fs, hpath = hadoop_fs(spark, root)
+    if not fs.exists(hpath):
+        return None
+    entries = fs.listStatusIterator(hpath)
+    while entries.hasNext():
+        status = entries.next()
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith("metering_point="):
+            return "meter_day"
+        if status.isDirectory() and name.startswith("date="):
+            return "day"
+    return None
+
+
+def read_lake(spark: SparkSession, root: str, check: bool = True, layout: str | None = None) -> DataFrame:
+    """All lake rows with the columns ``metering_point`` and ``date``.
 
     The schema is given, so no file is sampled for inference and numeric
     looking ids stay strings.  Any file name under the partition folders is
@@ -22,9 +38,14 @@ def read_lake(spark: SparkSession, root: str, check: bool = True) -> DataFrame:
     """
     if check and not path_exists(spark, root):
         raise FileNotFoundError(f"Data path does not exist: {root}")
-    df = spark.read.schema(LAKE_SCHEMA).option("recursiveFileLookup", "false").parquet(root)
+    layout = layout or detect_layout(spark, root) or DEFAULT_LAYOUT
+    df = spark.read.schema(lake_schema(layout)).parquet(root)
     if check and _file_count(df) == 0:
         raise FileNotFoundError(f"No Parquet files found under {root}")
+    if layout == "day":
+        # The meter key lives in the files; expose it under the folder name
+        # too, so callers filter one column whatever the layout.
+        df = df.withColumn("metering_point", df["metering_point_id"])
     return df
 
 
