@@ -58,17 +58,20 @@ def run_ingest(
     strict: bool = False,
     ingested_at: dt.datetime | None = None,
     whole_files: bool = True,
+    landing: str = "folders",
 ) -> IngestResult:
     """Ingest whatever the fetcher landed for the plan of ``as_of``.
 
     ``tracked`` is a one-column frame of meter ids.  ``ingested_at`` stamps the
     rows (default: midnight UTC of ``as_of``, so reruns are deterministic).
+    ``landing``/``whole_files`` say how the fetcher landed its responses
+    (``sources.responses``).
     """
     if ingested_at is None:
         ingested_at = dt.datetime.combine(as_of, dt.time(), tzinfo=dt.timezone.utc)
     state = read_state(spark, state_root)
     plan = load_plan(tracked, state, as_of, backfill_days, chunk_days)
-    docs = answering_documents(read_responses(spark, raw_root, whole_files=whole_files), plan)
+    docs = answering_documents(read_responses(spark, raw_root, whole_files=whole_files, landing=landing), plan)
     docs = docs.withColumn("parsed", F.try_parse_json("value").isNotNull()).persist(
         StorageLevel.MEMORY_AND_DISK
     )

@@ -1,9 +1,15 @@
-"""Landed API responses: one JSON document per file.
+"""Landed API responses.
 
-A fetcher lands each response it gets from the metering API under
-``<root>/metering_point=<id>/chunk_from=<day>/chunk_to=<day>/<any>.json``.
-The folder keys tell which request the file answers; the file is read whole
-(``wholetext``) so one row holds one document.
+Two landing formats are read:
+
+- ``folders``: one file per request under
+  ``<root>/metering_point=<id>/chunk_from=<day>/chunk_to=<day>/<any>.json``;
+  the folder keys tell which request the file answers, the file is read whole
+  (``wholetext``) so one row holds one document.
+- ``lines``: batched landing, any number of files under ``<root>``, one
+  request per line: ``<meter>\t<chunk_from>\t<chunk_to>\t<response JSON>``.
+  File count then follows data volume instead of the number of requests,
+  and a response that is not JSON still names its request.
 """
 
 from __future__ import annotations
@@ -22,14 +28,32 @@ RESPONSE_SCHEMA = T.StructType(
 )
 
 
+def _keyed_lines(df: DataFrame) -> DataFrame:
+    parts = F.split(F.col("value"), "\t", 4)
+    return df.select(
+        F.element_at(parts, 4).alias("value"),
+        F.element_at(parts, 1).alias("metering_point"),
+        F.element_at(parts, 2).try_cast("date").alias("chunk_from"),
+        F.element_at(parts, 3).try_cast("date").alias("chunk_to"),
+        F.col("_metadata.file_path").alias("source_file"),
+    )
+
+
 def read_responses(
-    spark: SparkSession, root: str, partitioned: bool = True, whole_files: bool = True
+    spark: SparkSession,
+    root: str,
+    partitioned: bool = True,
+    whole_files: bool = True,
+    landing: str = "folders",
 ) -> DataFrame:
-    """Documents with their source file and, if laid out so, request keys.
+    """Documents (``value``) with their source file and request keys.
 
-    ``whole_files``: one document per file (any formatting); otherwise one
-    document per line (JSON Lines, several responses in one file).
+    ``landing="folders"``: keys from the folders (if ``partitioned``);
+    ``whole_files`` reads one document per file, else one per line.
+    ``landing="lines"``: keyed lines, see the module doc.
     """
+    if landing == "lines":
+        return _keyed_lines(spark.read.text(root))
     reader = spark.read.option("wholetext", whole_files)
     if partitioned:
         reader = reader.schema(RESPONSE_SCHEMA)
@@ -38,11 +62,18 @@ def read_responses(
 
 
 def stream_responses(
-    spark: SparkSession, root: str, max_files_per_trigger: int | None = None, whole_files: bool = True
+    spark: SparkSession,
+    root: str,
+    max_files_per_trigger: int | None = None,
+    whole_files: bool = True,
+    landing: str = "folders",
 ):
     """The same documents as a file stream (new files only, tracked by checkpoint)."""
-    reader = spark.readStream.schema(RESPONSE_SCHEMA).option("wholetext", whole_files)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if landing == "lines":
+        return _keyed_lines(reader.schema("value string").format("text").load(root))
+    reader = reader.schema(RESPONSE_SCHEMA).option("wholetext", whole_files)
     df = reader.format("text").load(root)
     return df.withColumn("source_file", F.col("_metadata.file_path"))

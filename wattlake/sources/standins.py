@@ -215,12 +215,14 @@ def land_event_responses(
     as_of,
     value_shift: float = 0.0,
     chunk_days: int = 90,
+    landing: str = "lines",
 ) -> None:
     """Play the fetcher: land the events of every planned chunk as responses.
 
     Days after ``as_of`` are not available yet.  ``value_shift`` is added to
-    every value (a later run delivering corrected readings).  Documents are
-    written as JSON Lines under the chunk's folder keys.
+    every value (a later run delivering corrected readings).  ``landing`` is
+    ``lines`` (keyed JSON Lines) or ``folders`` (JSON Lines under the
+    chunk's folder keys).
     """
     from wattlake.operators.joins import join_small
     from wattlake.operators.planning import chunk_of
@@ -245,6 +247,10 @@ def land_event_responses(
         "chunk_to", F.least(F.date_add(start, chunk_days - 1), F.col("date_to"))
     )
     docs = pack_responses(placed.drop("date_from", "date_to"), ["chunk_from", "chunk_to"])
+    if landing == "lines":
+        line = F.concat_ws("\t", "metering_point", "chunk_from", "chunk_to", "value")
+        docs.select(line.alias("value")).write.mode("overwrite").text(raw_root)
+        return
     (
         docs.select("metering_point", "chunk_from", "chunk_to", "value")
         .write.mode("overwrite")

@@ -30,9 +30,10 @@ def start_stream_ingest(
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
     whole_files: bool = True,
+    landing: str = "folders",
 ):
     """Start the stream; returns the StreamingQuery."""
-    docs = stream_responses(spark, raw_root, max_files_per_trigger, whole_files)
+    docs = stream_responses(spark, raw_root, max_files_per_trigger, whole_files, landing)
     readings, _ = normalize_responses(docs, tracked=tracked, as_of=as_of)
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
