@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattlake.schema import DEFAULT_LAYOUT, READING_COLUMNS, lake_schema
 from wattlake.session import hadoop_fs, path_exists
@@ -27,7 +28,21 @@ def detect_layout(spark: SparkSession, root: str) -> str | None:
     return None
 
 
-def read_lake(spark: SparkSession, root: str, check: bool = True, layout: str | None = None) -> DataFrame:
+def _nanos_schema(layout: str) -> T.StructType:
+    fields = [
+        T.StructField(f.name, T.LongType()) if isinstance(f.dataType, T.TimestampType) else f
+        for f in lake_schema(layout).fields
+    ]
+    return T.StructType(fields)
+
+
+def read_lake(
+    spark: SparkSession,
+    root: str,
+    check: bool = True,
+    layout: str | None = None,
+    nanos: bool = False,
+) -> DataFrame:
     """All lake rows with the columns ``metering_point`` and ``date``.
 
     The schema is given, so no file is sampled for inference and numeric
@@ -35,11 +50,19 @@ def read_lake(spark: SparkSession, root: str, check: bool = True, layout: str |
     accepted (Spark writes part-*.parquet, other writers may not).
     With ``check``, a missing root or a root without files raises
     FileNotFoundError, as the reporting layer must not start on nothing.
+    ``nanos``: the files hold TIMESTAMP(NANOS) columns (pandas' default),
+    which Spark reads only as raw longs; they are turned into instants.
     """
     if check and not path_exists(spark, root):
         raise FileNotFoundError(f"Data path does not exist: {root}")
     layout = layout or detect_layout(spark, root) or DEFAULT_LAYOUT
-    df = spark.read.schema(lake_schema(layout)).parquet(root)
+    if nanos:
+        spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+        df = spark.read.schema(_nanos_schema(layout)).parquet(root)
+        for c in ("timestamp", "ingestion_timestamp"):
+            df = df.withColumn(c, F.timestamp_micros(F.floor(F.col(c) / 1000)))
+    else:
+        df = spark.read.schema(lake_schema(layout)).parquet(root)
     if check and _file_count(df) == 0:
         raise FileNotFoundError(f"No Parquet files found under {root}")
     if layout == "day":
@@ -62,6 +85,7 @@ def read_readings(
     date_to: dt.date | str | None = None,
     meters: list[str] | DataFrame | None = None,
     check: bool = True,
+    nanos: bool = False,
 ) -> DataFrame:
     """Reading rows for the views, with partition pruning.
 
@@ -70,7 +94,7 @@ def read_readings(
     from a query on the views, names a directory key and prunes partitions.
     ``date_from``/``date_to`` are inclusive and prune on the ``date`` key.
     """
-    df = read_lake(spark, root, check=check)
+    df = read_lake(spark, root, check=check, nanos=nanos)
     if date_from is not None:
         df = df.where(F.col("date") >= F.lit(date_from).cast("date"))
     if date_to is not None:
