@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -16,7 +17,13 @@ UTC = dt.timezone.utc
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session(app="wattlake-tests", master="local[4]", shuffle_partitions=8)
+    warehouse = tempfile.mkdtemp(prefix="wattlake-warehouse-")
+    session = build_session(
+        app="wattlake-tests",
+        master="local[4]",
+        shuffle_partitions=8,
+        extra={"spark.sql.warehouse.dir": warehouse},
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -54,10 +54,11 @@ def read_responses(
     """
     if landing == "lines":
         return _keyed_lines(spark.read.text(root))
-    reader = spark.read.option("wholetext", whole_files)
+    reader = spark.read
     if partitioned:
         reader = reader.schema(RESPONSE_SCHEMA)
-    df = reader.text(root)
+    # text() sets wholetext itself (default False), so it is passed here.
+    df = reader.text(root, wholetext=whole_files)
     return df.withColumn("source_file", F.col("_metadata.file_path"))
 
 
