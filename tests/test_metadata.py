@@ -55,3 +55,23 @@ def test_save_metadata_table(spark):
     meta = M.build_metadata(M.normalize_listing(_listing(spark, [("1", {"name": "n"}, 0)])))
     M.save_metadata_table(spark, meta, "wl_reporting.meter_metadata")
     assert spark.table("wl_reporting.meter_metadata").first().name == "n"
+
+
+def test_read_listing_keeps_order_and_validates(spark, tmp_path):
+    from wattlake.sources.listing import read_listing
+
+    good = tmp_path / "meters.json"
+    good.write_text(
+        '{"metering_points": {"571313": {"name": "Home", "floor": 2, "tags": {"a": 1}},'
+        ' "0012": null, "b": {"name": "Home"}}}'
+    )
+    rows = read_listing(spark, str(good)).orderBy("position").collect()
+    assert [r.metering_point_id for r in rows] == ["571313", "0012", "b"]
+    assert rows[0].attributes == {"name": "Home", "floor": "2", "tags": '{"a":1}'}
+    tracked = M.tracked_meters(M.normalize_listing(read_listing(spark, str(good)))).collect()
+    assert {(r.name, r.metering_point_id) for r in tracked} == {("Home", "b"), ("0012", "0012")}
+    for text in ('{"other": {}}', '{"metering_points": ["a"]}', '{"metering_points": {"a": "oops"}}'):
+        bad = tmp_path / "bad.json"
+        bad.write_text(text)
+        with pytest.raises(ValueError):
+            read_listing(spark, str(bad))
