@@ -43,8 +43,12 @@ def test_two_runs_with_overlap_reload(spark, tmp_path):
     _land(raw1, "m1", "2025-01-01", "2025-01-05", _doc("m1", "2025-01-02T00:00:00Z", [1, 2]))
     _land(raw1, "m1", "2025-01-06", "2025-01-10", _doc("m1", "2025-01-08T00:00:00Z", [3]))
     _land(raw1, "m2", "2025-01-01", "2025-01-05", "{ not json")
-    r1 = run_ingest(spark, raw1, lake, state, tracked, D(2025, 1, 10), backfill_days=9, chunk_days=5)
+    rejects = str(tmp_path / "rejects")
+    r1 = run_ingest(
+        spark, raw1, lake, state, tracked, D(2025, 1, 10), backfill_days=9, chunk_days=5, rejects_root=rejects
+    )
     assert r1.rows_written == 3
+    assert [r.reject_reason for r in spark.read.parquet(rejects).collect()] == ["unparsable_response"]
     st = {r.metering_point_id: r.last_ingestion_date for r in read_state(spark, state).collect()}
     assert st == {"m1": D(2025, 1, 10)}
     outcomes = {(r.metering_point_id, str(r.chunk_from)): r.outcome for r in r1.outcomes.collect()}

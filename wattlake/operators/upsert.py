@@ -65,18 +65,29 @@ def to_lake_rows(readings: DataFrame) -> DataFrame:
 
 
 def write_partitions(rows: DataFrame, root: str, layout: str = DEFAULT_LAYOUT) -> None:
-    """Dynamic-overwrite the partitions present in ``rows``."""
+    """Dynamic-overwrite the partitions present in ``rows``.
+
+    Timestamps are written as TIMESTAMP_MICROS (readable by any Parquet
+    reader), whatever the session's default (INT96 in stock Spark).
+    """
     keys = LAYOUTS[layout]
-    (
-        rows.select(*READING_COLUMNS, *keys)
-        .hint("rebalance", *keys)
-        .sortWithinPartitions(*keys, MP, "timestamp")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(*keys)
-        .parquet(root)
-    )
+    spark = rows.sparkSession
+    conf_key = "spark.sql.parquet.outputTimestampType"
+    previous = spark.conf.get(conf_key)
+    spark.conf.set(conf_key, "TIMESTAMP_MICROS")
+    try:
+        (
+            rows.select(*READING_COLUMNS, *keys)
+            .hint("rebalance", *keys)
+            .sortWithinPartitions(*keys, MP, "timestamp")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "snappy")
+            .partitionBy(*keys)
+            .parquet(root)
+        )
+    finally:
+        spark.conf.set(conf_key, previous)
 
 
 def surviving_rows(existing: DataFrame, new_rows: DataFrame, layout: str = DEFAULT_LAYOUT) -> DataFrame:

@@ -59,13 +59,16 @@ def run_ingest(
     ingested_at: dt.datetime | None = None,
     whole_files: bool = True,
     landing: str = "folders",
+    rejects_root: str | None = None,
 ) -> IngestResult:
     """Ingest whatever the fetcher landed for the plan of ``as_of``.
 
     ``tracked`` is a one-column frame of meter ids.  ``ingested_at`` stamps the
     rows (default: midnight UTC of ``as_of``, so reruns are deterministic).
     ``landing``/``whole_files`` say how the fetcher landed its responses
-    (``sources.responses``).
+    (``sources.responses``).  With ``rejects_root``, skipped points and
+    unparsable responses of this run are appended there as Parquet, stamped
+    with the run's ``as_of``.
     """
     if ingested_at is None:
         ingested_at = dt.datetime.combine(as_of, dt.time(), tzinfo=dt.timezone.utc)
@@ -78,6 +81,8 @@ def run_ingest(
     try:
         readings, rejects = normalize_responses(docs, tracked=tracked, as_of=ingested_at)
         written = upsert_readings(spark, readings, lake_root)
+        if rejects_root:
+            _write_rejects(docs, rejects, rejects_root, as_of)
         landed = docs.select(F.col("metering_point").alias(MP), "chunk_from", "chunk_to", "parsed")
         outcomes = chunk_outcomes(plan, landed)
         version = write_state(spark, advance_state(state, outcomes, strict), state_root)
@@ -86,6 +91,17 @@ def run_ingest(
     return IngestResult(written, version, plan, outcomes, rejects)
 
 
+def _write_rejects(docs: DataFrame, rejects: DataFrame, root: str, as_of: dt.date) -> None:
+    unparsable = docs.where(~F.col("parsed")).select(
+        F.col("metering_point").alias(MP),
+        F.lit(None).cast("string").alias("start_text"),
+        F.substring("value", 1, 1000).alias("point_json"),
+        F.lit("unparsable_response").alias("reject_reason"),
+    )
+    out = rejects.select(MP, "start_text", "point_json", "reject_reason").unionByName(unparsable)
+    out.withColumn("run_date", F.lit(as_of)).write.mode("append").partitionBy("run_date").parquet(root)
+
+
 def write_plan(plan: DataFrame, path: str) -> None:
     """Hand the plan to the fetcher as one small Parquet table."""
     plan.write.mode("overwrite").parquet(path)
