@@ -37,6 +37,11 @@ def join_small(
     Beyond the bound the plain join stays: a shuffled sort-merge join, which
     AQE may still turn into a broadcast from runtime sizes, and which its
     skew-join handling splits if one key is hot.
+
+    The check runs ``small`` once more, so it is used where ``small`` is cheap
+    to compute (metadata, state, the tracked set, the plan).  Where the small
+    side is the end of an expensive pipeline, the plain join is left to AQE,
+    which converts it only after measuring the shuffled side.
     """
     if fits_broadcast(small, max_rows, max_bytes):
         small = F.broadcast(small)

@@ -13,7 +13,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.operators.joins import join_small
 from wattlake.schema import STATE
 from wattlake.session import hadoop_fs
 
@@ -96,10 +95,16 @@ def state_updates(outcomes: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def merge_state(state: DataFrame | None, updates: DataFrame) -> DataFrame:
-    """Insert-or-update by meter: old rows not updated, plus the updates."""
+    """Insert-or-update by meter: old rows not updated, plus the updates.
+
+    ``updates`` comes out of the whole outcome pipeline, so it is not
+    computed twice for an up-front size check: the plain join lets AQE pick a
+    broadcast from the measured size of the shuffled updates (both sides are
+    one row per meter).
+    """
     if state is None:
         return updates.select(MP, "last_ingestion_date")
-    kept = join_small(state.select(MP, "last_ingestion_date"), updates.select(MP), MP, "left_anti")
+    kept = state.select(MP, "last_ingestion_date").join(updates.select(MP), MP, "left_anti")
     return kept.unionByName(updates.select(MP, "last_ingestion_date"))
 
 

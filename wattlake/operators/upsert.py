@@ -10,11 +10,14 @@ meter and timestamp; every new row stays, duplicates inside the new batch
 included.  Only partitions the batch touches are rewritten (dynamic overwrite).
 
 Plan of an upsert:
-  1. new rows -> (min date, max date) of the batch: one small aggregate.
-  2. lake scan pruned to that date range (static partition pruning), then
-     semi join on the partitions the batch touches and anti join on
-     (meter, day, timestamp): the surviving old rows.  In the ``day`` layout
-     a touched day is rewritten whole, so its other meters survive too.
+  1. new rows -> row count and the set of days of the batch: one small
+     aggregate (the day set is bounded by the batch's date range).
+  2. lake scan pruned to exactly those days (static partition pruning).  In
+     the ``day`` layout every read partition is a touched one, so a single
+     anti join on (meter, day, timestamp) gives the surviving old rows; a
+     touched day is rewritten whole, so its other meters survive too.  In
+     the ``meter_day`` layout a semi join on the touched (meter, day) pairs
+     comes first.
   3. survivors UNION ALL new rows -> REBALANCE(partition keys) -> sort within
      partitions -> partitioned write.  REBALANCE lets AQE split a hot
      partition over several tasks and pack small ones together, so there is
@@ -91,13 +94,15 @@ def write_partitions(rows: DataFrame, root: str, layout: str = DEFAULT_LAYOUT) -
 
 
 def surviving_rows(existing: DataFrame, new_rows: DataFrame, layout: str = DEFAULT_LAYOUT) -> DataFrame:
-    """Old rows of the touched partitions whose timestamp the batch does not bring."""
-    keys = LAYOUTS[layout]
-    touched = new_rows.select(*keys).distinct()
+    """Old rows of the touched partitions whose timestamp the batch does not bring.
+
+    ``existing`` must already be limited to the batch's days.
+    """
     replaced = new_rows.select(*PARTITION_COLUMNS, "timestamp").distinct()
-    return existing.join(touched, keys, "left_semi").join(
-        replaced, [*PARTITION_COLUMNS, "timestamp"], "left_anti"
-    )
+    if layout == "meter_day":
+        touched = new_rows.select(*LAYOUTS[layout]).distinct()
+        existing = existing.join(touched, LAYOUTS[layout], "left_semi")
+    return existing.join(replaced, [*PARTITION_COLUMNS, "timestamp"], "left_anti")
 
 
 def upsert_readings(
@@ -115,13 +120,13 @@ def upsert_readings(
     new_rows = to_lake_rows(readings).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         bounds = new_rows.agg(
-            F.count(F.lit(1)).alias("n"), F.min("date").alias("lo"), F.max("date").alias("hi")
+            F.count(F.lit(1)).alias("n"), F.collect_set("date").alias("days")
         ).first()
         if not bounds["n"]:
             return 0
         if found:
             existing = read_lake(spark, root, check=False, layout=found).where(
-                F.col("date").between(F.lit(bounds["lo"]), F.lit(bounds["hi"]))
+                F.col("date").isin(sorted(bounds["days"]))
             )
             out = surviving_rows(existing, new_rows, layout).select(*READING_COLUMNS, *PARTITION_COLUMNS)
             out = out.unionByName(new_rows.select(*READING_COLUMNS, *PARTITION_COLUMNS))
