@@ -1,4 +1,4 @@
-"""Lake writes, upserts and reads (reference storage tests and derived cases)."""
+"""Lake writes, upserts and reads (the source system's cases and derived ones)."""
 
 from __future__ import annotations
 

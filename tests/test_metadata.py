@@ -1,4 +1,4 @@
-"""Meter metadata (reference metadata/config tests)."""
+"""Meter metadata (the source system's cases)."""
 
 from __future__ import annotations
 

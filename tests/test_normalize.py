@@ -1,4 +1,4 @@
-"""Flattening of nested API responses (reference extract tests and derived cases)."""
+"""Flattening of nested API responses (the source system's cases and derived ones)."""
 
 from __future__ import annotations
 

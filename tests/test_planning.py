@@ -1,4 +1,4 @@
-"""Load windows, chunks and ingestion state (reference extract/main tests)."""
+"""Load windows, chunks and ingestion state (cases of the source system's tests)."""
 
 from __future__ import annotations
 

@@ -38,11 +38,40 @@ from wattlake.functions.parsing import (
     text_or_default,
 )
 from wattlake.operators.joins import join_small
-from wattlake.schema import DEFAULT_UNIT, READING_COLUMNS
+from wattlake.schema import (
+    API_DOCUMENT,
+    API_INTERVAL,
+    API_METER,
+    API_METER_ID,
+    API_NAME,
+    API_PERIOD,
+    API_POINT,
+    API_POSITION,
+    API_QUALITY,
+    API_QUANTITY,
+    API_RESULT,
+    API_START,
+    API_SUCCESS,
+    API_TIME_SERIES,
+    API_UNIT,
+    DEFAULT_UNIT,
+    READING_COLUMNS,
+)
 
 MP = "metering_point_id"
-QUANTITY = '$["out_Quantity.quantity"]'
-QUALITY = '$["out_Quantity.quality"]'
+
+# VARIANT paths into the document (bracket form for names with dots).
+RESULTS = f"$.{API_RESULT}"
+SUCCESS = f"$.{API_SUCCESS}"
+SERIES = f"$.{API_DOCUMENT}.{API_TIME_SERIES}"
+METER_ID = f"$.{API_METER}.{API_METER_ID}.{API_NAME}"
+UNIT = f"$.{API_UNIT}.{API_NAME}"
+PERIODS = f"$.{API_PERIOD}"
+START = f"$.{API_INTERVAL}.{API_START}"
+POINTS = f"$.{API_POINT}"
+POSITION = f"$.{API_POSITION}"
+QUANTITY = f'$["{API_QUANTITY}"]'
+QUALITY = f'$["{API_QUALITY}"]'
 
 
 def _as_of_column(as_of: dt.datetime | None) -> Column:
@@ -57,19 +86,17 @@ def _points(docs: DataFrame, keep: list[str], tracked: DataFrame | None) -> Data
     """One row per point of every successful result of a tracked meter."""
     parsed = docs.select(*keep, F.try_parse_json("value").alias("doc"))
     results = parsed.select(
-        *keep, F.explode(F.try_variant_get("doc", "$.result", "array<variant>")).alias("r")
+        *keep, F.explode(F.try_variant_get("doc", RESULTS, "array<variant>")).alias("r")
     )
-    ok = results.where(F.coalesce(F.try_variant_get("r", "$.success", "boolean"), F.lit(False)))
+    ok = results.where(F.coalesce(F.try_variant_get("r", SUCCESS, "boolean"), F.lit(False)))
     series = ok.select(
         *keep,
-        F.explode(
-            F.try_variant_get("r", "$.MyEnergyData_MarketDocument.TimeSeries", "array<variant>")
-        ).alias("t"),
+        F.explode(F.try_variant_get("r", SERIES, "array<variant>")).alias("t"),
     ).select(
         *keep,
-        F.try_variant_get("t", "$.MarketEvaluationPoint.mRID.name", "string").alias(MP),
-        text_or_default(F.col("t"), "$.measurement_Unit.name", DEFAULT_UNIT).alias("unit"),
-        F.try_variant_get("t", "$.Period", "array<variant>").alias("periods"),
+        F.try_variant_get("t", METER_ID, "string").alias(MP),
+        text_or_default(F.col("t"), UNIT, DEFAULT_UNIT).alias("unit"),
+        F.try_variant_get("t", PERIODS, "array<variant>").alias("periods"),
     )
     series = series.where(F.col(MP).isNotNull())
     if tracked is not None:
@@ -79,8 +106,8 @@ def _points(docs: DataFrame, keep: list[str], tracked: DataFrame | None) -> Data
         *keep,
         MP,
         "unit",
-        F.try_variant_get("p", "$.timeInterval.start", "string").alias("start_text"),
-        F.try_variant_get("p", "$.Point", "array<variant>").alias("pts"),
+        F.try_variant_get("p", START, "string").alias("start_text"),
+        F.try_variant_get("p", POINTS, "array<variant>").alias("pts"),
     )
     periods = periods.withColumn(
         "period_start",
@@ -88,7 +115,7 @@ def _points(docs: DataFrame, keep: list[str], tracked: DataFrame | None) -> Data
     )
     points = periods.select(*keep, MP, "unit", "start_text", "period_start", F.explode("pts").alias("pt"))
     pt = F.col("pt")
-    position = int_or_default(pt, "$.position", 0)
+    position = int_or_default(pt, POSITION, 0)
     return points.select(
         *keep,
         MP,

@@ -98,3 +98,22 @@ DEFAULT_BACKFILL_DAYS = 1095
 DEFAULT_CHUNK_DAYS = 90
 OVERLAP_DAYS = 7
 CORE_METADATA_FIELDS = ("id", "name", "type", "location", "description")
+
+# Field names of the metering API's response document, from the
+# outside in.  The two point keys contain a dot as part of the name.
+API_RESULT = "result"
+API_SUCCESS = "success"
+API_ERROR_TEXT = "errorText"
+API_DOCUMENT = "MyEnergyData_MarketDocument"
+API_TIME_SERIES = "TimeSeries"
+API_METER = "MarketEvaluationPoint"
+API_METER_ID = "mRID"
+API_NAME = "name"
+API_UNIT = "measurement_Unit"
+API_PERIOD = "Period"
+API_INTERVAL = "timeInterval"
+API_START = "start"
+API_POINT = "Point"
+API_POSITION = "position"
+API_QUANTITY = "out_Quantity.quantity"
+API_QUALITY = "out_Quantity.quality"

@@ -19,7 +19,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.schema import READING_COLUMNS
+from wattlake.schema import (
+    API_DOCUMENT,
+    API_ERROR_TEXT,
+    API_INTERVAL,
+    API_METER,
+    API_METER_ID,
+    API_NAME,
+    API_PERIOD,
+    API_POINT,
+    API_POSITION,
+    API_QUALITY,
+    API_QUANTITY,
+    API_RESULT,
+    API_START,
+    API_SUCCESS,
+    API_TIME_SERIES,
+    API_UNIT,
+    READING_COLUMNS,
+)
 
 MP = "metering_point_id"
 
@@ -135,9 +153,9 @@ def _point(kind: Column, value: Column, hour: Column) -> Column:
     )
     quality = F.when(kind == "purchase", F.lit(None).cast("string")).otherwise(kind)  # absent -> ""
     return F.struct(
-        (hour + 1).cast("string").alias("position"),
-        quantity.alias("out_Quantity.quantity"),
-        quality.alias("out_Quantity.quality"),
+        (hour + 1).cast("string").alias(API_POSITION),
+        quantity.alias(API_QUANTITY),
+        quality.alias(API_QUALITY),
     )
 
 
@@ -165,23 +183,23 @@ def pack_responses(points: DataFrame, chunk_cols: list[str]) -> DataFrame:
         F.concat(F.date_format(F.date_sub("day", 1), "yyyy-MM-dd"), F.lit("T23:00:00-01:00"))
     )
     series = F.struct(
-        F.struct(F.struct(F.col(MP).alias("name")).alias("mRID")).alias("MarketEvaluationPoint"),
-        F.when(odd_day, F.struct(F.lit("kWh").alias("name"))).alias("measurement_Unit"),
+        F.struct(F.struct(F.col(MP).alias(API_NAME)).alias(API_METER_ID)).alias(API_METER),
+        F.when(odd_day, F.struct(F.lit("kWh").alias(API_NAME))).alias(API_UNIT),
         F.array(
-            F.struct(F.struct(start.alias("start")).alias("timeInterval"), F.col("pts").alias("Point"))
-        ).alias("Period"),
+            F.struct(F.struct(start.alias(API_START)).alias(API_INTERVAL), F.col("pts").alias(API_POINT))
+        ).alias(API_PERIOD),
     )
-    document = F.struct(F.array(series).alias("TimeSeries"))
-    ok = F.struct(F.lit(True).alias("success"), document.alias("MyEnergyData_MarketDocument"))
+    document = F.struct(F.array(series).alias(API_TIME_SERIES))
+    ok = F.struct(F.lit(True).alias(API_SUCCESS), document.alias(API_DOCUMENT))
     bad = F.struct(
-        F.lit(False).alias("success"),
-        F.lit("no data").alias("errorText"),
-        document.alias("MyEnergyData_MarketDocument"),
+        F.lit(False).alias(API_SUCCESS),
+        F.lit("no data").alias(API_ERROR_TEXT),
+        document.alias(API_DOCUMENT),
     )
     results = F.when(F.col("failed") == 1, F.array(F.to_json(ok), F.to_json(bad))).otherwise(
         F.array(F.to_json(ok))
     )
-    body = F.concat(F.lit('{"result": ['), F.array_join(results, ", "), F.lit("]}"))
+    body = F.concat(F.lit(f'{{"{API_RESULT}": ['), F.array_join(results, ", "), F.lit("]}"))
     return docs.select(F.col(MP).alias("metering_point"), *chunk_cols, "day", "bucket", body.alias("value"))
 
 
