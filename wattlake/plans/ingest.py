@@ -5,7 +5,8 @@ lands each response as ``<raw>/metering_point=<id>/chunk_from=<d>/chunk_to=<d>/
 <name>.json``.  ``run_ingest`` then does the rest as Spark jobs over all
 meters at once:
 
-1. plan = tracked meters x state -> windows -> chunks;
+1. plan = tracked meters x state -> windows -> chunks, checkpointed (it is
+   reused by three later steps);
 2. documents answering this plan (a semi join on the folder keys, which also
    prunes the listing of other folders);
 3. normalise (VARIANT, built-ins only) and upsert into the lake;
@@ -27,6 +28,7 @@ from wattlake.operators.planning import load_plan
 from wattlake.operators.state import advance_state, chunk_outcomes, read_state, write_state
 from wattlake.operators.upsert import upsert_readings
 from wattlake.schema import DEFAULT_BACKFILL_DAYS, DEFAULT_CHUNK_DAYS
+from wattlake.session import checkpointed
 from wattlake.sources.responses import read_responses
 
 MP = "metering_point_id"
@@ -73,7 +75,7 @@ def run_ingest(
     if ingested_at is None:
         ingested_at = dt.datetime.combine(as_of, dt.time(), tzinfo=dt.timezone.utc)
     state = read_state(spark, state_root)
-    plan = load_plan(tracked, state, as_of, backfill_days, chunk_days)
+    plan = checkpointed(load_plan(tracked, state, as_of, backfill_days, chunk_days))
     docs = answering_documents(read_responses(spark, raw_root, whole_files=whole_files, landing=landing), plan)
     docs = docs.withColumn("parsed", F.try_parse_json("value").isNotNull()).persist(
         StorageLevel.MEMORY_AND_DISK

@@ -61,6 +61,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def checkpointed(df):
+    """Cut ``df``'s lineage: reliable checkpoint into the shared checkpoint folder.
+
+    Used for small frames that several later jobs reuse (the load plan), so
+    they are computed once and a lost executor re-reads them instead of
+    recomputing the whole lineage.  Never a local checkpoint.
+    """
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/wattlake/{name}-{uuid.uuid4().hex[:12]}"
