@@ -102,3 +102,17 @@ def test_stream_ingest_matches_batch(spark, tmp_path):
     q.awaitTermination(120)
     got = sorted((r.metering_point_id, r.consumption_value) for r in read_readings(spark, lake).collect())
     assert got == [("m1", 1.0), ("m1", 20.0), ("m2", 5.0)]
+
+
+def test_upsert_replay_is_idempotent_with_duplicates(spark, make_readings, tmp_path):
+    from tests.conftest import reading
+    from wattlake.operators.upsert import upsert_readings
+
+    lake = str(tmp_path / "lake")
+    t = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
+    upsert_readings(spark, make_readings([reading("m", t, 1.0)]), lake)
+    batch = make_readings([reading("m", t, 2.0), reading("m", t, 3.0)])
+    upsert_readings(spark, batch, lake)
+    once = sorted(r.consumption_value for r in read_readings(spark, lake).collect())
+    upsert_readings(spark, batch, lake)
+    assert sorted(r.consumption_value for r in read_readings(spark, lake).collect()) == once == [2.0, 3.0]

@@ -2,9 +2,13 @@
 
 New response files are picked up by the file source (its checkpoint is the
 record of what was read), normalised with the batch operator and upserted by
-``foreachBatch``.  foreachBatch is at-least-once: a replayed micro-batch is
-upserted again, which is idempotent because each batch is first reduced to
-one row per (meter, timestamp), the latest ingestion winning.
+``foreachBatch``.  foreachBatch is at-least-once; a replayed micro-batch is
+harmless because the upsert is idempotent: applying batch B again removes
+every lake row keyed by B's (meter, timestamp) pairs and adds B back, which
+is the state after the first application, duplicates inside B included.
+Each micro-batch is one upsert, as each fetched chunk is one save in the
+source system; ``dedup=True`` keeps only the latest ingestion per (meter,
+timestamp) inside a batch instead.
 LAG/LEAD views stay batch queries over the lake: Spark does not run
 non-time windows on streams.
 """
@@ -31,13 +35,14 @@ def start_stream_ingest(
     max_files_per_trigger: int | None = None,
     whole_files: bool = True,
     landing: str = "folders",
+    dedup: bool = False,
 ):
     """Start the stream; returns the StreamingQuery."""
     docs = stream_responses(spark, raw_root, max_files_per_trigger, whole_files, landing)
     readings, _ = normalize_responses(docs, tracked=tracked, as_of=as_of)
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        upsert_readings(batch.sparkSession, dedup_latest(batch), lake_root)
+        upsert_readings(batch.sparkSession, dedup_latest(batch) if dedup else batch, lake_root)
 
     writer = readings.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
