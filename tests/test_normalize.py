@@ -153,3 +153,28 @@ def test_unparsable_documents(spark):
     assert unparsable_documents(df).count() == 1
     readings, _ = normalize_responses(df, as_of=AS_OF)
     assert readings.count() == 0
+
+
+def test_success_follows_python_truthiness(spark):
+    docs = []
+    for flag in [True, False, "false", "", 1, 0, [], [1], {}, {"a": 1}, None]:
+        d = _response([_pt("1", "1")])
+        d["result"][0]["success"] = flag
+        docs.append(d)
+    missing = _response([_pt("1", "1")])
+    del missing["result"][0]["success"]
+    docs.append(missing)
+    rows, _ = _run(spark, docs)
+    # True, "false", 1, [1], {"a": 1} are truthy.
+    assert len(rows) == 5
+
+
+def test_numeric_meter_id_is_not_tracked(spark):
+    doc = _response([_pt("1", "1")])
+    doc["result"][0]["MyEnergyData_MarketDocument"]["TimeSeries"][0]["MarketEvaluationPoint"]["mRID"]["name"] = 42
+    assert _run(spark, [doc], tracked=("42",))[0] == []
+
+
+def test_boolean_quantity_is_one(spark):
+    rows, _ = _run(spark, [_response([_pt("1", True)])])
+    assert rows[0].consumption_value == 1.0

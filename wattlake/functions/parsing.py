@@ -24,6 +24,31 @@ def key_is_json_null(v: Column, path: str) -> Column:
     return F.coalesce(F.is_variant_null(F.try_variant_get(v, path, "variant")), F.lit(False))
 
 
+def json_type(v: Column, path: str) -> Column:
+    """Type name of the value at ``path`` (STRING, BIGINT, ARRAY<..>, VOID, ...)."""
+    return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
+
+
+def truthy(v: Column, path: str) -> Column:
+    """Python truthiness of the value at ``path``; FALSE when it is absent.
+
+    false/0/""/[]/{}/null are false, every other value is true.
+    """
+    kind = json_type(v, path)
+    return (
+        F.when(kind.isNull() | (kind == "VOID"), F.lit(False))
+        .when(kind == "STRING", F.length(F.try_variant_get(v, path, "string")) > 0)
+        .when(kind.startswith("ARRAY"), F.size(F.try_variant_get(v, path, "array<variant>")) > 0)
+        .when(kind.startswith("OBJECT"), kind != "OBJECT<>")
+        .otherwise(F.coalesce(F.try_variant_get(v, path, "double") != 0, F.lit(False)))
+    )
+
+
+def text_only(v: Column, path: str) -> Column:
+    """The value at ``path`` if it is a JSON string, else NULL."""
+    return F.when(json_type(v, path) == "STRING", F.try_variant_get(v, path, "string"))
+
+
 def text_or_default(v: Column, path: str, default: str) -> Column:
     """String at ``path``; ``default`` only when the key is absent."""
     return F.when(key_missing(v, path), F.lit(default)).otherwise(F.try_variant_get(v, path, "string"))
@@ -38,9 +63,16 @@ def int_or_default(v: Column, path: str, default: int) -> Column:
 
 
 def float_or_default(v: Column, path: str, default: float) -> Column:
-    """float(value); ``default`` when absent, NULL when null or malformed."""
+    """float(value); ``default`` when absent, NULL when null or malformed.
+
+    Numbers and booleans convert (true is 1.0), text must look like a number,
+    anything else (null, arrays, objects) is malformed.
+    """
     text = F.try_variant_get(v, path, "string")
-    parsed = F.when(text.rlike(NUMERIC_TEXT), F.try_variant_get(v, path, "double"))
+    parsed = F.when(
+        (json_type(v, path) == "BOOLEAN") | text.rlike(NUMERIC_TEXT),
+        F.try_variant_get(v, path, "double"),
+    )
     return F.when(key_missing(v, path), F.lit(default)).otherwise(parsed)
 
 

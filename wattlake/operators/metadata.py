@@ -56,7 +56,7 @@ def build_metadata(normalized: DataFrame) -> DataFrame:
         attrs["description"].alias("description"),
         F.when(F.size(extras) > 0, F.to_json(extras)).alias("extra_metadata"),
     )
-    return out.orderBy(MP)
+    return out
 
 
 def empty_metadata(spark: SparkSession) -> DataFrame:
@@ -71,7 +71,11 @@ def tracked_meters(normalized: DataFrame) -> DataFrame:
 def save_metadata_table(
     spark: SparkSession, metadata: DataFrame, table: str = "reporting.meter_metadata"
 ) -> None:
-    """Create or replace the metadata table in the catalog."""
+    """Create or replace the metadata table in the catalog, rows ordered by id.
+
+    The order is applied only here, where it lands in the files; joins and
+    views take the dimension unsorted (a sort would be a global shuffle).
+    """
     if "." in table:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.', 1)[0]}")
-    metadata.write.mode("overwrite").format("parquet").saveAsTable(table)
+    metadata.orderBy(MP).write.mode("overwrite").format("parquet").saveAsTable(table)

@@ -8,8 +8,8 @@ Shape of one document (dots inside the point keys are part of the names):
                                               "out_Quantity.quality"}}}}}
 
 Rules kept from the source system:
-- a result whose ``success`` is not true is skipped;
-- only tracked meters are kept;
+- a result whose ``success`` is not truthy (Python rules) is skipped;
+- only tracked meters are kept (a meter id must be a JSON string);
 - a period without a usable start is skipped;
 - a point whose position or quantity is present but null or malformed is
   skipped, its siblings are kept; a missing position is 0 (timestamp is one
@@ -35,7 +35,9 @@ from wattlake.functions.parsing import (
     float_or_default,
     int_or_default,
     parse_instant,
+    text_only,
     text_or_default,
+    truthy,
 )
 from wattlake.operators.joins import join_small
 from wattlake.schema import (
@@ -88,13 +90,13 @@ def _points(docs: DataFrame, keep: list[str], tracked: DataFrame | None) -> Data
     results = parsed.select(
         *keep, F.explode(F.try_variant_get("doc", RESULTS, "array<variant>")).alias("r")
     )
-    ok = results.where(F.coalesce(F.try_variant_get("r", SUCCESS, "boolean"), F.lit(False)))
+    ok = results.where(truthy(F.col("r"), SUCCESS))
     series = ok.select(
         *keep,
         F.explode(F.try_variant_get("r", SERIES, "array<variant>")).alias("t"),
     ).select(
         *keep,
-        F.try_variant_get("t", METER_ID, "string").alias(MP),
+        text_only(F.col("t"), METER_ID).alias(MP),
         text_or_default(F.col("t"), UNIT, DEFAULT_UNIT).alias("unit"),
         F.try_variant_get("t", PERIODS, "array<variant>").alias("periods"),
     )
