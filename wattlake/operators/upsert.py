@@ -30,6 +30,8 @@ root is safe because every read happens before the commit.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,18 +69,37 @@ def to_lake_rows(readings: DataFrame) -> DataFrame:
     return rows.withColumn("metering_point", F.col(MP)).withColumn("date", utc_date(rows, "timestamp"))
 
 
+@contextmanager
+def _session_conf(spark: SparkSession, settings: dict[str, str]):
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def write_partitions(rows: DataFrame, root: str, layout: str = DEFAULT_LAYOUT) -> None:
     """Dynamic-overwrite the partitions present in ``rows``.
 
     Timestamps are written as TIMESTAMP_MICROS (readable by any Parquet
     reader), whatever the session's default (INT96 in stock Spark).
+    In the ``meter_day`` layout the work of a write grows with the number of
+    folders, not bytes, so AQE must not coalesce the rebalanced partitions
+    by size (it would hand thousands of tiny folders to one task); skew
+    splitting stays on.
     """
     keys = LAYOUTS[layout]
     spark = rows.sparkSession
-    conf_key = "spark.sql.parquet.outputTimestampType"
-    previous = spark.conf.get(conf_key)
-    spark.conf.set(conf_key, "TIMESTAMP_MICROS")
-    try:
+    settings = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}
+    if layout == "meter_day":
+        settings["spark.sql.adaptive.coalescePartitions.enabled"] = "false"
+    with _session_conf(spark, settings):
         (
             rows.select(*READING_COLUMNS, *keys)
             .hint("rebalance", *keys)
@@ -89,8 +110,6 @@ def write_partitions(rows: DataFrame, root: str, layout: str = DEFAULT_LAYOUT) -
             .partitionBy(*keys)
             .parquet(root)
         )
-    finally:
-        spark.conf.set(conf_key, previous)
 
 
 def surviving_rows(existing: DataFrame, new_rows: DataFrame, layout: str = DEFAULT_LAYOUT) -> DataFrame:
