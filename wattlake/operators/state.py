@@ -8,8 +8,6 @@ place.  One writer at a time, as with any file table.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,6 +109,3 @@ def merge_state(state: DataFrame | None, updates: DataFrame) -> DataFrame:
 def advance_state(state: DataFrame | None, outcomes: DataFrame, strict: bool = False) -> DataFrame:
     return merge_state(state, state_updates(outcomes, strict))
 
-
-def state_row(metering_point_id: str, day: dt.date) -> tuple[str, dt.date]:
-    return (metering_point_id, day)

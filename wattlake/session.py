@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -91,7 +90,3 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     fs, hpath = hadoop_fs(spark, path)
     return bool(fs.exists(hpath))
 
-
-def local_path(path: str) -> str:
-    """Strip a file: scheme for the rare local-only helper (tests)."""
-    return path[len("file:"):] if path.startswith("file:") else os.fspath(path)

@@ -102,8 +102,12 @@ def read_readings(
     if isinstance(meters, list):
         df = df.where(F.col("metering_point").isin(meters))
     elif meters is not None:
-        keys = meters.select(F.col(meters.columns[0]).alias("metering_point"))
-        df = df.join(keys, "metering_point", "left_semi")
+        # A checked broadcast of the meter set lets dynamic partition pruning
+        # skip the folders of other meters in the meter/day layout.
+        from wattlake.operators.joins import join_small
+
+        keys = meters.select(F.col(meters.columns[0]).cast("string").alias("metering_point")).distinct()
+        df = join_small(df, keys, "metering_point", "left_semi")
     cols = [F.col("metering_point").alias("metering_point_id")] + [
         F.col(c) for c in READING_COLUMNS if c != "metering_point_id"
     ]

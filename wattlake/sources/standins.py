@@ -36,7 +36,6 @@ from wattlake.schema import (
     API_SUCCESS,
     API_TIME_SERIES,
     API_UNIT,
-    READING_COLUMNS,
 )
 
 MP = "metering_point_id"
@@ -221,9 +220,6 @@ def event_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_responses(pts, ["chunk_from", "chunk_to"])
 
 
-def reading_columns() -> list[str]:
-    return list(READING_COLUMNS)
-
 
 def land_event_responses(
     spark: SparkSession,
