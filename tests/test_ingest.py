@@ -116,3 +116,16 @@ def test_upsert_replay_is_idempotent_with_duplicates(spark, make_readings, tmp_p
     once = sorted(r.consumption_value for r in read_readings(spark, lake).collect())
     upsert_readings(spark, batch, lake)
     assert sorted(r.consumption_value for r in read_readings(spark, lake).collect()) == once == [2.0, 3.0]
+
+
+def test_run_folder_without_plan_filter(spark, tmp_path):
+    lake, raw = str(tmp_path / "lake"), str(tmp_path / "raw")
+    tracked = _tracked(spark, "m1")
+    _land(raw, "m1", "2025-01-01", "2025-01-05", _doc("m1", "2025-01-02T00:00:00Z", [1, 2]))
+    _land(raw, "m1", "2024-01-01", "2024-01-05", _doc("m1", "2024-01-02T00:00:00Z", [9]))
+    res = run_ingest(
+        spark, raw, lake, str(tmp_path / "state"), tracked, D(2025, 1, 5),
+        backfill_days=4, chunk_days=5, filter_to_plan=False,
+    )
+    assert res.rows_written == 3
+    assert {r.outcome for r in res.outcomes.collect()} == {"ok"}

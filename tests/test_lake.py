@@ -156,3 +156,14 @@ def test_dedup_latest(spark, make_readings):
     late = dt.datetime(2025, 1, 3, tzinfo=UTC)
     df = make_readings([reading("a", T0, 1.0, ingested=early), reading("a", T0, 2.0, ingested=late)])
     assert [r.consumption_value for r in dedup_latest(df).collect()] == [2.0]
+
+
+def test_meter_frame_filter_prunes_dynamically(spark, make_readings, lake):
+    rows = [reading(m, T0, 1.0) for m in ("a", "b", "c")]
+    upsert_readings(spark, make_readings(rows), lake, layout="meter_day")
+    meta = spark.createDataFrame([("a", "x"), ("b", "Home"), ("c", "y")], "metering_point_id string, location string")
+    wanted = meta.where(F.col("location") == "Home").select("metering_point_id")
+    df = read_readings(spark, lake, meters=wanted)
+    assert [r.metering_point_id for r in df.collect()] == ["b"]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()

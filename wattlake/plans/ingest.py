@@ -62,6 +62,7 @@ def run_ingest(
     whole_files: bool = True,
     landing: str = "folders",
     rejects_root: str | None = None,
+    filter_to_plan: bool = True,
 ) -> IngestResult:
     """Ingest whatever the fetcher landed for the plan of ``as_of``.
 
@@ -71,12 +72,19 @@ def run_ingest(
     (``sources.responses``).  With ``rejects_root``, skipped points and
     unparsable responses of this run are appended there as Parquet, stamped
     with the run's ``as_of``.
+    ``filter_to_plan`` keeps only documents that answer a planned chunk (a
+    semi join on the request keys: broadcast when the plan is proven small,
+    else a shuffle of the documents).  A fetcher that lands every run in a
+    folder of its own can turn it off; documents are then not joined at all
+    and outcomes still match chunks by their keys.
     """
     if ingested_at is None:
         ingested_at = dt.datetime.combine(as_of, dt.time(), tzinfo=dt.timezone.utc)
     state = read_state(spark, state_root)
     plan = checkpointed(load_plan(tracked, state, as_of, backfill_days, chunk_days))
-    docs = answering_documents(read_responses(spark, raw_root, whole_files=whole_files, landing=landing), plan)
+    docs = read_responses(spark, raw_root, whole_files=whole_files, landing=landing)
+    if filter_to_plan:
+        docs = answering_documents(docs, plan)
     docs = docs.withColumn("parsed", F.try_parse_json("value").isNotNull()).persist(
         StorageLevel.MEMORY_AND_DISK
     )

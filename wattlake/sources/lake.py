@@ -103,7 +103,8 @@ def read_readings(
         df = df.where(F.col("metering_point").isin(meters))
     elif meters is not None:
         # A checked broadcast of the meter set lets dynamic partition pruning
-        # skip the folders of other meters in the meter/day layout.
+        # skip the folders of other meters in the meter/day layout (Spark
+        # adds it when the meter set is itself selected by a predicate).
         from wattlake.operators.joins import join_small
 
         keys = meters.select(F.col(meters.columns[0]).cast("string").alias("metering_point")).distinct()
