@@ -178,3 +178,9 @@ def test_numeric_meter_id_is_not_tracked(spark):
 def test_boolean_quantity_is_one(spark):
     rows, _ = _run(spark, [_response([_pt("1", True)])])
     assert rows[0].consumption_value == 1.0
+
+
+def test_non_object_point_is_rejected_not_defaulted(spark):
+    rows, rejects = _run(spark, [_response([_pt("1", "1"), 5, None, ["x"]])])
+    assert [r.consumption_value for r in rows] == [1.0]
+    assert sorted(r.reject_reason for r in rejects) == ["bad_point"] * 3

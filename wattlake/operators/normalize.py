@@ -127,6 +127,9 @@ def _points(docs: DataFrame, keep: list[str], tracked: DataFrame | None) -> Data
         position.alias("position"),
         float_or_default(pt, QUANTITY, 0.0).alias("consumption_value"),
         text_or_default(pt, QUALITY, "").alias("quality"),
+        # Defaults apply to keys missing from an object; a point that is not
+        # an object at all (a bare number, a list) is malformed.
+        F.coalesce(F.schema_of_variant(pt).startswith("OBJECT"), F.lit(False)).alias("is_object"),
         F.to_json(pt).alias("point_json"),
     )
 
@@ -148,6 +151,7 @@ def normalize_responses(
     points = _points(docs, keep, tracked)
     reason = (
         F.when(F.col("period_start").isNull(), F.lit("bad_period_start"))
+        .when(~F.col("is_object"), F.lit("bad_point"))
         .when(F.col("position").isNull(), F.lit("bad_position"))
         .when(F.col("consumption_value").isNull(), F.lit("bad_quantity"))
     )
