@@ -160,8 +160,9 @@ def upsert_readings(
 def dedup_latest(readings: DataFrame) -> DataFrame:
     """Keep, per (meter, timestamp), the row with the latest ingestion time.
 
-    Not part of the default upsert (a batch keeps its own duplicates); used
-    where a batch may be replayed, such as the streaming ingest.
+    Not part of the default upsert (a batch keeps its own duplicates, as in
+    the source system); an option of the streaming ingest (``dedup=True``).
+    ``max_by`` aggregates partially, so a hot key is combined map-side.
     """
     latest = F.max_by(
         F.struct(*[c for c in READING_COLUMNS if c not in (MP, "timestamp")]), "ingestion_timestamp"
