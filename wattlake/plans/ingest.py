@@ -5,8 +5,8 @@ lands each response as ``<raw>/metering_point=<id>/chunk_from=<d>/chunk_to=<d>/
 <name>.json``.  ``run_ingest`` then does the rest as Spark jobs over all
 meters at once:
 
-1. plan = tracked meters x state -> windows -> chunks, checkpointed (it is
-   reused by three later steps);
+1. plan = tracked meters x state -> windows -> chunks; the tracked set and
+   the plan are checkpointed (each is reused by several later steps);
 2. documents answering this plan (a semi join on the folder keys, which also
    prunes the listing of other folders);
 3. normalise (VARIANT, built-ins only) and upsert into the lake;
@@ -81,6 +81,8 @@ def run_ingest(
     if ingested_at is None:
         ingested_at = dt.datetime.combine(as_of, dt.time(), tzinfo=dt.timezone.utc)
     state = read_state(spark, state_root)
+    # Both small frames are reused several times below: compute each once.
+    tracked = checkpointed(tracked.select(F.col(tracked.columns[0]).cast("string").alias(MP)).distinct())
     plan = checkpointed(load_plan(tracked, state, as_of, backfill_days, chunk_days))
     docs = read_responses(spark, raw_root, whole_files=whole_files, landing=landing)
     if filter_to_plan:
