@@ -129,3 +129,14 @@ def test_run_folder_without_plan_filter(spark, tmp_path):
     )
     assert res.rows_written == 3
     assert {r.outcome for r in res.outcomes.collect()} == {"ok"}
+
+
+def test_keyed_lines_with_missing_fields(spark, tmp_path):
+    from wattlake.sources.responses import read_responses
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    body = json.dumps(_doc("m1", "2025-01-02T00:00:00Z", [1]))
+    (raw / "part-0.txt").write_text(f"m1\t2025-01-01\t2025-01-05\t{body}\nbroken line\n")
+    rows = read_responses(spark, str(raw), landing="lines").orderBy("metering_point").collect()
+    assert [(r.metering_point, r.value is None) for r in rows] == [("broken line", True), ("m1", False)]

@@ -184,3 +184,9 @@ def test_non_object_point_is_rejected_not_defaulted(spark):
     rows, rejects = _run(spark, [_response([_pt("1", "1"), 5, None, ["x"]])])
     assert [r.consumption_value for r in rows] == [1.0]
     assert sorted(r.reject_reason for r in rejects) == ["bad_point"] * 3
+
+
+def test_out_of_range_position_rejected(spark):
+    rows, rejects = _run(spark, [_response([_pt("1", "1"), _pt("2000000000", "2")])])
+    assert [r.consumption_value for r in rows] == [1.0]
+    assert [r.reject_reason for r in rejects] == ["bad_position"]

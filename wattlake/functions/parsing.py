@@ -54,12 +54,20 @@ def text_or_default(v: Column, path: str, default: str) -> Column:
     return F.when(key_missing(v, path), F.lit(default)).otherwise(F.try_variant_get(v, path, "string"))
 
 
+# Largest |position| accepted, in hours (about 1,000 years): beyond it the
+# timestamp would leave the calendar range, where Python raises as well.
+MAX_POSITION_HOURS = 24 * 366 * 1000
+
+
 def int_or_default(v: Column, path: str, default: int) -> Column:
     """int(value) with the Python rules: "1.5" fails, " 1 " is 1, 1.7 is 1.
 
-    Returns NULL for a value that does not convert (the caller rejects it).
+    Returns NULL for a value that does not convert or is out of range (the
+    caller rejects it).
     """
-    return F.when(key_missing(v, path), F.lit(default)).otherwise(F.try_variant_get(v, path, "int"))
+    value = F.try_variant_get(v, path, "int")
+    in_range = F.abs(value.cast("long")) <= F.lit(MAX_POSITION_HOURS)
+    return F.when(key_missing(v, path), F.lit(default)).otherwise(F.when(in_range, value))
 
 
 def float_or_default(v: Column, path: str, default: float) -> Column:

@@ -30,11 +30,13 @@ RESPONSE_SCHEMA = T.StructType(
 
 def _keyed_lines(df: DataFrame) -> DataFrame:
     parts = F.split(F.col("value"), "\t", 4)
+    # try_element_at: a line with fewer fields yields NULLs (an unparsable
+    # response) instead of failing the job under ANSI mode.
     return df.select(
-        F.element_at(parts, 4).alias("value"),
-        F.element_at(parts, 1).alias("metering_point"),
-        F.element_at(parts, 2).try_cast("date").alias("chunk_from"),
-        F.element_at(parts, 3).try_cast("date").alias("chunk_to"),
+        F.try_element_at(parts, F.lit(4)).alias("value"),
+        F.try_element_at(parts, F.lit(1)).alias("metering_point"),
+        F.try_element_at(parts, F.lit(2)).try_cast("date").alias("chunk_from"),
+        F.try_element_at(parts, F.lit(3)).try_cast("date").alias("chunk_to"),
         F.col("_metadata.file_path").alias("source_file"),
     )
 
