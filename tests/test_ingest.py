@@ -140,3 +140,16 @@ def test_keyed_lines_with_missing_fields(spark, tmp_path):
     (raw / "part-0.txt").write_text(f"m1\t2025-01-01\t2025-01-05\t{body}\nbroken line\n")
     rows = read_responses(spark, str(raw), landing="lines").orderBy("metering_point").collect()
     assert [(r.metering_point, r.value is None) for r in rows] == [("broken line", True), ("m1", False)]
+
+
+def test_ingest_refreshes_rollup(spark, tmp_path):
+    from wattlake.operators.rollup import daily_from_rollup, read_rollup
+
+    lake, raw, roll = str(tmp_path / "lake"), str(tmp_path / "raw"), str(tmp_path / "rollup")
+    _land(raw, "m1", "2025-01-01", "2025-01-05", _doc("m1", "2025-01-02T00:00:00Z", [1, 2, 3]))
+    run_ingest(
+        spark, raw, lake, str(tmp_path / "state"), _tracked(spark, "m1"), D(2025, 1, 5),
+        backfill_days=4, chunk_days=5, rollup_root=roll,
+    )
+    got = [(r.reading_date, r.total_kwh, r.reading_count) for r in daily_from_rollup(read_rollup(spark, roll)).collect()]
+    assert got == [(D(2025, 1, 2), 6.0, 3)]

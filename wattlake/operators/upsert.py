@@ -132,6 +132,13 @@ def upsert_readings(
     An existing lake keeps its layout; a new one gets ``layout`` (default
     ``day``).  An empty batch writes nothing and touches no partition.
     """
+    return upsert_readings_days(spark, readings, root, layout)[0]
+
+
+def upsert_readings_days(
+    spark: SparkSession, readings: DataFrame, root: str, layout: str | None = None
+) -> tuple[int, list]:
+    """``upsert_readings`` that also returns the UTC days the batch touched."""
     found = detect_layout(spark, root)
     if found and layout and found != layout:
         raise ValueError(f"lake at {root} has layout {found}, not {layout}")
@@ -142,7 +149,7 @@ def upsert_readings(
             F.count(F.lit(1)).alias("n"), F.collect_set("date").alias("days")
         ).first()
         if not bounds["n"]:
-            return 0
+            return 0, []
         if found:
             existing = read_lake(spark, root, check=False, layout=found).where(
                 F.col("date").isin(sorted(bounds["days"]))
@@ -152,7 +159,7 @@ def upsert_readings(
         else:
             out = new_rows
         write_partitions(out, root, layout)
-        return int(bounds["n"])
+        return int(bounds["n"]), sorted(bounds["days"])
     finally:
         new_rows.unpersist()
 

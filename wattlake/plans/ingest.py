@@ -10,7 +10,8 @@ meters at once:
 2. documents answering this plan (a semi join on the folder keys, which also
    prunes the listing of other folders);
 3. normalise (VARIANT, built-ins only) and upsert into the lake;
-4. chunk outcomes -> per-meter any-ok -> new state version.
+4. optionally refresh the day-level rollup for the days written;
+5. chunk outcomes -> per-meter any-ok -> new state version.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from wattlake.operators.joins import join_small
 from wattlake.operators.normalize import normalize_responses
 from wattlake.operators.planning import load_plan
 from wattlake.operators.state import advance_state, chunk_outcomes, read_state, write_state
-from wattlake.operators.upsert import upsert_readings
+from wattlake.operators.rollup import refresh_rollup
+from wattlake.operators.upsert import upsert_readings_days
 from wattlake.schema import DEFAULT_BACKFILL_DAYS, DEFAULT_CHUNK_DAYS
 from wattlake.session import checkpointed
 from wattlake.sources.responses import read_responses
@@ -63,6 +65,7 @@ def run_ingest(
     landing: str = "folders",
     rejects_root: str | None = None,
     filter_to_plan: bool = True,
+    rollup_root: str | None = None,
 ) -> IngestResult:
     """Ingest whatever the fetcher landed for the plan of ``as_of``.
 
@@ -77,6 +80,8 @@ def run_ingest(
     else a shuffle of the documents).  A fetcher that lands every run in a
     folder of its own can turn it off; documents are then not joined at all
     and outcomes still match chunks by their keys.
+    With ``rollup_root``, the day-level rollup is refreshed for the days
+    this run wrote (``operators.rollup``).
     """
     if ingested_at is None:
         ingested_at = dt.datetime.combine(as_of, dt.time(), tzinfo=dt.timezone.utc)
@@ -92,7 +97,9 @@ def run_ingest(
     )
     try:
         readings, rejects = normalize_responses(docs, tracked=tracked, as_of=ingested_at)
-        written = upsert_readings(spark, readings, lake_root)
+        written, days = upsert_readings_days(spark, readings, lake_root)
+        if rollup_root:
+            refresh_rollup(spark, lake_root, rollup_root, days)
         if rejects_root:
             _write_rejects(docs, rejects, rejects_root, as_of)
         landed = docs.select(F.col("metering_point").alias(MP), "chunk_from", "chunk_to", "parsed")

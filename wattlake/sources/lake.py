@@ -86,19 +86,23 @@ def read_readings(
     meters: list[str] | DataFrame | None = None,
     check: bool = True,
     nanos: bool = False,
+    days: list[dt.date] | None = None,
 ) -> DataFrame:
     """Reading rows for the views, with partition pruning.
 
     ``metering_point_id`` is taken from the partition column (equal to the file
     column by construction of the writer), so a filter on it, from here or
     from a query on the views, names a directory key and prunes partitions.
-    ``date_from``/``date_to`` are inclusive and prune on the ``date`` key.
+    ``date_from``/``date_to`` are inclusive and prune on the ``date`` key;
+    ``days`` prunes to exactly those days.
     """
     df = read_lake(spark, root, check=check, nanos=nanos)
     if date_from is not None:
         df = df.where(F.col("date") >= F.lit(date_from).cast("date"))
     if date_to is not None:
         df = df.where(F.col("date") <= F.lit(date_to).cast("date"))
+    if days is not None:
+        df = df.where(F.col("date").isin(sorted(set(days))))
     if isinstance(meters, list):
         df = df.where(F.col("metering_point").isin(meters))
     elif meters is not None:
