@@ -153,3 +153,20 @@ def test_ingest_refreshes_rollup(spark, tmp_path):
     )
     got = [(r.reading_date, r.total_kwh, r.reading_count) for r in daily_from_rollup(read_rollup(spark, roll)).collect()]
     assert got == [(D(2025, 1, 2), 6.0, 3)]
+
+
+def test_nothing_landed_leaves_state(spark, tmp_path):
+    from wattlake.operators.state import write_state
+    from wattlake.schema import STATE
+
+    state = str(tmp_path / "state")
+    write_state(spark, spark.createDataFrame([("m1", D(2025, 1, 1))], STATE), state)
+    res = run_ingest(
+        spark, str(tmp_path / "no-such-run"), str(tmp_path / "lake"), state, _tracked(spark, "m1"),
+        D(2025, 1, 5), chunk_days=5,
+    )
+    assert res.rows_written == 0
+    assert {r.outcome for r in res.outcomes.collect()} == {"missing"}
+    assert [(r.metering_point_id, r.last_ingestion_date) for r in read_state(spark, state).collect()] == [
+        ("m1", D(2025, 1, 1))
+    ]

@@ -53,7 +53,13 @@ def read_responses(
     ``landing="folders"``: keys from the folders (if ``partitioned``);
     ``whole_files`` reads one document per file, else one per line.
     ``landing="lines"``: keyed lines, see the module doc.
+    A missing root means the fetcher landed nothing: no documents.
     """
+    from wattlake.session import path_exists
+
+    if not path_exists(spark, root):
+        empty = spark.createDataFrame([], RESPONSE_SCHEMA)
+        return empty.withColumn("source_file", F.lit(None).cast("string"))
     if landing == "lines":
         return _keyed_lines(spark.read.text(root))
     reader = spark.read
