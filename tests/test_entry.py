@@ -43,3 +43,17 @@ def test_query_matches_oracle(spark, duck, name):
     cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(cols)
     assert rows_of(df.columns, rows) == rows_of(cols, res.fetchall())
+
+
+@pytest.mark.parametrize("name", ["upsert_readings", "normalize_responses", "meter_data_stage", "load_plan"])
+def test_queries_ignore_session_time_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = E.queries()[name](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(E.oracle_sql()[name])
+    cols = [d[0] for d in res.description]
+    assert rows_of(df.columns, rows) == rows_of(cols, res.fetchall())

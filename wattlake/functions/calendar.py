@@ -31,6 +31,23 @@ def ntz_to_instant(col: Column) -> Column:
     return F.timestamp_micros(micros)
 
 
+def hour_start(col: Column) -> Column:
+    """Start of the hour of a TIMESTAMP_NTZ, staying TIMESTAMP_NTZ.
+
+    ``date_trunc`` would return an instant read in the session time zone.
+    """
+    return F.timestamp_add("HOUR", F.hour(col), F.to_date(col).cast("timestamp_ntz"))
+
+
+def ntz_literal(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a naive datetime (no time zone involved).
+
+    ``F.lit`` of a naive datetime builds an instant from the Python process's
+    local zone instead.
+    """
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def utc_date(df: DataFrame, column: str) -> Column:
     """Calendar date in UTC."""
     return F.to_date(utc_wall_clock(df, column))
