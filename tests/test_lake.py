@@ -167,3 +167,20 @@ def test_meter_frame_filter_prunes_dynamically(spark, make_readings, lake):
     assert [r.metering_point_id for r in df.collect()] == ["b"]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower()
+
+
+def test_view_date_filter_prunes_partitions(spark, make_readings, lake):
+    from wattlake.operators import views as V
+
+    rows = [reading("a", T0 + dt.timedelta(days=d, hours=h), 1.0) for d in range(4) for h in (0, 23)]
+    upsert_readings(spark, make_readings(rows), lake)
+    daily = V.daily_consumption(V.clean(V.stage(read_readings(spark, lake))))
+    one = daily.where(F.col("reading_date") == F.lit("2025-01-02").cast("date"))
+    assert [(r.reading_date, r.reading_count) for r in one.collect()] == [(dt.date(2025, 1, 2), 2)]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2025-01-02" in plan
+    # Above a LAG/LEAD window the filter must not prune the window's input.
+    flags = V.daily_quality_flags(daily).where(F.col("reading_date") == F.lit("2025-01-02").cast("date"))
+    assert flags.count() == 1
+    optimized = flags._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.index("Filter") < optimized.index("Window")

@@ -28,8 +28,14 @@ MP = "metering_point_id"
 
 
 def stage(readings: DataFrame) -> DataFrame:
-    """meter_data_stage: readings plus calendar fields of the UTC timestamp."""
+    """meter_data_stage: readings plus calendar fields of the UTC timestamp.
+
+    Readings from the lake carry their partition day ``date`` (equal to the
+    UTC day of the timestamp); it becomes ``reading_date``, so that a
+    ``reading_date`` filter on any view prunes lake partitions.
+    """
     ts = F.col("reading_ts_utc")
+    day = F.col("date") if "date" in readings.columns else F.to_date(ts)
     source = readings.select(
         F.col(MP),
         utc_wall_clock(readings, "timestamp").alias("reading_ts_utc"),
@@ -38,11 +44,12 @@ def stage(readings: DataFrame) -> DataFrame:
         "unit",
         "ingestion_timestamp",
         "ingestion_date",
+        *(["date"] if "date" in readings.columns else []),
     )
     return source.select(
         MP,
         "reading_ts_utc",
-        F.to_date(ts).alias("reading_date"),
+        day.alias("reading_date"),
         F.hour(ts).cast("bigint").alias("reading_hour"),
         iso_weekday(ts).alias("reading_weekday"),
         weekday_label(ts).alias("reading_weekday_label"),

@@ -90,6 +90,8 @@ def read_readings(
 ) -> DataFrame:
     """Reading rows for the views, with partition pruning.
 
+    Columns: the reading record plus ``date``, the partition day.
+
     ``metering_point_id`` is taken from the partition column (equal to the file
     column by construction of the writer), so a filter on it, from here or
     from a query on the views, names a directory key and prunes partitions.
@@ -116,4 +118,7 @@ def read_readings(
     cols = [F.col("metering_point").alias("metering_point_id")] + [
         F.col(c) for c in READING_COLUMNS if c != "metering_point_id"
     ]
-    return df.select(*cols)
+    # ``date`` (the folder key, the UTC day of ``timestamp`` by construction
+    # of the writer) rides along: the stage view takes ``reading_date`` from
+    # it, so a date filter on any view is a partition filter.
+    return df.select(*cols, F.col("date"))
