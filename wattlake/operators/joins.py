@@ -15,8 +15,13 @@ BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
 ) -> bool:
-    """Check rows and serialized bytes, reading at most ``max_rows + 1`` rows."""
-    probe = df.limit(max_rows + 1).agg(
+    """Check the row count and serialized bytes of ``df``.
+
+    One partial aggregate over ``df``: each task counts its own rows, no row
+    moves.  (A ``limit(n)`` probe would funnel up to n rows per partition
+    into a single task when the side turns out large.)
+    """
+    probe = df.agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))), F.lit(0)).alias("b"),
     )

@@ -3,7 +3,9 @@
 The JSON form of the meter configuration.  Each file is one document; meters
 keep their listing order (``position``), which decides the tracked set when
 two meters share a name.  Attribute values are read as text (nested values
-as their JSON).
+as their JSON).  A document is parsed by one task, so this is for
+configuration-sized listings; a large fleet hands its metadata over as rows
+(``schema.METADATA_SOURCE``), which every operator takes as well.
 """
 
 from __future__ import annotations
