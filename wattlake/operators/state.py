@@ -49,9 +49,9 @@ def write_state(spark: SparkSession, state: DataFrame, root: str) -> int:
     """Write ``state`` as the next version; returns the version number."""
     versions = _versions(spark, root)
     nxt = versions[-1] + 1 if versions else 0
-    state.select(MP, "last_ingestion_date").coalesce(1).write.mode("overwrite").parquet(
-        f"{root}/version={nxt}"
-    )
+    # No coalesce(1): a fleet's state has a row per meter and is written by
+    # as many tasks as the plan has (AQE packs small outputs anyway).
+    state.select(MP, "last_ingestion_date").write.mode("overwrite").parquet(f"{root}/version={nxt}")
     return nxt
 
 
