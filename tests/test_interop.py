@@ -20,11 +20,14 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data
 def _write_pandas_lake(root):
     ev = pd.read_parquet(f"{SF}/events.parquet")
     ev["metering_point_id"] = ev["user_id"].astype(str)
-    ev["timestamp"] = pd.to_datetime(ev["ts"]).dt.tz_localize("UTC")
+    # Frames built from Python datetimes hold nanoseconds, as upstream.
+    ev["timestamp"] = pd.to_datetime(ev["ts"]).dt.tz_localize("UTC").astype("datetime64[ns, UTC]")
     ev["consumption_value"] = ev["value"].where(ev["event_type"] != "error")
     ev["quality"] = ev["event_type"]
     ev["unit"] = "kWh"
-    ev["ingestion_timestamp"] = pd.Timestamp("2024-02-01", tz="UTC")
+    ev["ingestion_timestamp"] = pd.Series(pd.Timestamp("2024-02-01", tz="UTC"), index=ev.index).astype(
+        "datetime64[ns, UTC]"
+    )
     ev["ingestion_date"] = pd.Timestamp("2024-02-01").date()
     ev["day"] = ev["timestamp"].dt.date
     cols = ["metering_point_id", "timestamp", "consumption_value", "quality", "unit", "ingestion_timestamp", "ingestion_date"]
@@ -37,9 +40,12 @@ def _write_pandas_lake(root):
 
 
 def test_pandas_written_lake_daily_totals(spark, tmp_path):
+    from wattlake.sources.lake import detect_nanos
+
     root = str(tmp_path / "lake")
     _write_pandas_lake(root)
-    readings = read_readings(spark, root, nanos=True)
+    assert detect_nanos(spark, root)
+    readings = read_readings(spark, root)  # nanoseconds detected from a footer
     daily = V.daily_consumption(V.clean(V.stage(readings)))
     got = sorted((r.metering_point_id, r.reading_date, round(r.total_kwh, 6), r.reading_count) for r in daily.collect())
     con = duckdb.connect()
@@ -55,3 +61,22 @@ def test_pandas_written_lake_daily_totals(spark, tmp_path):
     ).fetchall()
     assert got == sorted(want)
     assert len(got) > 100
+
+
+def test_upsert_into_pandas_lake_needs_migration(spark, make_readings, tmp_path):
+    import datetime as dt
+
+    from tests.conftest import UTC, reading
+    from wattlake.operators.upsert import migrate_lake, upsert_readings
+
+    root, new_root = str(tmp_path / "lake"), str(tmp_path / "migrated")
+    _write_pandas_lake(root)
+    batch = make_readings([reading("7", dt.datetime(2024, 1, 3, 5, tzinfo=UTC), 99.0)])
+    with pytest.raises(ValueError):
+        upsert_readings(spark, batch, root)
+    migrate_lake(spark, root, new_root)
+    before = read_readings(spark, root).count()
+    assert read_readings(spark, new_root).count() == before
+    upsert_readings(spark, batch, new_root)
+    assert read_readings(spark, new_root).count() in (before, before + 1)
+    assert 99.0 in [r.consumption_value for r in read_readings(spark, new_root, meters=["7"]).collect()]

@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from wattlake.functions.calendar import ntz_to_instant, utc_date
 from wattlake.schema import DEFAULT_LAYOUT, LAYOUTS, PARTITION_COLUMNS, READING_COLUMNS
-from wattlake.sources.lake import detect_layout, read_lake
+from wattlake.sources.lake import detect_layout, detect_nanos, read_lake
 
 MP = "metering_point_id"
 
@@ -142,6 +142,11 @@ def upsert_readings_days(
     found = detect_layout(spark, root)
     if found and layout and found != layout:
         raise ValueError(f"lake at {root} has layout {found}, not {layout}")
+    if found and detect_nanos(spark, root):
+        raise ValueError(
+            f"lake at {root} holds nanosecond timestamps (written by pandas); "
+            "copy it once with migrate_lake() before upserting into it"
+        )
     layout = found or layout or DEFAULT_LAYOUT
     new_rows = to_lake_rows(readings).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -164,6 +169,18 @@ def upsert_readings_days(
         new_rows.unpersist()
 
 
+def migrate_lake(spark: SparkSession, source_root: str, target_root: str, layout: str | None = None) -> None:
+    """Rewrite a lake (e.g. one written by pandas) with wattlake's writer.
+
+    One partitioned rewrite; timestamps become microsecond instants and the
+    layout is kept unless ``layout`` says otherwise.
+    """
+    layout = layout or detect_layout(spark, source_root) or DEFAULT_LAYOUT
+    lake = read_lake(spark, source_root)
+    rows = lake.select(*READING_COLUMNS, *PARTITION_COLUMNS)
+    write_partitions(rows, target_root, layout)
+
+
 def dedup_latest(readings: DataFrame) -> DataFrame:
     """Keep, per (meter, timestamp), the row with the latest ingestion time.
 

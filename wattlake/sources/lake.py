@@ -28,6 +28,41 @@ def detect_layout(spark: SparkSession, root: str) -> str | None:
     return None
 
 
+def _first_data_file(spark: SparkSession, root: str):
+    fs, hpath = hadoop_fs(spark, root)
+    if not fs.exists(hpath):
+        return None
+    files = fs.listFiles(hpath, True)
+    while files.hasNext():
+        status = files.next()
+        path = status.getPath()
+        parts = path.toString()[len(hpath.toString()):].split("/")
+        if not any(p.startswith(("_", ".")) for p in parts if p):
+            return path
+    return None
+
+
+def detect_nanos(spark: SparkSession, root: str) -> bool:
+    """Whether the lake's files hold TIMESTAMP(NANOS) columns (pandas' default).
+
+    Reads the footer of one data file through the JVM, so it works on any
+    Hadoop file system without pulling data to the driver.
+    """
+    path = _first_data_file(spark, root)
+    if path is None:
+        return False
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(
+        jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(path, conf)
+    )
+    try:
+        schema = reader.getFooter().getFileMetaData().getSchema().toString()
+    finally:
+        reader.close()
+    return "NANOS" in schema.upper()
+
+
 def _nanos_schema(layout: str) -> T.StructType:
     fields = [
         T.StructField(f.name, T.LongType()) if isinstance(f.dataType, T.TimestampType) else f
@@ -41,7 +76,7 @@ def read_lake(
     root: str,
     check: bool = True,
     layout: str | None = None,
-    nanos: bool = False,
+    nanos: bool | None = None,
 ) -> DataFrame:
     """All lake rows with the columns ``metering_point`` and ``date``.
 
@@ -52,10 +87,13 @@ def read_lake(
     FileNotFoundError, as the reporting layer must not start on nothing.
     ``nanos``: the files hold TIMESTAMP(NANOS) columns (pandas' default),
     which Spark reads only as raw longs; they are turned into instants.
+    None (default) detects it from one file's footer.
     """
     if check and not path_exists(spark, root):
         raise FileNotFoundError(f"Data path does not exist: {root}")
     layout = layout or detect_layout(spark, root) or DEFAULT_LAYOUT
+    if nanos is None:
+        nanos = detect_nanos(spark, root)
     if nanos:
         spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
         df = spark.read.schema(_nanos_schema(layout)).parquet(root)
@@ -85,7 +123,7 @@ def read_readings(
     date_to: dt.date | str | None = None,
     meters: list[str] | DataFrame | None = None,
     check: bool = True,
-    nanos: bool = False,
+    nanos: bool | None = None,
     days: list[dt.date] | None = None,
 ) -> DataFrame:
     """Reading rows for the views, with partition pruning.
