@@ -17,6 +17,7 @@ def _listing(spark, rows):
 def test_extra_attributes_become_json(spark):
     meta = M.build_metadata(M.normalize_listing(_listing(spark, [("123", {"name": "Main", "custom": "value"}, 0)])))
     row = meta.first()
+    assert row.extra_metadata == '{"custom": "value"}'  # as json.dumps writes it
     assert json.loads(row.extra_metadata) == {"custom": "value"}
     assert row.name == "Main"
 
@@ -75,3 +76,13 @@ def test_read_listing_keeps_order_and_validates(spark, tmp_path):
         bad.write_text(text)
         with pytest.raises(ValueError):
             read_listing(spark, str(bad))
+
+
+def test_extra_metadata_text_matches_json_dumps(spark):
+    entries = [("b", "x"), ("a", 'say "hi"'), ("c", "tab\there"), ("d", None)]
+    df = spark.createDataFrame([("1", entries)], "metering_point_id string, e array<struct<k:string,v:string>>")
+    from pyspark.sql import functions as F
+
+    listing = df.select("metering_point_id", F.map_from_entries("e").alias("attributes"), F.lit(0).cast("long").alias("position"))
+    got = M.build_metadata(M.normalize_listing(listing)).first().extra_metadata
+    assert got == json.dumps(dict(entries))

@@ -6,7 +6,7 @@ Input rows are (metering_point_id, attributes map<string,string>, position),
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.schema import CORE_METADATA_FIELDS, METADATA
@@ -39,6 +39,25 @@ def require_meters(normalized: DataFrame) -> DataFrame:
     return normalized
 
 
+def extras_json(extras: Column) -> Column:
+    """JSON object text of a string map, laid out as Python's json.dumps does:
+    ``{"key": "value", "other": "x"}`` (listing order, ", " and ": ").
+    Non-ASCII text stays unescaped (json.dumps would write \\uXXXX).
+    """
+    entries = F.transform(
+        F.map_entries(extras),
+        lambda e: F.concat(_quoted(e["key"]), F.lit(": "), _quoted(e["value"])),
+    )
+    return F.concat(F.lit("{"), F.array_join(entries, ", "), F.lit("}"))
+
+
+def _quoted(value: Column) -> Column:
+    wrapped = F.to_json(F.array(value))  # ["..."] with JSON escaping
+    return F.when(value.isNull(), F.lit("null")).otherwise(
+        wrapped.substr(F.lit(2), F.length(wrapped) - F.lit(2))
+    )
+
+
 def build_metadata(normalized: DataFrame) -> DataFrame:
     """The metadata dimension: core fields plus leftover attributes as JSON.
 
@@ -54,7 +73,7 @@ def build_metadata(normalized: DataFrame) -> DataFrame:
         attrs["type"].alias("type"),
         attrs["location"].alias("location"),
         attrs["description"].alias("description"),
-        F.when(F.size(extras) > 0, F.to_json(extras)).alias("extra_metadata"),
+        F.when(F.size(extras) > 0, extras_json(extras)).alias("extra_metadata"),
     )
     return out
 
