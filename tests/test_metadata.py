@@ -79,7 +79,7 @@ def test_read_listing_keeps_order_and_validates(spark, tmp_path):
 
 
 def test_extra_metadata_text_matches_json_dumps(spark):
-    entries = [("b", "x"), ("a", 'say "hi"'), ("c", "tab\there"), ("d", None)]
+    entries = [("b", "x"), ("a", 'say "hi"'), ("c", "tab\there"), ("d", None), ("sted", "Kælder ø å"), ("e", "😀")]
     df = spark.createDataFrame([("1", entries)], "metering_point_id string, e array<struct<k:string,v:string>>")
     from pyspark.sql import functions as F
 

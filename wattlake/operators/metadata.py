@@ -41,8 +41,8 @@ def require_meters(normalized: DataFrame) -> DataFrame:
 
 def extras_json(extras: Column) -> Column:
     """JSON object text of a string map, laid out as Python's json.dumps does:
-    ``{"key": "value", "other": "x"}`` (listing order, ", " and ": ").
-    Non-ASCII text stays unescaped (json.dumps would write \\uXXXX).
+    ``{"key": "value", "other": "x"}`` (listing order, ", " and ": "), with
+    non-ASCII characters written as \\uXXXX escapes (UTF-16 units).
     """
     entries = F.transform(
         F.map_entries(extras),
@@ -51,10 +51,24 @@ def extras_json(extras: Column) -> Column:
     return F.concat(F.lit("{"), F.array_join(entries, ", "), F.lit("}"))
 
 
+def _ensure_ascii(text: Column) -> Column:
+    """Escape every non-ASCII character as \\uXXXX (lower-case hex of its
+    UTF-16 code units, so characters beyond the BMP become surrogate pairs)."""
+    return F.array_join(
+        F.transform(
+            F.split(text, ""),
+            lambda c: F.when(F.ascii(c) < 128, c).otherwise(
+                F.regexp_replace(F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(.{4})", r"\\u$1")
+            ),
+        ),
+        "",
+    )
+
+
 def _quoted(value: Column) -> Column:
     wrapped = F.to_json(F.array(value))  # ["..."] with JSON escaping
     return F.when(value.isNull(), F.lit("null")).otherwise(
-        wrapped.substr(F.lit(2), F.length(wrapped) - F.lit(2))
+        _ensure_ascii(wrapped.substr(F.lit(2), F.length(wrapped) - F.lit(2)))
     )
 
 
