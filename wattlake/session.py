@@ -46,8 +46,9 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and every executor sees it.
-    Only when it is unset (local tests) do we create one of our own.
+    On a cluster this is set by the deployment and every executor sees it;
+    if it is unset there, this raises rather than use a machine-local folder.
+    Only in local mode (tests) is a folder of our own created when unset.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -56,6 +57,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         existing = spark.sparkContext.getCheckpointDir()
         if existing:
             return existing.rsplit("/", 1)[0]
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(
+                "spark.checkpoint.dir is not set: point it at a folder every executor shares"
+            )
         root = tempfile.mkdtemp(prefix="wattlake-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
