@@ -68,7 +68,9 @@ def test_read_listing_keeps_order_and_validates(spark, tmp_path):
     )
     rows = read_listing(spark, str(good)).orderBy("position").collect()
     assert [r.metering_point_id for r in rows] == ["571313", "0012", "b"]
-    assert rows[0].attributes == {"name": "Home", "floor": "2", "tags": '{"a":1}'}
+    meta = {r.metering_point_id: r for r in M.build_metadata(M.normalize_listing(read_listing(spark, str(good)))).collect()}
+    assert meta["571313"].extra_metadata == '{"floor": 2, "tags": {"a":1}}'
+    assert meta["0012"].name == "0012" and meta["0012"].extra_metadata is None
     tracked = M.tracked_meters(M.normalize_listing(read_listing(spark, str(good)))).collect()
     assert {(r.name, r.metering_point_id) for r in tracked} == {("Home", "b"), ("0012", "0012")}
     for text in ('{"other": {}}', '{"metering_points": ["a"]}', '{"metering_points": {"a": "oops"}}'):
@@ -86,3 +88,15 @@ def test_extra_metadata_text_matches_json_dumps(spark):
     listing = df.select("metering_point_id", F.map_from_entries("e").alias("attributes"), F.lit(0).cast("long").alias("position"))
     got = M.build_metadata(M.normalize_listing(listing)).first().extra_metadata
     assert got == json.dumps(dict(entries))
+
+
+def test_typed_listing_matches_json_dumps(spark, tmp_path):
+    from wattlake.sources.listing import read_listing
+
+    attrs = {"name": 0, "type": "pv", "floor": 2, "ok": True, "ratio": 2.5, "note": None, "sted": "Kælder"}
+    path = tmp_path / "typed.json"
+    path.write_text(json.dumps({"metering_points": {"m1": attrs}}))
+    row = M.build_metadata(M.normalize_listing(read_listing(spark, str(path)))).first()
+    extras = {k: v for k, v in attrs.items() if k not in ("name", "type")}
+    assert row.extra_metadata == json.dumps(extras)
+    assert (row.name, row.type) == ("m1", "pv")  # a falsy name falls back to the id

@@ -1,26 +1,43 @@
 """Meter metadata: normalise the listing, build the dimension, tracked set.
 
-Input rows are (metering_point_id, attributes map<string,string>, position),
-``position`` being the order of the meter in its source listing.
+Input rows are (metering_point_id, attributes, position), ``position`` being
+the order of the meter in its source listing.  ``attributes`` is a
+map<string,string> (rows) or a map<string,variant> (a JSON listing, which
+keeps value types, so ``floor: 2`` stays a number in ``extra_metadata``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from wattlake.functions.parsing import truthy
 
 from wattlake.schema import CORE_METADATA_FIELDS, METADATA
 
 MP = "metering_point_id"
 
 
+def _typed(df: DataFrame) -> bool:
+    """Whether the attribute values are VARIANT (typed) rather than text."""
+    return isinstance(df.schema["attributes"].dataType.valueType, T.VariantType)
+
+
+def _text(value: Column, typed: bool) -> Column:
+    """An attribute value as text (a number 2 becomes "2")."""
+    return F.try_variant_get(value, "$", "string") if typed else value
+
+
 def normalize_listing(listing: DataFrame) -> DataFrame:
     """Trim ids, drop blank ones, NULL attributes -> empty, name falls back to id.
 
-    A name that is absent, NULL or empty becomes the id.  An id listed twice
-    keeps its first position and its last attributes.
+    A name that is absent or falsy (NULL, empty, 0, false) becomes the id.
+    An id listed twice keeps its first position and its last attributes.
     """
-    attrs = F.coalesce(F.col("attributes"), F.create_map().cast("map<string,string>"))
+    typed = _typed(listing)
+    map_type = listing.schema["attributes"].dataType.simpleString()
+    attrs = F.coalesce(F.col("attributes"), F.create_map().cast(map_type))
     rows = listing.select(
         F.trim(F.col(MP).cast("string")).alias(MP),
         attrs.alias("attributes"),
@@ -29,7 +46,11 @@ def normalize_listing(listing: DataFrame) -> DataFrame:
     rows = rows.groupBy(MP).agg(
         F.max_by("attributes", "position").alias("attributes"), F.min("position").alias("position")
     )
-    name = F.coalesce(F.nullif(F.col("attributes")["name"], F.lit("")), F.col(MP))
+    given = F.col("attributes")["name"]
+    if typed:
+        name = F.when(truthy(given, "$"), _text(given, True)).otherwise(F.col(MP))
+    else:
+        name = F.coalesce(F.nullif(given, F.lit("")), F.col(MP))
     return rows.select(MP, "attributes", "position", name.alias("name"))
 
 
@@ -39,14 +60,17 @@ def require_meters(normalized: DataFrame) -> DataFrame:
     return normalized
 
 
-def extras_json(extras: Column) -> Column:
-    """JSON object text of a string map, laid out as Python's json.dumps does:
-    ``{"key": "value", "other": "x"}`` (listing order, ", " and ": "), with
+def extras_json(extras: Column, typed: bool = False) -> Column:
+    """JSON object text of a map, laid out as Python's json.dumps does:
+    ``{"key": "value", "other": 2}`` (listing order, ", " and ": "), with
     non-ASCII characters written as \\uXXXX escapes (UTF-16 units).
+    Typed (VARIANT) values keep their JSON type; nested objects and arrays
+    are written compactly.
     """
+    value = (lambda v: _ensure_ascii(F.coalesce(F.to_json(v), F.lit("null")))) if typed else _quoted
     entries = F.transform(
         F.map_entries(extras),
-        lambda e: F.concat(_quoted(e["key"]), F.lit(": "), _quoted(e["value"])),
+        lambda e: F.concat(_quoted(e["key"]), F.lit(": "), value(e["value"])),
     )
     return F.concat(F.lit("{"), F.array_join(entries, ", "), F.lit("}"))
 
@@ -78,16 +102,17 @@ def build_metadata(normalized: DataFrame) -> DataFrame:
     extra_metadata is the JSON object of the non-core attributes in listing
     order, NULL when there are none.
     """
+    typed = _typed(normalized)
     core = F.array(*[F.lit(k) for k in CORE_METADATA_FIELDS])
     extras = F.map_filter("attributes", lambda k, v: ~F.array_contains(core, k))
     attrs = F.col("attributes")
     out = normalized.select(
         F.col(MP),
-        F.coalesce(F.col("name"), attrs["name"], F.col(MP)).alias("name"),
-        attrs["type"].alias("type"),
-        attrs["location"].alias("location"),
-        attrs["description"].alias("description"),
-        F.when(F.size(extras) > 0, extras_json(extras)).alias("extra_metadata"),
+        F.coalesce(F.col("name"), _text(attrs["name"], typed), F.col(MP)).alias("name"),
+        _text(attrs["type"], typed).alias("type"),
+        _text(attrs["location"], typed).alias("location"),
+        _text(attrs["description"], typed).alias("description"),
+        F.when(F.size(extras) > 0, extras_json(extras, typed)).alias("extra_metadata"),
     )
     return out
 

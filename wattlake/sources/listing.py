@@ -2,8 +2,7 @@
 
 The JSON form of the meter configuration.  Each file is one document; meters
 keep their listing order (``position``), which decides the tracked set when
-two meters share a name.  Attribute values are read as text (nested values
-as their JSON).  A document is parsed by one task, so this is for
+two meters share a name.  Attribute values keep their JSON types (VARIANT).  A document is parsed by one task, so this is for
 configuration-sized listings; a large fleet hands its metadata over as rows
 (``schema.METADATA_SOURCE``), which every operator takes as well.
 """
@@ -13,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-LISTING_DDL = "struct<metering_points: map<string, map<string, string>>>"
+# Values are VARIANT: their JSON types survive (numbers, booleans, nested).
+LISTING_DDL = "struct<metering_points: map<string, map<string, variant>>>"
 
 
 def read_listing(spark: SparkSession, path: str) -> DataFrame:
