@@ -93,15 +93,20 @@ def test_stream_ingest_matches_batch(spark, tmp_path):
     as_of = dt.datetime(2025, 1, 20, tzinfo=dt.timezone.utc)
     _land(raw, "m1", "2025-01-01", "2025-01-05", _doc("m1", "2025-01-02T00:00:00Z", [1, 2]))
     _land(raw, "m2", "2025-01-01", "2025-01-05", _doc("m2", "2025-01-02T00:00:00Z", [5]))
-    q = start_stream_ingest(spark, raw, lake, ckpt, tracked=tracked, as_of=as_of)
+    roll = str(tmp_path / "rollup")
+    q = start_stream_ingest(spark, raw, lake, ckpt, tracked=tracked, as_of=as_of, rollup_root=roll)
     q.awaitTermination(120)
     assert read_readings(spark, lake).count() == 3
     # A late correction lands as a new file: it replaces the hour it covers.
     _land(raw, "m1", "2025-01-01", "2025-01-06", _doc("m1", "2025-01-02T01:00:00Z", [20]))
-    q = start_stream_ingest(spark, raw, lake, ckpt, tracked=tracked, as_of=as_of)
+    q = start_stream_ingest(spark, raw, lake, ckpt, tracked=tracked, as_of=as_of, rollup_root=roll)
     q.awaitTermination(120)
     got = sorted((r.metering_point_id, r.consumption_value) for r in read_readings(spark, lake).collect())
     assert got == [("m1", 1.0), ("m1", 20.0), ("m2", 5.0)]
+    from wattlake.operators.rollup import daily_from_rollup, read_rollup
+
+    totals = {r.metering_point_id: r.total_kwh for r in daily_from_rollup(read_rollup(spark, roll)).collect()}
+    assert totals == {"m1": 21.0, "m2": 5.0}
 
 
 def test_upsert_replay_is_idempotent_with_duplicates(spark, make_readings, tmp_path):

@@ -20,7 +20,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from wattlake.operators.normalize import normalize_responses
-from wattlake.operators.upsert import dedup_latest, upsert_readings
+from wattlake.operators.rollup import refresh_rollup
+from wattlake.operators.upsert import dedup_latest, upsert_readings_days
 from wattlake.sources.responses import stream_responses
 
 
@@ -36,13 +37,21 @@ def start_stream_ingest(
     whole_files: bool = True,
     landing: str = "folders",
     dedup: bool = False,
+    rollup_root: str | None = None,
 ):
-    """Start the stream; returns the StreamingQuery."""
+    """Start the stream; returns the StreamingQuery.
+
+    With ``rollup_root``, every micro-batch also refreshes the day-level
+    rollup for the days it wrote (idempotent, like the upsert).
+    """
     docs = stream_responses(spark, raw_root, max_files_per_trigger, whole_files, landing)
     readings, _ = normalize_responses(docs, tracked=tracked, as_of=as_of)
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        upsert_readings(batch.sparkSession, dedup_latest(batch) if dedup else batch, lake_root)
+        spark_ = batch.sparkSession
+        _, days = upsert_readings_days(spark_, dedup_latest(batch) if dedup else batch, lake_root)
+        if rollup_root:
+            refresh_rollup(spark_, lake_root, rollup_root, days)
 
     writer = readings.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
