@@ -74,7 +74,12 @@ def test_upsert_into_pandas_lake_needs_migration(spark, make_readings, tmp_path)
     batch = make_readings([reading("7", dt.datetime(2024, 1, 3, 5, tzinfo=UTC), 99.0)])
     with pytest.raises(ValueError):
         upsert_readings(spark, batch, root)
-    migrate_lake(spark, root, new_root)
+    migrate_lake(spark, root, new_root, layout="day")  # and move to the scalable layout
+    from wattlake.sources.lake import detect_layout
+
+    assert detect_layout(spark, new_root) == "day"
+    with pytest.raises(ValueError):
+        upsert_readings(spark, batch, new_root, layout="meter_day")
     before = read_readings(spark, root).count()
     assert read_readings(spark, new_root).count() == before
     upsert_readings(spark, batch, new_root)
