@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattlake.functions.parsing import truthy
-
 from wattlake.schema import CORE_METADATA_FIELDS, METADATA
 
 MP = "metering_point_id"
