@@ -128,3 +128,12 @@ def test_state_versions_round_trip(spark, tmp_path):
     st = read_state(spark, root)
     assert lookup_state(st, "m").first().last_ingestion_date == D(2025, 1, 1)
     assert lookup_state(st, "zz").count() == 0
+
+
+def test_write_plan_round_trip(spark, tmp_path):
+    from wattlake.plans.ingest import write_plan
+
+    plan = load_plan(_meters(spark, "m"), None, D(2025, 3, 31), backfill_days=89, chunk_days=30)
+    write_plan(plan, str(tmp_path / "plan"))
+    back = spark.read.parquet(str(tmp_path / "plan"))
+    assert sorted(back.collect()) == sorted(plan.collect())
