@@ -69,7 +69,7 @@ def test_read_listing_keeps_order_and_validates(spark, tmp_path):
     rows = read_listing(spark, str(good)).orderBy("position").collect()
     assert [r.metering_point_id for r in rows] == ["571313", "0012", "b"]
     meta = {r.metering_point_id: r for r in M.build_metadata(M.normalize_listing(read_listing(spark, str(good)))).collect()}
-    assert meta["571313"].extra_metadata == '{"floor": 2, "tags": {"a":1}}'
+    assert meta["571313"].extra_metadata == '{"floor": 2, "tags": {"a": 1}}'
     assert meta["0012"].name == "0012" and meta["0012"].extra_metadata is None
     tracked = M.tracked_meters(M.normalize_listing(read_listing(spark, str(good)))).collect()
     assert {(r.name, r.metering_point_id) for r in tracked} == {("Home", "b"), ("0012", "0012")}
@@ -93,7 +93,10 @@ def test_extra_metadata_text_matches_json_dumps(spark):
 def test_typed_listing_matches_json_dumps(spark, tmp_path):
     from wattlake.sources.listing import read_listing
 
-    attrs = {"name": 0, "type": "pv", "floor": 2, "ok": True, "ratio": 2.5, "note": None, "sted": "Kælder"}
+    attrs = {
+        "name": 0, "type": "pv", "floor": 2, "ok": True, "ratio": 2.5, "note": None, "sted": "Kælder",
+        "nested": {"a": [1, 2, {"c": "x, y: z \"q\""}], "b": {}}, "list": [],
+    }
     path = tmp_path / "typed.json"
     path.write_text(json.dumps({"metering_points": {"m1": attrs}}))
     row = M.build_metadata(M.normalize_listing(read_listing(spark, str(path)))).first()

@@ -63,10 +63,15 @@ def extras_json(extras: Column, typed: bool = False) -> Column:
     """JSON object text of a map, laid out as Python's json.dumps does:
     ``{"key": "value", "other": 2}`` (listing order, ", " and ": "), with
     non-ASCII characters written as \\uXXXX escapes (UTF-16 units).
-    Typed (VARIANT) values keep their JSON type; nested objects and arrays
-    are written compactly.
+    Typed (VARIANT) values keep their JSON type, nested objects and arrays
+    included (keys inside a nested object come out sorted: VARIANT stores
+    object keys in order of name).
     """
-    value = (lambda v: _ensure_ascii(F.coalesce(F.to_json(v), F.lit("null")))) if typed else _quoted
+    value = (
+        (lambda v: _ensure_ascii(_python_spacing(F.coalesce(F.to_json(v), F.lit("null")))))
+        if typed
+        else _quoted
+    )
     entries = F.transform(
         F.map_entries(extras),
         lambda e: F.concat(_quoted(e["key"]), F.lit(": "), value(e["value"])),
@@ -74,6 +79,26 @@ def extras_json(extras: Column, typed: bool = False) -> Column:
     return F.concat(F.lit("{"), F.array_join(entries, ", "), F.lit("}"))
 
 
+# A JSON string literal, or a run of text between string literals.
+_JSON_TOKENS = r'"(?:[^"\\]|\\.)*"|[^"]+'
+
+
+def _python_spacing(compact: Column) -> Column:
+    """Compact JSON text with json.dumps' separators: ", " and ": ".
+
+    Only the text between string literals is touched, so commas and colons
+    inside strings stay as they are.
+    """
+    tokens = F.regexp_extract_all(compact, F.lit(_JSON_TOKENS), 0)
+    spaced = F.transform(
+        tokens,
+        lambda t: F.when(t.startswith('"'), t).otherwise(
+            F.regexp_replace(F.regexp_replace(t, ",", ", "), ":", ": ")
+        ),
+    )
+    return F.array_join(spaced, "")
+
+
 def _ensure_ascii(text: Column) -> Column:
     """Escape every non-ASCII character as \\uXXXX (lower-case hex of its
     UTF-16 code units, so characters beyond the BMP become surrogate pairs)."""
