@@ -140,18 +140,18 @@ def daily_stats(cleaned: DataFrame) -> DataFrame:
 def daily_quality_flags(daily: DataFrame) -> DataFrame:
     """Isolated zero days: LAG and LEAD share one window (one sort)."""
     by_day = Window.partitionBy(MP).orderBy("reading_date")
-    enriched = daily.select(
+    with_neighbours = daily.select(
         MP,
         "reading_date",
         "total_kwh",
-        F.lag("total_kwh").over(by_day).alias("previous_total"),
-        F.lead("total_kwh").over(by_day).alias("next_total"),
+        F.lag("total_kwh").over(by_day).alias("prev_day_kwh"),
+        F.lead("total_kwh").over(by_day).alias("next_day_kwh"),
     )
-    return enriched.select(
+    return with_neighbours.select(
         MP,
         "reading_date",
         "total_kwh",
-        isolated_zero(F.col("total_kwh"), F.col("previous_total"), F.col("next_total")).alias(
+        isolated_zero(F.col("total_kwh"), F.col("prev_day_kwh"), F.col("next_day_kwh")).alias(
             "isolated_zero_flag"
         ),
     )
