@@ -36,7 +36,7 @@ def stage(readings: DataFrame) -> DataFrame:
     """
     ts = F.col("reading_ts_utc")
     day = F.col("date") if "date" in readings.columns else F.to_date(ts)
-    source = readings.select(
+    base = readings.select(
         F.col(MP),
         utc_wall_clock(readings, "timestamp").alias("reading_ts_utc"),
         "consumption_value",
@@ -46,7 +46,7 @@ def stage(readings: DataFrame) -> DataFrame:
         "ingestion_date",
         *(["date"] if "date" in readings.columns else []),
     )
-    return source.select(
+    return base.select(
         MP,
         "reading_ts_utc",
         day.alias("reading_date"),
