@@ -29,6 +29,11 @@ def detect_layout(spark: SparkSession, root: str) -> str | None:
 
 
 def _first_data_file(spark: SparkSession, root: str):
+    """The first data file under ``root`` (None if there is none).
+
+    A recursive listing that stops at the first hit: cheap on any file
+    system, never a list of all files of a large lake.
+    """
     fs, hpath = hadoop_fs(spark, root)
     if not fs.exists(hpath):
         return None
@@ -101,7 +106,7 @@ def read_lake(
             df = df.withColumn(c, F.timestamp_micros(F.floor(F.col(c) / 1000)))
     else:
         df = spark.read.schema(lake_schema(layout)).parquet(root)
-    if check and _file_count(df) == 0:
+    if check and _first_data_file(spark, root) is None:
         raise FileNotFoundError(f"No Parquet files found under {root}")
     if layout == "day":
         # The meter key lives in the files; expose it under the folder name
@@ -110,12 +115,6 @@ def read_lake(
     return df
 
 
-def _file_count(df: DataFrame) -> int:
-    # Counted inside the JVM from the file index Spark lists anyway for the
-    # scan; file names are not shipped to Python.
-    return int(len(df._jdf.inputFiles()))
-
-
 def read_readings(
     spark: SparkSession,
     root: str,
