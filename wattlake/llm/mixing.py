@@ -86,33 +86,35 @@ def thresholds(narrow: DataFrame, targets: DataFrame) -> DataFrame:
             same = F.col("source").eqNullSafe(F.col("s_")) & (_bucket(level - 1) == F.col("p_"))
             live = live.join(keys, same, "left_semi")
         sums = live.groupBy("source", _bucket(level).alias("b")).agg(
-            F.sum("size").alias("words"), (F.min("h") < F.max("h")).alias("many")
+            F.sum("size").alias("words"), F.min("h").alias("lo"), (F.min("h") < F.max("h")).alias("many")
         )
         run = Window.partitionBy("source").orderBy("b")
-        sums = sums.select(F.col("source").alias("s_"), "b", "many", F.sum("words").over(run).alias("upto"))
-        joined = state.drop("many").join(sums, F.col("source").eqNullSafe(F.col("s_")), "left")
+        sums = sums.select(F.col("source").alias("s_"), "b", "lo", "many", "words", F.sum("words").over(run).alias("upto"))
+        joined = state.select("source", "copies", "rest", "prefix").join(sums, F.col("source").eqNullSafe(F.col("s_")), "left")
         over = F.col("upto") > F.col("rest")
         found = joined.groupBy("source", "copies", "rest", "prefix").agg(
-            F.min(F.when(over, F.struct("b", "many"))).alias("edge"),
+            F.min(F.when(over, F.struct("b", "lo", "many", "words"))).alias("edge"),
             F.coalesce(F.max(F.when(~over, F.col("upto"))), F.lit(0)).alias("spent"),
         )
         # Without a boundary at the top all documents fit.  Below it there is
         # always one, unless no document lies in the bucket: then it stays shut.
-        none = F.lit(1 << LEVEL_BITS) if level == 0 else F.shiftleft(F.col("prefix"), LEVEL_BITS)
+        none = F.lit(1 << LEVEL_BITS).cast("long") if level == 0 else F.shiftleft(F.col("prefix"), LEVEL_BITS)
+        left = F.col("rest") - F.col("spent")
+        last = F.col("edge.lo") + (2 * left >= F.col("edge.words")).cast("long")
         state = stored(
             found.select(
                 "source",
                 "copies",
-                (F.col("rest") - F.col("spent")).alias("rest"),
+                left.alias("rest"),
                 F.coalesce(F.col("edge.b"), none).cast("long").alias("prefix"),
                 F.coalesce(F.col("edge.many"), F.lit(False)).alias("many"),
+                F.coalesce(last, F.shiftleft(none, LEVEL_BITS * (LEVELS - 1 - level))).alias("below"),
             ),
             f"mix-level{level}",
         )
         if state.where("many").isEmpty():
             break
-    shift = LEVEL_BITS * (LEVELS - 1 - level)
-    return state.select("source", "copies", F.shiftleft(F.col("prefix"), shift).alias("below"))
+    return state.select("source", "copies", "below")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = MAX_REPEATS) -> DataFrame:

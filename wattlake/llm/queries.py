@@ -58,11 +58,12 @@ b AS (
 r AS (
   SELECT d.doc_id, d.size, b.source_size, b.target, b.copies,
          floor(b.target - b.copies * b.source_size + 1e-6)::BIGINT AS rest,
-         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h) AS upto
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h) AS upto,
+         sum(d.size) OVER (PARTITION BY d.source, d.h) AS words
   FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
 )
 SELECT doc_id, size, source_size, round(target, 6) AS target,
-       ((copies + (upto <= rest)::BIGINT) * size)::BIGINT AS taken
+       ((copies + (upto <= rest OR (upto - words <= rest AND 2 * (rest - upto + words) >= words))::BIGINT) * size)::BIGINT AS taken
 FROM r
 """,
 }
