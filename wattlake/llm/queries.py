@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 
 from wattlake.llm.common import read_table
 from wattlake.llm import mixing
+from wattlake.llm.line_dedup import line_dedup
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_deleted_lines", F.sha2("text", 256).alias("text_sha256"))
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,10 +25,53 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op4_source_mixing": op4_source_mixing,
 }
 
 ORACLE_SQL = {
+    "op1_line_dedup": """
+WITH split AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents
+),
+line AS (
+  SELECT doc_id, pos, parts[pos] AS line,
+         len(regexp_extract_all(parts[pos], '[^\\x20\\x09-\\x0D]+')) AS wc
+  FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS pos FROM split)
+),
+worded AS (
+  SELECT *, row_number() OVER w AS idx, sum(wc) OVER w AS upto
+  FROM line WHERE wc > 0 WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+),
+-- runs of 50 words or more that lose that with their first or their last line
+run AS (
+  SELECT a.doc_id, a.idx AS i, b.idx AS e
+  FROM worded a JOIN worded b ON a.doc_id = b.doc_id AND b.idx BETWEEN a.idx AND a.idx + 49
+  WHERE b.upto - a.upto + a.wc >= 50 AND (b.upto - a.upto < 50 OR b.upto - b.wc - a.upto + a.wc < 50)
+),
+content AS (
+  SELECT run.doc_id, i, e, string_agg(line, chr(10) ORDER BY idx) AS body
+  FROM run JOIN worded w ON w.doc_id = run.doc_id AND w.idx BETWEEN i AND e GROUP BY ALL
+),
+copy AS (
+  SELECT doc_id, i, e FROM content QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, i) > 1
+),
+gone AS (
+  SELECT DISTINCT w.doc_id, w.pos, w.idx FROM worded w JOIN copy c ON w.doc_id = c.doc_id AND w.idx BETWEEN c.i AND c.e
+),
+cut AS (
+  SELECT doc_id, min(pos) AS first, max(pos) AS last
+  FROM (SELECT *, idx - row_number() OVER (PARTITION BY doc_id ORDER BY idx) AS island FROM gone) GROUP BY doc_id, island
+),
+kept AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text FROM line
+  WHERE NOT EXISTS (FROM cut WHERE cut.doc_id = line.doc_id AND line.pos BETWEEN cut.first AND cut.last) GROUP BY doc_id
+)
+SELECT s.doc_id, coalesce(len(parts), 0)::BIGINT AS n_lines,
+       (SELECT count(*) FROM gone WHERE gone.doc_id = s.doc_id)::BIGINT AS n_deleted_lines,
+       CASE WHEN s.text IS NULL THEN NULL ELSE sha256(coalesce(kept.text, '')) END AS text_sha256
+FROM split s LEFT JOIN kept USING (doc_id)
+""",
     "op4_source_mixing": """
 WITH RECURSIVE d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
