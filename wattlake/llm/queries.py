@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import read_table
-from wattlake.llm import mixing
+from wattlake.llm import langid, mixing
 from wattlake.llm.line_dedup import line_dedup
 
 
@@ -19,6 +19,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_deleted_lines", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = langid.identify(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), (F.col("copies") * F.col("size")).alias("taken"))
@@ -26,6 +31,7 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_language_id": op3_language_id,
     "op4_source_mixing": op4_source_mixing,
 }
 
