@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import read_table
-from wattlake.llm import langid, mixing
+from wattlake.llm import bpe, langid, mixing
 from wattlake.llm.line_dedup import line_dedup
 
 
@@ -29,10 +29,29 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.count_tokens(read_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+    n_bytes = F.coalesce(F.octet_length("text").cast("long"), F.lit(0).cast("long"))
+    return out.select("doc_id", n_bytes.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.round_trip_digests(read_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+    return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_language_id": op3_language_id,
     "op4_source_mixing": op4_source_mixing,
+    "op7_token_counts": op7_token_counts,
+    "op8_bpe_round_trip": op8_bpe_round_trip,
 }
 
 ORACLE_SQL = {
