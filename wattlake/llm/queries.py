@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from wattlake.llm.common import read_table
 from wattlake.llm import bpe, langid, mixing
 from wattlake.llm.line_dedup import line_dedup
+from wattlake.llm.near_dedup import near_duplicates
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +30,10 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"), words=4)
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -50,6 +55,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_language_id": op3_language_id,
     "op4_source_mixing": op4_source_mixing,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_bpe_round_trip": op8_bpe_round_trip,
 }
