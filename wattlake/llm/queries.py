@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import read_table
-from wattlake.llm import bpe, langid, mixing
+from wattlake.llm.common import read_table, stored
+from wattlake.llm import bpe, langid, mixing, token_files, url_filter
+from wattlake.llm.fingerprint import fingerprints
 from wattlake.llm.line_dedup import line_dedup
 from wattlake.llm.near_dedup import near_duplicates
 
@@ -51,13 +52,30 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = url_filter.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"))
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = stored(token_files.segments(read_table(spark, sf_dir, "documents"), tokenizer_path()), "token-files")
+    return token_files.read_documents(files)
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_language_id": op3_language_id,
     "op4_source_mixing": op4_source_mixing,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_token_counts": op7_token_counts,
+    "op6_url_filter": op6_url_filter,
     "op8_bpe_round_trip": op8_bpe_round_trip,
+    "op9_token_files": op9_token_files,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE_SQL = {
