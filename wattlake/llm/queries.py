@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import read_table, stored
-from wattlake.llm import bpe, langid, mixing, token_files, url_filter
+from wattlake.llm import bpe, langid, mixing, quality, token_files, url_filter
 from wattlake.llm.fingerprint import fingerprints
 from wattlake.llm.line_dedup import line_dedup
 from wattlake.llm.near_dedup import near_duplicates
@@ -21,6 +21,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_deleted_lines", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = langid.identify(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
@@ -68,6 +72,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_quality_rules": op2_quality_rules,
     "op3_language_id": op3_language_id,
     "op4_source_mixing": op4_source_mixing,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
