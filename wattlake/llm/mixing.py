@@ -117,17 +117,42 @@ def thresholds(narrow: DataFrame, targets: DataFrame) -> DataFrame:
     return state.select("source", "copies", "below")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = MAX_REPEATS) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies) of every row of ``docs``."""
+def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = MAX_REPEATS) -> tuple[DataFrame, DataFrame]:
+    """What ``docs`` amounts to and what to take of it.
+
+    The rows (doc_id, source, size, h), and per source (s_, source_size,
+    target, whole, below): ``whole`` copies of each document that has words,
+    and one more of those with ``h`` < ``below``.
+    """
     narrow = stored(
         docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), hash60(F.col("doc_id")).alias("h")), "mix-docs"
     )
     sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = stored(source_targets(sizes, weights, repeats), "mix-targets")
-    cut = thresholds(narrow, targets)
-    per_source = targets.join(
-        cut.select(F.col("source").alias("s_"), "copies", "below"), F.col("source").eqNullSafe(F.col("s_"))
-    ).select(F.col("source").alias("s_"), "source_size", "target", F.col("copies").alias("whole"), "below")
+    cut = thresholds(narrow, targets).select(F.col("source").alias("c_"), F.col("copies").alias("whole"), "below")
+    per_source = targets.join(cut, F.col("source").eqNullSafe(F.col("c_")))
+    return narrow, stored(per_source.select(F.col("source").alias("s_"), "source_size", "target", "whole", "below"), "mix-plan")
+
+
+def _copies(size: Column, h: Column) -> Column:
+    return F.when(size > 0, F.col("whole") + (h < F.col("below")).cast("long")).otherwise(0).cast("long")
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = MAX_REPEATS) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies) of every row of ``docs``."""
+    narrow, per_source = plan(docs, weights, repeats)
     out = narrow.join(per_source, F.col("source").eqNullSafe(F.col("s_")))
-    copies = F.when(F.col("size") > 0, F.col("whole") + (F.col("h") < F.col("below")).cast("long")).otherwise(0)
-    return out.select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"))
+    return out.select("doc_id", "source", "size", "source_size", "target", _copies(F.col("size"), F.col("h")).alias("copies"))
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = MAX_REPEATS) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, each as often as it takes it."""
+    _, per_source = plan(docs, weights, repeats)
+    own = [f"own{i}" for i in range(len(docs.columns))]  # the plan's names cannot clash with these
+    rows = docs.toDF(*own)
+    at = {c.lower(): o for c, o in zip(docs.columns, own)}
+    rows = rows.join(per_source, F.col(at["source"]).eqNullSafe(F.col("s_")))
+    copies = _copies(word_count(F.col(at["text"])), hash60(F.col(at["doc_id"])))
+    rows = rows.withColumn("copies", copies).where("copies > 0")
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return rows.select(*own).toDF(*docs.columns)
