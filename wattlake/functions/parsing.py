@@ -11,8 +11,13 @@ from wattlake.functions.calendar import ntz_to_instant
 # are treated as malformed.  Spark alone would also take "1d" or "1f".
 NUMERIC_TEXT = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
-# An ISO timestamp that carries its own offset or a Z.
-ZONED_TEXT = r"(?i)[T ]\d{2}(:\d{2}){0,2}(\.\d+)?\s*(z|[+-]\d{2}(:?\d{2})?)$"
+# ISO 8601 starts, extended or basic: date, then optionally hour, minute,
+# second and fraction, then optionally Z or an offset.
+ISO_START = (
+    r"^(\d{4})(?:-(\d{2})-(\d{2})|(\d{2})(\d{2}))"
+    r"(?:[Tt ](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?"
+    r"(?:([Zz])|([+-])(\d{2})(?::?(\d{2})(?::?(\d{2}))?)?)?)?$"
+)
 
 
 def key_missing(v: Column, path: str) -> Column:
@@ -54,20 +59,12 @@ def text_or_default(v: Column, path: str, default: str) -> Column:
     return F.when(key_missing(v, path), F.lit(default)).otherwise(F.try_variant_get(v, path, "string"))
 
 
-# Largest |position| accepted, in hours (about 1,000 years): beyond it the
-# timestamp would leave the calendar range, where Python raises as well.
-MAX_POSITION_HOURS = 24 * 366 * 1000
-
-
 def int_or_default(v: Column, path: str, default: int) -> Column:
     """int(value) with the Python rules: "1.5" fails, " 1 " is 1, 1.7 is 1.
 
-    Returns NULL for a value that does not convert or is out of range (the
-    caller rejects it).
+    Returns NULL for a value that does not convert (the caller rejects it).
     """
-    value = F.try_variant_get(v, path, "int")
-    in_range = F.abs(value.cast("long")) <= F.lit(MAX_POSITION_HOURS)
-    return F.when(key_missing(v, path), F.lit(default)).otherwise(F.when(in_range, value))
+    return F.when(key_missing(v, path), F.lit(default)).otherwise(F.try_variant_get(v, path, "int"))
 
 
 def float_or_default(v: Column, path: str, default: float) -> Column:
@@ -85,12 +82,34 @@ def float_or_default(v: Column, path: str, default: float) -> Column:
 
 
 def parse_instant(text: Column) -> Column:
-    """ISO-8601 text to an instant; a value without offset is read as UTC."""
-    zoned = text.try_cast("timestamp")
-    naive = ntz_to_instant(text.try_cast("timestamp_ntz"))
-    return F.when(text.rlike(ZONED_TEXT), zoned).otherwise(naive)
+    """ISO 8601 text to an instant; NULL for any other form.
+
+    A value without offset is read as UTC.  Years alone, year and month,
+    padded text and zone names are not accepted; fractions beyond micros are
+    cut off.
+    """
+
+    def part(group: int, default: str = "00") -> Column:
+        found = F.regexp_extract(text, ISO_START, group)
+        return F.when(found == "", F.lit(default)).otherwise(found)
+
+    month = F.concat(part(2, ""), part(4, ""))
+    day = F.concat(part(3, ""), part(5, ""))
+    fraction = F.rpad(F.substring(part(9, "0"), 1, 6), 6, "0")
+    wall = F.concat(
+        part(1), F.lit("-"), month, F.lit("-"), day, F.lit(" "), part(6), F.lit(":"), part(7), F.lit(":"), part(8), F.lit("."), fraction
+    ).try_cast("timestamp_ntz")
+    ahead = part(12).cast("long") * 3600 + part(13).cast("long") * 60 + part(14).cast("long")
+    ahead = F.when(part(11) == "-", -ahead).otherwise(ahead)
+    instant = F.timestamp_micros(F.unix_micros(ntz_to_instant(wall)) - ahead * F.lit(1_000_000))
+    return F.when(text.rlike(ISO_START), instant)
+
+
+# First and last microsecond of the years 1 to 9999.
+FIRST_MICRO, LAST_MICRO = -62_135_596_800_000_000, 253_402_300_799_999_999
 
 
 def add_hours(instant: Column, hours: Column) -> Column:
-    """instant + hours, by micro arithmetic (no session time zone)."""
-    return F.timestamp_micros(F.unix_micros(instant) + hours.cast("long") * F.lit(3_600_000_000))
+    """instant + hours, by micro arithmetic (no session time zone); NULL outside the years 1 to 9999."""
+    micros = F.unix_micros(instant) + hours.cast("long") * F.lit(3_600_000_000)
+    return F.when(micros.between(FIRST_MICRO, LAST_MICRO), F.timestamp_micros(micros))

@@ -23,6 +23,10 @@ def _typed(df: DataFrame) -> bool:
     return isinstance(df.schema["attributes"].dataType.valueType, T.VariantType)
 
 
+# White space of any script at either end.
+BLANK_ENDS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+
+
 def _text(value: Column, typed: bool) -> Column:
     """An attribute value as text (a number 2 becomes "2")."""
     return F.try_variant_get(value, "$", "string") if typed else value
@@ -38,7 +42,7 @@ def normalize_listing(listing: DataFrame) -> DataFrame:
     map_type = listing.schema["attributes"].dataType.simpleString()
     attrs = F.coalesce(F.col("attributes"), F.create_map().cast(map_type))
     rows = listing.select(
-        F.trim(F.col(MP).cast("string")).alias(MP),
+        F.regexp_replace(F.col(MP).cast("string"), BLANK_ENDS, "").alias(MP),
         attrs.alias("attributes"),
         F.col("position").cast("long").alias("position"),
     ).where(F.col(MP).isNotNull() & (F.col(MP) != ""))

@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.functions.calendar import utc_date
@@ -34,6 +34,8 @@ from wattlake.functions.parsing import (
     add_hours,
     float_or_default,
     int_or_default,
+    json_type,
+    key_missing,
     parse_instant,
     text_only,
     text_or_default,
@@ -155,12 +157,14 @@ def normalize_responses(
         .when(F.col("position").isNull(), F.lit("bad_position"))
         .when(F.col("consumption_value").isNull(), F.lit("bad_quantity"))
     )
+    points = points.withColumn("timestamp", add_hours(F.col("period_start"), F.col("position") - 1))
+    reason = reason.when(F.col("timestamp").isNull(), F.lit("bad_position"))
     points = points.withColumn("reject_reason", reason)
     stamp = _as_of_column(as_of)
     good = points.where(F.col("reject_reason").isNull()).select(
         *keep,
         MP,
-        add_hours(F.col("period_start"), F.col("position") - 1).alias("timestamp"),
+        "timestamp",
         "consumption_value",
         "quality",
         "unit",
@@ -174,7 +178,41 @@ def normalize_responses(
     return readings, rejects
 
 
+def usable(value: Column) -> Column:
+    """Whether a response counts as an answer: an object whose result, if any, is a list of objects.
+
+    An empty object or text in place of the list is no result, as an empty
+    list is; anything else (other JSON, a null result, a result that is not
+    an object) means that the request failed.
+    """
+    doc = F.try_parse_json(value)
+    kind = json_type(doc, RESULTS)
+    listed = F.forall(
+        F.coalesce(F.try_variant_get(doc, RESULTS, "array<variant>"), F.array().cast("array<variant>")),
+        lambda r: F.coalesce(F.schema_of_variant(r).startswith("OBJECT"), F.lit(False)),
+    )
+    result_ok = (
+        F.when(key_missing(doc, RESULTS), F.lit(True))
+        .when(kind.startswith("ARRAY"), listed)
+        .when(kind == "STRING", F.try_variant_get(doc, RESULTS, "string") == "")
+        .otherwise(kind == "OBJECT<>")
+    )
+    return F.coalesce(F.schema_of_variant(doc).startswith("OBJECT") & result_ok, F.lit(False))
+
+
+def latest_response(readings: DataFrame, order: str) -> DataFrame:
+    """Per (meter, timestamp), all rows of the response that comes last by ``order``; drops ``order``.
+
+    Responses are applied one after the other: a later one replaces what an
+    earlier one brought for the same hour, while duplicates inside one
+    response stay.
+    """
+    hour = Window.partitionBy(MP, "timestamp")
+    last = readings.withColumn("last_order", F.max(order).over(hour)).where(F.col(order) == F.col("last_order"))
+    return last.drop(order, "last_order")
+
+
 def unparsable_documents(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Documents that are not JSON at all."""
+    """Documents that are no usable answer."""
     keep = list(keep or [])
-    return docs.where(F.try_parse_json("value").isNull()).select(*keep, F.lit("unparsable").alias("reject_reason"))
+    return docs.where(~usable(F.col("value"))).select(*keep, F.lit("unparsable").alias("reject_reason"))

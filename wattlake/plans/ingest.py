@@ -24,14 +24,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.operators.joins import join_small
-from wattlake.operators.normalize import normalize_responses
+from wattlake.operators.normalize import latest_response, normalize_responses, usable
 from wattlake.operators.planning import load_plan
 from wattlake.operators.state import advance_state, chunk_outcomes, read_state, write_state
 from wattlake.operators.rollup import refresh_rollup
 from wattlake.operators.upsert import upsert_readings_days
 from wattlake.schema import DEFAULT_BACKFILL_DAYS, DEFAULT_CHUNK_DAYS
 from wattlake.session import checkpointed
-from wattlake.sources.responses import read_responses
+from wattlake.sources.responses import read_responses, response_order
 
 MP = "metering_point_id"
 
@@ -92,16 +92,19 @@ def run_ingest(
     docs = read_responses(spark, raw_root, whole_files=whole_files, landing=landing)
     if filter_to_plan:
         docs = answering_documents(docs, plan)
-    docs = docs.withColumn("parsed", F.try_parse_json("value").isNotNull()).persist(
+    docs = docs.withColumn("parsed", usable(F.col("value"))).withColumn(
+        "response_order", response_order()
+    ).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     try:
-        readings, rejects = normalize_responses(docs, tracked=tracked, as_of=ingested_at)
+        readings, rejects = normalize_responses(docs.where("parsed"), tracked=tracked, as_of=ingested_at, keep=["response_order"])
+        readings = latest_response(readings, "response_order")
         written, days = upsert_readings_days(spark, readings, lake_root)
         if rollup_root:
             refresh_rollup(spark, lake_root, rollup_root, days)
         if rejects_root:
-            _write_rejects(docs, rejects, rejects_root, as_of)
+            write_rejects(docs, rejects.drop("response_order"), f"{rejects_root}/run_date={as_of}")
         landed = docs.select(F.col("metering_point").alias(MP), "chunk_from", "chunk_to", "parsed")
         outcomes = chunk_outcomes(plan, landed)
         version = write_state(spark, advance_state(state, outcomes, strict), state_root)
@@ -110,15 +113,16 @@ def run_ingest(
     return IngestResult(written, version, plan, outcomes, rejects)
 
 
-def _write_rejects(docs: DataFrame, rejects: DataFrame, root: str, as_of: dt.date) -> None:
-    unparsable = docs.where(~F.col("parsed")).select(
+def write_rejects(docs: DataFrame, rejects: DataFrame, path: str) -> None:
+    """Skipped points and, whole, the responses that were no answer (``parsed`` is false)."""
+    unusable = docs.where(~F.col("parsed")).select(
         F.col("metering_point").alias(MP),
         F.lit(None).cast("string").alias("start_text"),
-        F.substring("value", 1, 1000).alias("point_json"),
+        F.col("value").alias("point_json"),
         F.lit("unparsable_response").alias("reject_reason"),
     )
-    out = rejects.select(MP, "start_text", "point_json", "reject_reason").unionByName(unparsable)
-    out.withColumn("run_date", F.lit(as_of)).write.mode("append").partitionBy("run_date").parquet(root)
+    out = rejects.select(MP, "start_text", "point_json", "reject_reason").unionByName(unusable)
+    out.write.mode("overwrite").parquet(path)
 
 
 def write_plan(plan: DataFrame, path: str) -> None:

@@ -14,7 +14,7 @@ Two landing formats are read:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,17 @@ RESPONSE_SCHEMA = T.StructType(
 )
 
 
+def landed_at() -> Column:
+    """When a response landed, for ordering: time of its file, then the file's name and the place in it."""
+    meta = F.col("_metadata")
+    return F.struct(meta["file_modification_time"], meta["file_path"], meta["file_block_start"]).alias("landed_at")
+
+
+def response_order() -> Column:
+    """Orders the documents of one read (a batch frame): ``landed_at``, then the line."""
+    return F.struct("landed_at", F.monotonically_increasing_id().alias("line"))
+
+
 def _keyed_lines(df: DataFrame) -> DataFrame:
     parts = F.split(F.col("value"), "\t", 4)
     # try_element_at: a line with fewer fields yields NULLs (an unparsable
@@ -38,6 +49,7 @@ def _keyed_lines(df: DataFrame) -> DataFrame:
         F.try_element_at(parts, F.lit(2)).try_cast("date").alias("chunk_from"),
         F.try_element_at(parts, F.lit(3)).try_cast("date").alias("chunk_to"),
         F.col("_metadata.file_path").alias("source_file"),
+        landed_at(),
     )
 
 
@@ -59,7 +71,9 @@ def read_responses(
 
     if not path_exists(spark, root):
         empty = spark.createDataFrame([], RESPONSE_SCHEMA)
-        return empty.withColumn("source_file", F.lit(None).cast("string"))
+        return empty.withColumn("source_file", F.lit(None).cast("string")).withColumn(
+            "landed_at", F.struct(F.lit(None).cast("timestamp").alias("file_modification_time"))
+        )
     if landing == "lines":
         return _keyed_lines(spark.read.text(root))
     reader = spark.read
@@ -67,7 +81,7 @@ def read_responses(
         reader = reader.schema(RESPONSE_SCHEMA)
     # text() sets wholetext itself (default False), so it is passed here.
     df = reader.text(root, wholetext=whole_files)
-    return df.withColumn("source_file", F.col("_metadata.file_path"))
+    return df.withColumn("source_file", F.col("_metadata.file_path")).withColumn("landed_at", landed_at())
 
 
 def stream_responses(
@@ -85,4 +99,4 @@ def stream_responses(
         return _keyed_lines(reader.schema("value string").format("text").load(root))
     reader = reader.schema(RESPONSE_SCHEMA).option("wholetext", whole_files)
     df = reader.format("text").load(root)
-    return df.withColumn("source_file", F.col("_metadata.file_path"))
+    return df.withColumn("source_file", F.col("_metadata.file_path")).withColumn("landed_at", landed_at())

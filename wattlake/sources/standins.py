@@ -100,8 +100,7 @@ def customer_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     rows = (
-        cust.where(F.col("c_acctbal") >= 0)
-        .join(nation, cust.c_nationkey == nation.n_nationkey)
+        cust.join(nation, cust.c_nationkey == nation.n_nationkey)
         .join(region, nation.n_regionkey == region.r_regionkey)
     )
     seg = F.col("c_mktsegment")

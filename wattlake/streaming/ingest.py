@@ -6,9 +6,8 @@ record of what was read), normalised with the batch operator and upserted by
 harmless because the upsert is idempotent: applying batch B again removes
 every lake row keyed by B's (meter, timestamp) pairs and adds B back, which
 is the state after the first application, duplicates inside B included.
-Each micro-batch is one upsert, as each fetched chunk is one save in the
-source system; ``dedup=True`` keeps only the latest ingestion per (meter,
-timestamp) inside a batch instead.
+Each micro-batch is one upsert in which later responses replace earlier ones
+hour by hour, as if each had been saved by itself, in order of landing.
 LAG/LEAD views stay batch queries over the lake: Spark does not run
 non-time windows on streams.
 """
@@ -17,12 +16,15 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wattlake.operators.normalize import normalize_responses
+from wattlake.operators.normalize import latest_response, normalize_responses, usable
 from wattlake.operators.rollup import refresh_rollup
-from wattlake.operators.upsert import dedup_latest, upsert_readings_days
-from wattlake.sources.responses import stream_responses
+from wattlake.operators.upsert import upsert_readings_days
+from wattlake.plans.ingest import write_rejects
+from wattlake.sources.responses import response_order, stream_responses
 
 
 def start_stream_ingest(
@@ -36,23 +38,33 @@ def start_stream_ingest(
     max_files_per_trigger: int | None = None,
     whole_files: bool = True,
     landing: str = "folders",
-    dedup: bool = False,
+    rejects_root: str | None = None,
     rollup_root: str | None = None,
 ):
     """Start the stream; returns the StreamingQuery.
 
+    With ``rejects_root``, each micro-batch writes its skipped points and
+    unusable responses to a folder of its own (overwritten on a replay).
+
     With ``rollup_root``, every micro-batch also refreshes the day-level
     rollup for the days it wrote (idempotent, like the upsert).
     """
     docs = stream_responses(spark, raw_root, max_files_per_trigger, whole_files, landing)
-    readings, _ = normalize_responses(docs, tracked=tracked, as_of=as_of)
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         spark_ = batch.sparkSession
-        _, days = upsert_readings_days(spark_, dedup_latest(batch) if dedup else batch, lake_root)
-        if rollup_root:
-            refresh_rollup(spark_, lake_root, rollup_root, days)
+        batch = batch.withColumn("response_order", response_order()).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            good = batch.where(usable(F.col("value")))
+            readings, rejects = normalize_responses(good, tracked=tracked, as_of=as_of, keep=["response_order"])
+            _, days = upsert_readings_days(spark_, latest_response(readings, "response_order"), lake_root)
+            if rollup_root:
+                refresh_rollup(spark_, lake_root, rollup_root, days)
+            if rejects_root:
+                write_rejects(batch.withColumn("parsed", usable(F.col("value"))), rejects, f"{rejects_root}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
-    writer = readings.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
+    writer = docs.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
