@@ -1,0 +1,78 @@
+import numpy as np
+import pytest
+
+from tests.llm import cases
+from wattlake.llm import langid
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = langid.identify(docs).withColumn("held_out", langid.held_out(docs["doc_id"])).where("held_out").collect()
+    assert len(out) > 200
+    assert sum(r.lang == r.lang_pred for r in out) >= 0.98 * len(out)
+    assert all(0 <= r.lang_score <= 1 for r in out)
+
+
+def test_awkward_rows(spark):
+    out = langid.identify(cases.table(spark)).collect()
+    assert len(out) == len(cases.rows())
+    for r in out:
+        lettered = bool(r.text) and any(c.isalpha() for c in r.text)
+        assert (r.lang_pred == "und") == (not lettered)
+        assert r.lang_pred != "und" or r.lang_score == 0
+    assert langid.identify(cases.table(spark, [])).collect() == []
+    nobody = [(1, "some text", None, None, None, None, None)]
+    assert [r.lang_pred for r in langid.identify(cases.table(spark, nobody)).collect()] == ["und"]
+
+
+def brute_bits(model, sample, lang, text):
+    """Code length by escape method C with exclusion, straight from counts of substrings."""
+    corpus = [t.encode().lower() for x, t in sample if x == lang]
+    contexts = {c for _, t in sample for b in [t.encode().lower()] for n in (1, 2, 3) for i in range(len(b) - n) for c in [b[i : i + n]]}
+    raw = text.encode().lower()
+    seen = {b for _, t in sample for b in t.encode().lower()}
+
+    def probability(context, byte):
+        if context is None:
+            return 1 / 256
+        counts = {}
+        for t in corpus:
+            for i in range(len(t) - len(context)):
+                if t[i : i + len(context)] == context:
+                    counts[t[i + len(context)]] = counts.get(t[i + len(context)], 0) + 1
+        shorter = None if context == b"" else context[1:]
+        if not counts:
+            return probability(shorter, byte)
+        n, distinct = sum(counts.values()), len(counts)
+        if byte in counts:
+            return counts[byte] / (n + distinct)
+        rest = 1 - sum(probability(shorter, b) for b in counts)
+        return distinct / (n + distinct) * probability(shorter, byte) / rest
+
+    total, padded = 0.0, b"\n\n\n" + raw
+    for i in range(len(raw)):
+        context = padded[i : i + 3]
+        while context and context not in contexts:
+            context = context[1:]
+        total -= np.log2(probability(context, raw[i]))
+    assert seen
+    return total
+
+
+def test_code_lengths_are_those_of_ppm():
+    sample = [("de", "das ist ein haus\nund das"), ("en", "this is a house\nand this")]
+    model = langid.ContextTrees(sample)
+    for text in ("this is", "das haus zz", "A house é"):
+        bits, n = model.code_bits(text)
+        assert n == len(text.encode())
+        for j, lang in enumerate(model.langs):
+            assert bits[j] == pytest.approx(brute_bits(model, sample, lang, text), rel=1e-4)
+
+
+def test_chunks_do_not_change_code_lengths(monkeypatch):
+    model = langid.ContextTrees([("a", "abcabcabd" * 20), ("b", "xyzxyzxya" * 20)])
+    whole = model.code_bits("abxyc" * 50)[0]
+    monkeypatch.setattr(langid, "CHUNK", 7)
+    assert model.code_bits("abxyc" * 50)[0] == pytest.approx(whole)
