@@ -40,10 +40,10 @@ def test_no_trusted_document_and_empty_table(spark):
     assert quality.judge(cases.table(spark, []), labels).collect() == []
 
 
-def test_junk_scores_below_the_target(spark):
-    clean = [(i, f"the cat number {i % 5} sat on the mat and looked at the dog for a while in the warm sun of may", 1) for i in range(40)]
-    junk = [(100 + i, "*** $$$ ### %%% &&& " * 3 + f"buy {i}!! now!! " * 5 + "a b c d e f g", 0) for i in range(40)]
-    rows = [(i, t) for i, t, _ in clean + junk]
-    labels = spark.createDataFrame([(i, q) for i, _, q in clean + junk], "doc_id long, quality int")
-    got = {r.doc_id: r.score for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string"), labels).collect()}
-    assert max(got[i] for i, _, q in junk) < quality.MIN_SCORE < min(got[i] for i, _, q in clean)
+def test_labelled_junk_goes_and_good_text_stays(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    verdicts = quality.judge(spark.read.parquet(f"{sf}/documents.parquet"), labels)
+    got = verdicts.where("NOT base_failed").join(labels, "doc_id").collect()
+    good, bad = ([r.kept for r in got if r.quality == q] for q in (1, 0))
+    assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.2 * len(bad)
