@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import UTC, reading
-from wattlake.operators.upsert import dedup_latest, upsert_readings
+from wattlake.operators.upsert import dedup_latest, migrate_lake, upsert_readings
 from wattlake.schema import READING_COLUMNS
 from wattlake.sources.lake import detect_layout, read_lake, read_readings
 
@@ -184,3 +184,21 @@ def test_view_date_filter_prunes_partitions(spark, make_readings, lake):
     assert flags.count() == 1
     optimized = flags._jdf.queryExecution().optimizedPlan().toString()
     assert optimized.index("Filter") < optimized.index("Window")
+
+
+def test_folders_named_by_another_offset(spark, tmp_path):
+    """2031-05-06T23:30Z filed under the next day: reported on its UTC day, refused for upserts, mended by a copy."""
+    late = dt.datetime(2031, 5, 6, 23, 30, tzinfo=dt.timezone.utc)
+    row = (late, 2.5, "ok", "kWh", late, late.date(), "m9")
+    schema = "timestamp timestamp, consumption_value double, quality string, unit string, ingestion_timestamp timestamp, ingestion_date date, metering_point_id string"
+    rows = spark.createDataFrame([row], schema)
+    root, copy = str(tmp_path / "lake"), str(tmp_path / "copy")
+    rows.write.option("compression", "snappy").parquet(f"{root}/metering_point=m9/date=2031-05-07")
+    read = read_readings(spark, root, dt.date(2031, 5, 6), dt.date(2031, 5, 6))
+    assert [r.date for r in read.collect()] == [dt.date(2031, 5, 6)]
+    assert read_readings(spark, root, dt.date(2031, 5, 7)).count() == 0
+    with pytest.raises(ValueError, match="migrate_lake"):
+        upsert_readings(spark, rows, root)
+    migrate_lake(spark, root, copy)
+    upsert_readings(spark, rows, copy)
+    assert read_readings(spark, copy).count() == 1

@@ -51,9 +51,16 @@ def test_flags_use_one_window_for_lag_and_lead(lake_readings):
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
 
 
-def test_enriched_broadcasts_small_checked_metadata(spark, lake_readings):
+def test_enriched_join_is_left_to_measured_sizes(spark, lake_readings):
+    """Building the view starts no job; once it runs, the small metadata side is broadcast from its measured size."""
     meta = M.build_metadata(M.normalize_listing(spark.createDataFrame([("a", {"name": "A"}, 0)], METADATA_SOURCE)))
-    plan = _plan(V.meter_metadata_enriched(V.daily_consumption(V.clean(V.stage(lake_readings))), meta))
+    tracker = spark.sparkContext.statusTracker()
+    daily = V.daily_consumption(V.clean(V.stage(lake_readings)))
+    before = len(tracker.getJobIdsForGroup(None))
+    joined = V.meter_metadata_enriched(daily, meta)
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    joined.collect()
+    plan = _plan(joined)
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
 
 

@@ -41,7 +41,6 @@ from wattlake.functions.parsing import (
     text_or_default,
     truthy,
 )
-from wattlake.operators.joins import join_small
 from wattlake.schema import (
     API_DOCUMENT,
     API_INTERVAL,
@@ -105,7 +104,7 @@ def _points(docs: DataFrame, keep: list[str], tracked: DataFrame | None) -> Data
     series = series.where(F.col(MP).isNotNull())
     if tracked is not None:
         ids = tracked.select(F.col(tracked.columns[0]).alias(MP)).distinct()
-        series = join_small(series, ids, MP, "left_semi")
+        series = series.join(ids, MP, "left_semi")
     periods = series.select(*keep, MP, "unit", F.explode("periods").alias("p")).select(
         *keep,
         MP,

@@ -17,7 +17,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.operators.joins import join_small
 from wattlake.schema import DEFAULT_BACKFILL_DAYS, DEFAULT_CHUNK_DAYS, OVERLAP_DAYS
 
 MP = "metering_point_id"
@@ -45,7 +44,7 @@ def load_windows(
         joined = ids.withColumn("last_ingestion_date", F.lit(None).cast("date"))
     else:
         st = state.select(MP, "last_ingestion_date")
-        joined = join_small(ids, st, MP, "left")
+        joined = ids.join(st, MP, "left")
     today = _date(as_of)
     return joined.select(
         MP,

@@ -95,15 +95,13 @@ def state_updates(outcomes: DataFrame, strict: bool = False) -> DataFrame:
 def merge_state(state: DataFrame | None, updates: DataFrame) -> DataFrame:
     """Insert-or-update by meter: old rows not updated, plus the updates.
 
-    ``updates`` comes out of the whole outcome pipeline, so it is not
-    computed twice for an up-front size check: the plain join lets AQE pick a
-    broadcast from the measured size of the shuffled updates (both sides are
-    one row per meter).
+    One pass and one shuffle: of a meter's old and new row the new one wins.
     """
+    updates = updates.select(MP, "last_ingestion_date")
     if state is None:
-        return updates.select(MP, "last_ingestion_date")
-    kept = state.select(MP, "last_ingestion_date").join(updates.select(MP), MP, "left_anti")
-    return kept.unionByName(updates.select(MP, "last_ingestion_date"))
+        return updates
+    tagged = state.select(MP, "last_ingestion_date", F.lit(0).alias("is_new")).unionByName(updates.withColumn("is_new", F.lit(1)))
+    return tagged.groupBy(MP).agg(F.max_by("last_ingestion_date", "is_new").alias("last_ingestion_date"))
 
 
 def advance_state(state: DataFrame | None, outcomes: DataFrame, strict: bool = False) -> DataFrame:

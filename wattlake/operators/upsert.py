@@ -30,6 +30,7 @@ root is safe because every read happens before the commit.
 
 from __future__ import annotations
 
+import datetime as dt
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -124,6 +125,14 @@ def surviving_rows(existing: DataFrame, new_rows: DataFrame, layout: str = DEFAU
     return existing.join(replaced, [*PARTITION_COLUMNS, "timestamp"], "left_anti")
 
 
+def _refuse_shifted_folders(spark: SparkSession, root: str, days: list) -> None:
+    """Folders near ``days`` must be named by the UTC day, or an upsert would leave old rows beside new ones."""
+    near = {d + dt.timedelta(days=n) for d in days for n in (-1, 0, 1)}
+    lake = read_lake(spark, root, check=False, layout="meter_day").where(F.col("date").isin(sorted(near)))
+    if not lake.where(utc_date(lake, "timestamp") != F.col("date")).isEmpty():
+        raise ValueError(f"lake at {root} has folders named by another offset's day; copy it once with migrate_lake() before upserting into it")
+
+
 def upsert_readings(
     spark: SparkSession, readings: DataFrame, root: str, layout: str | None = None
 ) -> int:
@@ -159,6 +168,8 @@ def upsert_readings_days(
             existing = read_lake(spark, root, check=False, layout=found).where(
                 F.col("date").isin(sorted(bounds["days"]))
             )
+            if layout == "meter_day":
+                _refuse_shifted_folders(spark, root, bounds["days"])
             out = surviving_rows(existing, new_rows, layout).select(*READING_COLUMNS, *PARTITION_COLUMNS)
             out = out.unionByName(new_rows.select(*READING_COLUMNS, *PARTITION_COLUMNS))
         else:
@@ -177,7 +188,7 @@ def migrate_lake(spark: SparkSession, source_root: str, target_root: str, layout
     """
     layout = layout or detect_layout(spark, source_root) or DEFAULT_LAYOUT
     lake = read_lake(spark, source_root)
-    rows = lake.select(*READING_COLUMNS, *PARTITION_COLUMNS)
+    rows = lake.select(*READING_COLUMNS, *PARTITION_COLUMNS).withColumn("date", utc_date(lake, "timestamp"))
     write_partitions(rows, target_root, layout)
 
 

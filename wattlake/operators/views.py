@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from wattlake.functions.calendar import iso_weekday, month_start, utc_wall_clock, weekday_label
 from wattlake.functions.metrics import guarded_ratio, isolated_zero
-from wattlake.operators.joins import join_small
 from wattlake.schema import EXPECTED_READINGS_PER_DAY, STAGE_COLUMNS
 
 MP = "metering_point_id"
@@ -160,7 +159,7 @@ def daily_quality_flags(daily: DataFrame) -> DataFrame:
 def meter_metadata_enriched(daily: DataFrame, metadata: DataFrame) -> DataFrame:
     """Daily totals LEFT JOIN metadata; unmatched meters keep NULL attributes."""
     meta = metadata.select(MP, "name", "type", "location", "description", "extra_metadata")
-    joined = join_small(daily, meta, MP, "left")
+    joined = daily.join(meta, MP, "left")
     return joined.select(
         MP,
         "name",

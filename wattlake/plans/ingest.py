@@ -23,7 +23,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.operators.joins import join_small
 from wattlake.operators.normalize import latest_response, normalize_responses, usable
 from wattlake.operators.planning import load_plan
 from wattlake.operators.state import advance_state, chunk_outcomes, read_state, write_state
@@ -47,7 +46,7 @@ class IngestResult:
 
 def answering_documents(docs: DataFrame, plan: DataFrame) -> DataFrame:
     keys = plan.select(F.col(MP).alias("metering_point"), "chunk_from", "chunk_to").distinct()
-    return join_small(docs, keys, ["metering_point", "chunk_from", "chunk_to"], "left_semi")
+    return docs.join(keys, ["metering_point", "chunk_from", "chunk_to"], "left_semi")
 
 
 def run_ingest(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattlake.functions.calendar import utc_date
 from wattlake.schema import DEFAULT_LAYOUT, READING_COLUMNS, lake_schema
 from wattlake.session import hadoop_fs, path_exists
 
@@ -115,6 +116,19 @@ def read_lake(
     return df
 
 
+def _by_utc_day(df: DataFrame, date_from, date_to, days) -> DataFrame:
+    """``date`` from the timestamp; folders that cannot hold a wanted day are pruned first."""
+    day = F.lit(1)
+    if date_from is not None:
+        df = df.where(F.col("date") >= F.date_sub(F.lit(date_from).cast("date"), day))
+    if date_to is not None:
+        df = df.where(F.col("date") <= F.date_add(F.lit(date_to).cast("date"), day))
+    if days is not None:
+        near = {d + dt.timedelta(days=n) for d in days for n in (-1, 0, 1)}
+        df = df.where(F.col("date").isin(sorted(near)))
+    return df.withColumn("date", utc_date(df, "timestamp"))
+
+
 def read_readings(
     spark: SparkSession,
     root: str,
@@ -136,6 +150,10 @@ def read_readings(
     ``days`` prunes to exactly those days.
     """
     df = read_lake(spark, root, check=check, nanos=nanos)
+    if detect_layout(spark, root) == "meter_day":
+        # Other writers name these folders by the day of the timestamp's own
+        # offset: the UTC day is that folder's or one next to it.
+        df = _by_utc_day(df, date_from, date_to, days)
     if date_from is not None:
         df = df.where(F.col("date") >= F.lit(date_from).cast("date"))
     if date_to is not None:
@@ -155,7 +173,7 @@ def read_readings(
     cols = [F.col("metering_point").alias("metering_point_id")] + [
         F.col(c) for c in READING_COLUMNS if c != "metering_point_id"
     ]
-    # ``date`` (the folder key, the UTC day of ``timestamp`` by construction
-    # of the writer) rides along: the stage view takes ``reading_date`` from
+    # ``date`` (in the day layout the folder key, which is the UTC day of
+    # ``timestamp`` by construction of the writer) rides along: the stage view takes ``reading_date`` from
     # it, so a date filter on any view is a partition filter.
     return df.select(*cols, F.col("date"))
