@@ -107,12 +107,19 @@ def weights(docs: DataFrame, trusted: DataFrame, bits: int = BUCKET_BITS) -> Dat
     counts = stored(grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("good")), "quality-counts")
     total = counts.agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).first()
     raw, good, size = float(total["raw"] or 0), float(total["good"] or 0), float(1 << bits)
-    if not good:
-        return counts.select("bucket", F.lit(0.0).alias("weight"))
     # the target is smoothed with the raw corpus, so that what it has not seen counts a little against
     p_raw = (F.col("raw") + 1) / (raw + size)
     p_good = (F.col("good") + size * p_raw) / (good + size)
-    return counts.select("bucket", F.log(p_good / p_raw).alias("weight"))
+    weight = F.log(p_good / p_raw) if good else F.lit(0.0)
+    return counts.select("bucket", weight.alias("weight"))
+
+
+def weight_array(table: DataFrame, bits: int = BUCKET_BITS) -> Column:
+    """The weights of all ``2 ** bits`` buckets in order, as one value; 0 for buckets not seen."""
+    every = table.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("bucket"))
+    dense = every.join(table, "bucket", "left").select("bucket", F.coalesce("weight", F.lit(0.0)).alias("weight"))
+    pairs = F.sort_array(F.collect_list(F.struct("bucket", "weight")))
+    return dense.agg(F.transform(pairs, lambda x: x["weight"]).alias("weights")).scalar()
 
 
 def trusted_sample(labels: DataFrame, most: int = TRUSTED_DOCS) -> DataFrame:
@@ -123,14 +130,15 @@ def trusted_sample(labels: DataFrame, most: int = TRUSTED_DOCS) -> DataFrame:
 
 def judge(docs: DataFrame, labels: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """One row per row of ``docs``: doc_id, the base counts, base_failed, score and kept."""
-    table = weights(docs, trusted_sample(labels))
-    base = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").withColumns(base_columns(F.col("text")))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    grams = base.select("row", "doc_id", *names, F.explode_outer(_buckets(F.col("text"), BUCKET_BITS)).alias("bucket"))
-    # a task has all n-grams of a document, so each document leaves it as one row
-    scored = grams.join(F.broadcast(table), "bucket", "left").groupBy("row", "doc_id", *names).agg(
-        F.coalesce(F.avg(F.when(F.col("bucket").isNotNull(), F.coalesce("weight", F.lit(0.0)))), F.lit(0.0)).alias("score")
-    )
+    table = stored(weights(docs, trusted_sample(labels)), "quality-weights")
+
+    def mean(buckets: Column) -> Column:
+        total = F.aggregate(buckets, F.lit(0.0), lambda sum_, b: sum_ + F.get("weights", b))
+        return F.when(F.size(buckets) > 0, total / F.size(buckets)).otherwise(0.0)
+
+    score = F.coalesce(_let(_buckets(F.col("text"), BUCKET_BITS), mean), F.lit(0.0))
+    out = docs.select("doc_id", "text", weight_array(table).alias("weights")).withColumns(base_columns(F.col("text")) | {"score": score}).drop("text", "weights")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    scored = scored.withColumn("base_failed", failed)
-    return scored.select("doc_id", *names, "base_failed", "score", (~F.col("base_failed") & (F.col("score") >= min_score)).alias("kept"))
+    out = out.withColumn("base_failed", failed)
+    return out.select("doc_id", *names, "base_failed", "score", (~F.col("base_failed") & (F.col("score") >= min_score)).alias("kept"))
