@@ -63,13 +63,13 @@ def test_read_listing_keeps_order_and_validates(spark, tmp_path):
 
     good = tmp_path / "meters.json"
     good.write_text(
-        '{"metering_points": {"571313": {"name": "Home", "floor": 2, "tags": {"a": 1}},'
+        '{"metering_points": {"north-7": {"name": "Home", "floor": 2, "tags": {"a": 1}},'
         ' "0012": null, "b": {"name": "Home"}}}'
     )
     rows = read_listing(spark, str(good)).orderBy("position").collect()
-    assert [r.metering_point_id for r in rows] == ["571313", "0012", "b"]
+    assert [r.metering_point_id for r in rows] == ["north-7", "0012", "b"]
     meta = {r.metering_point_id: r for r in M.build_metadata(M.normalize_listing(read_listing(spark, str(good)))).collect()}
-    assert meta["571313"].extra_metadata == '{"floor": 2, "tags": {"a": 1}}'
+    assert meta["north-7"].extra_metadata == '{"floor": 2, "tags": {"a": 1}}'
     assert meta["0012"].name == "0012" and meta["0012"].extra_metadata is None
     tracked = M.tracked_meters(M.normalize_listing(read_listing(spark, str(good)))).collect()
     assert {(r.name, r.metering_point_id) for r in tracked} == {("Home", "b"), ("0012", "0012")}

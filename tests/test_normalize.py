@@ -8,7 +8,7 @@ import json
 from wattlake.operators.normalize import normalize_responses, unparsable_documents
 
 UTC = dt.timezone.utc
-MP = "571313113150035634"
+MP = "meter-north-7"
 AS_OF = dt.datetime(2025, 11, 20, 12, tzinfo=UTC)
 
 

@@ -7,17 +7,10 @@ from pyspark.sql import functions as F
 
 
 def guarded_ratio(current: Column, previous: Column) -> Column:
-    """(current - previous) / previous, NULL when previous is NULL or 0."""
-    return F.when(previous.isNull() | (previous == 0), F.lit(None).cast("double")).otherwise(
-        (current - previous) / previous
-    )
+    """Relative change to ``previous``; NULL when that is NULL or 0."""
+    return F.try_divide(current - previous, previous)
 
 
 def isolated_zero(total: Column, previous: Column, following: Column) -> Column:
     """TRUE for a zero day whose neighbouring rows are both positive; never NULL."""
-    return F.when(
-        (total == 0)
-        & (F.coalesce(previous, F.lit(0.0)) > 0)
-        & (F.coalesce(following, F.lit(0.0)) > 0),
-        F.lit(True),
-    ).otherwise(F.lit(False))
+    return F.coalesce((total == 0) & (F.least(previous, following) > 0) & previous.isNotNull() & following.isNotNull(), F.lit(False))
