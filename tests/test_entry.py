@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 
@@ -9,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from wattlake.plans import registry
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 from check_oracle import TABLES, rows_of  # noqa: E402
@@ -24,7 +26,20 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.queries()) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
+
+
+@pytest.mark.parametrize("gone", ["corpus_pipeline", "wattlake.llm"])
+def test_entry_without_the_training_data_queries(monkeypatch, gone):
+    monkeypatch.setitem(sys.modules, gone, None)
+    if gone == "wattlake.llm":
+        monkeypatch.delitem(sys.modules, "corpus_pipeline", raising=False)
+    spec = importlib.util.spec_from_file_location("entry_alone", E.__file__)
+    alone = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(alone)
+    assert set(alone.queries()) == set(registry.queries())
+    assert set(alone.oracle_sql()) == set(registry.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -35,7 +50,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
