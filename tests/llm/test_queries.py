@@ -1,0 +1,30 @@
+"""The registered queries: which there are, and those that SQL can express against their SQL."""
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from wattlake.llm import queries
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+
+
+def test_all_are_registered():
+    names = set(entry.queries())
+    assert "pipeline" in names
+    for n in range(1, 11):
+        assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_matches_sql(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    got = queries.QUERIES[name](spark, SF)
+    want = con.execute(queries.ORACLE_SQL[name])
+    columns = [d[0] for d in want.description]
+    assert sorted(columns) == sorted(got.columns)
+    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(want.fetchall())
