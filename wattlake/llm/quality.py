@@ -46,12 +46,23 @@ def _let(value: Column, body) -> Column:
 
 
 def repeated_words(words: Column, window: int = WINDOW) -> Column:
-    """Words inside windows of ``window`` words that the text has twice or more."""
+    """Words inside windows of ``window`` (a power of two) words that the text has twice or more."""
 
-    def of_hashes(h: Column) -> Column:
-        n = F.size(h) - window + 1
-        windows = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(window)]))
-        return F.when(n > 1, _let(windows, of_windows)).otherwise(F.lit(0).cast("long"))
+    half = window // 2  # windows are hashed by doubling: 2, 4, ... words
+
+    def double(h: Column, width: int) -> Column:
+        return F.transform(F.slice(h, 1, F.greatest(F.size(h) - width, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(h, i + width)))
+
+    def of_grams(width: int):
+        def grow(g: Column) -> Column:
+            return of_halves(g) if width == half else _let(double(g, width), of_grams(2 * width))
+
+        return grow
+
+    def of_halves(g: Column) -> Column:
+        # no half window twice: no window twice
+        none = F.size(F.array_distinct(g)) == F.size(g)
+        return F.when(none, F.lit(0).cast("long")).otherwise(_let(double(g, half), of_windows))
 
     def of_windows(w: Column) -> Column:
         return F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0).cast("long")).otherwise(
@@ -69,19 +80,19 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
         steps = F.transform(starts, lambda x, i: F.least(F.coalesce(F.get(starts, i + 1) - x, F.lit(window)), F.lit(window)))
         return F.aggregate(steps, F.lit(0).cast("long"), lambda total, x: total + x)
 
-    return _let(F.transform(words, lambda w: F.xxhash64(w)), of_hashes)
+    return _let(F.transform(words, lambda w: F.xxhash64(w)), of_grams(1))
 
 
 def base_columns(text: Column) -> dict[str, Column]:
-    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of ``text``, as longs."""
+    """word_chars, n_symbols, n_dup_lines and, in ``of_words``, n_words and n_repeat_words of ``text``, as longs."""
     text = F.coalesce(text, F.lit(""))
+    of_words = _let(_words(text), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words")))
     lines = F.filter(F.split(text, "\n"), lambda line: F.translate(line, SPACES, "") != "")
     return {
-        "n_words": F.size(_words(text)).cast("long"),
+        "of_words": of_words,
         "word_chars": F.length(F.translate(text, SPACES, "")).cast("long"),
         "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
         "n_dup_lines": _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        "n_repeat_words": repeated_words(_words(text)),
     }
 
 
@@ -90,8 +101,8 @@ def _buckets(text: Column, bits: int) -> Column:
     tokens = F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda t: F.xxhash64(t))
 
     def both(h: Column) -> Column:
-        pairs = F.transform(h, lambda x, i: F.when(i > 0, F.xxhash64(F.get(h, i - 1), x)).otherwise(F.xxhash64(F.lit(0).cast("long"), x)))
-        return F.concat(h, pairs)
+        # the first token has nothing before it: a null, which the hash passes over
+        return F.concat(h, F.transform(h, lambda x, i: F.xxhash64(F.get(h, i - 1), x, F.lit(2))))
 
     return F.transform(_let(tokens, both), lambda x: F.shiftrightunsigned(x, 64 - bits).cast("int"))
 
@@ -139,6 +150,7 @@ def judge(docs: DataFrame, labels: DataFrame, min_score: float = MIN_SCORE) -> D
 
     score = F.coalesce(_let(_buckets(F.col("text"), BUCKET_BITS), mean), F.lit(0.0))
     out = docs.select("doc_id", "text", weight_array(table).alias("weights")).withColumns(base_columns(F.col("text")) | {"score": score}).drop("text", "weights")
+    out = out.select("doc_id", "of_words.*", "word_chars", "n_symbols", "n_dup_lines", "score")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     out = out.withColumn("base_failed", failed)
     return out.select("doc_id", *names, "base_failed", "score", (~F.col("base_failed") & (F.col("score") >= min_score)).alias("kept"))
