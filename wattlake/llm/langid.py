@@ -12,8 +12,9 @@ table entries over all its bytes.  The shortest code names the language.
 Training sample: per language about ``DOCS_PER_LANG`` documents, those whose
 id's hash lies under a threshold taken from the language's count, of at most
 ``MAX_DOC_BYTES`` each (longer ones are not used for training); the tree keeps
-the ``MAX_CONTEXTS`` most frequent contexts of all orders.  These bounds bound
-the tables that are broadcast.  Prediction reads every byte of every text.
+the ``MAX_CONTEXTS`` most frequent contexts of all orders; the ``MAX_LANGS`` most
+frequent languages are learned.  These bounds bound the tables that are
+broadcast.  Prediction reads every byte of every text.
 
 Defined results
 * null text, or text without a letter: ``und`` with score 0;
@@ -39,6 +40,7 @@ ORDER = 3
 DOCS_PER_LANG = 200
 MAX_DOC_BYTES = 16_384
 MAX_CONTEXTS = 16_384
+MAX_LANGS = 200
 UNKNOWN = "und"
 #: Code-length differences count as those of at most so many bytes, so that scores of long texts stay apart.
 SCORE_BYTES = 64
@@ -56,8 +58,9 @@ def training_sample(labelled: DataFrame, per_lang: int = DOCS_PER_LANG, max_byte
     """[(lang, text)]: at most ``per_lang`` texts a language, spread by hash; bounded by construction."""
     fit = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") <= max_bytes))
     fit = fit.select("lang", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("h"))
-    counts = fit.groupBy("lang").count()
-    near = fit.join(counts, "lang").where(F.col("h") * F.col("count") < F.lit(2.0 * per_lang * (1 << 30)))
+    # one row a language, so small; filtering by it comes before any text is moved
+    counts = fit.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS)
+    near = fit.join(F.broadcast(counts), "lang").where(F.col("h") * F.col("count") < F.lit(2.0 * per_lang * (1 << 30)))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
     rows = near.withColumn("n", first).where(F.col("n") <= per_lang).select("lang", "text").collect()
     return sorted((r["lang"], r["text"]) for r in rows)
@@ -104,7 +107,7 @@ class ContextTrees:
                 kept[order].append(key)
         uniform = np.full(s, 1 / 256)
         uniform[0] = unseen / 256
-        rows, parent_of, base = [], {}, 0
+        parent_of, base = {}, 0
         probs = np.empty((1 + sum(map(len, kept)), s, len(self.langs)))
         deepest = np.zeros(s**ORDER, np.int32)
         for order in range(ORDER + 1):
@@ -134,7 +137,7 @@ class ContextTrees:
         with np.errstate(divide="ignore"):
             bits = -np.log2(probs)
         bits[:, 0, :] += np.log2(max(unseen, 1))  # which of the unseen bytes it is
-        self.bits = np.minimum(bits, 64).astype(np.float32).reshape(-1, len(self.langs))
+        self.bits = np.minimum(bits, 64).astype(np.float32).reshape(len(probs) * s, len(self.langs))
 
     def _grams(self, texts: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per order: (context and byte as one number, count)."""
