@@ -76,3 +76,34 @@ def test_chunks_do_not_change_code_lengths(monkeypatch):
     whole = model.code_bits("abxyc" * 50)[0]
     monkeypatch.setattr(langid, "CHUNK", 7)
     assert model.code_bits("abxyc" * 50)[0] == pytest.approx(whole)
+
+
+def test_languages_of_long_texts_only_are_learned(spark):
+    short = ["this is the house of the man", "and there was a garden behind it"]
+    long = ["das ist ein schönes großes haus für dich und mich " * 700, "wir gehen über die straße zum bäcker " * 900]
+    assert min(len(t.encode()) for t in long) > langid.MAX_DOC_BYTES
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([(t, "en") for t in short] + [(t, "de") for t in long])]
+    new = [(10, "this was a garden", None), (11, "ein haus für dich", None)]
+    labelled, docs = (spark.createDataFrame(r, "doc_id long, text string, lang string") for r in (rows, rows + new))
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs, labelled).collect()}
+    assert got == {0: "en", 1: "en", 2: "de", 3: "de", 10: "en", 11: "de"}
+    sample = langid.training_sample(labelled)
+    whole = dict.fromkeys(short + long)
+    for _, part in sample:
+        assert langid.MAX_DOC_BYTES - 6 <= len(part.encode()) <= langid.MAX_DOC_BYTES or part in whole
+        assert any(part in t for t in whole)
+    # without a short text no document is unknown
+    only = spark.createDataFrame(rows[2:], "doc_id long, text string, lang string")
+    assert {r.lang_pred for r in langid.identify(only, only).collect()} == {"de"}
+
+
+def test_every_language_is_in_the_sample(spark, monkeypatch):
+    rows = [(i, f"text {i}", f"l{i % 230:03d}") for i in range(460)] + [(1, "a copy", "copies")] * 5000
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {lang for lang, _ in langid.training_sample(labelled)} == {r[2] for r in rows}
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 10)
+    sample = langid.training_sample(labelled)
+    assert sorted(lang for lang, _ in sample) == sorted({r[2] for r in rows})
+    monkeypatch.setattr(langid, "TABLE_ENTRIES", 231 * 40 * 3)
+    model = langid.ContextTrees(sample)
+    assert model.bits.shape[1] == 231 and model.bits.size <= langid.TABLE_ENTRIES + 231 * model.size

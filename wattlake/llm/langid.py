@@ -9,12 +9,16 @@ are frozen, so every (context, byte) has one exact code length; these are
 tabulated once and a document's code length under each language is a sum of
 table entries over all its bytes.  The shortest code names the language.
 
-Training sample: per language about ``DOCS_PER_LANG`` documents, those whose
-id's hash lies under a threshold taken from the language's count, of at most
-``MAX_DOC_BYTES`` each (longer ones are not used for training); the tree keeps
-the ``MAX_CONTEXTS`` most frequent contexts of all orders; the ``MAX_LANGS`` most
-frequent languages are learned.  These bounds bound the tables that are
-broadcast.  Prediction reads every byte of every text.
+Training sample: every labelled language is learned, from at most
+``DOCS_PER_LANG`` of its documents (fewer where there are so many languages that
+``SAMPLE_DOCS`` would not do for all, never none).  Documents of any length are
+drawn, by a hash under a threshold taken from the language's count; of one
+longer than ``MAX_DOC_BYTES`` a slice of that many bytes, from a place given by
+the hash, is trained on.  The tree keeps the ``MAX_CONTEXTS`` most frequent
+contexts of all orders, or as many as keep the table within ``TABLE_ENTRIES``
+for all languages.  These bounds bound the sample and the table that is
+broadcast, up to one document and one context (order 0) for each language.
+Prediction reads every byte of every text.
 
 Defined results
 * null text, or text without a letter: ``und`` with score 0;
@@ -34,13 +38,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import fresh
+from wattlake.llm.common import fresh, stored
 
 ORDER = 3
 DOCS_PER_LANG = 200
 MAX_DOC_BYTES = 16_384
 MAX_CONTEXTS = 16_384
-MAX_LANGS = 200
+SAMPLE_DOCS = 40_000
+TABLE_ENTRIES = 1 << 26
 UNKNOWN = "und"
 #: Code-length differences count as those of at most so many bytes, so that scores of long texts stay apart.
 SCORE_BYTES = 64
@@ -55,15 +60,21 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(labelled: DataFrame, per_lang: int = DOCS_PER_LANG, max_bytes: int = MAX_DOC_BYTES) -> list[tuple[str, str]]:
-    """[(lang, text)]: at most ``per_lang`` texts a language, spread by hash; bounded by construction."""
-    fit = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") <= max_bytes))
+    """[(lang, text)]: at most ``per_lang`` texts (slices of long ones) of every language, spread by hash."""
+    fit = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     fit = fit.select("lang", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("h"))
     # one row a language, so small; filtering by it comes before any text is moved
-    counts = fit.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS)
-    near = fit.join(F.broadcast(counts), "lang").where(F.col("h") * F.col("count") < F.lit(2.0 * per_lang * (1 << 30)))
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    rows = near.withColumn("n", first).where(F.col("n") <= per_lang).select("lang", "text").collect()
-    return sorted((r["lang"], r["text"]) for r in rows)
+    counts = stored(fit.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.min("h").alias("least")), "language-counts")
+    per_lang = max(1, min(per_lang, SAMPLE_DOCS // max(1, counts.count())))
+    # the least hash always goes in, as copies of one document may all lie over the threshold
+    drawn = (F.col("h") * F.col("count") < F.lit(2.0 * per_lang * (1 << 30))) | (F.col("h") == F.col("least"))
+    near = fit.join(F.broadcast(counts), "lang").where(drawn)
+    start = F.pmod(F.xxhash64("h"), F.greatest(F.octet_length("text") - max_bytes + 1, F.lit(1))).cast("int")
+    near = near.select("lang", "h", F.substring(F.col("text").cast("binary"), start + 1, F.lit(max_bytes)).alias("part"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("h", "part"))
+    rows = near.withColumn("n", first).where(F.col("n") <= per_lang).select("lang", "part").collect()
+    # a slice may begin or end inside a character
+    return sorted((r["lang"], r["part"].decode("utf-8", "ignore")) for r in rows)
 
 
 class ContextTrees:
@@ -98,6 +109,7 @@ class ContextTrees:
                 for key, count in zip(keys.tolist(), sums.tolist()):
                     total[order][key] = total[order].get(key, 0) + count
         ranked = sorted(((-n, order, key) for order in range(1, ORDER + 1) for key, n in total[order].items()))
+        max_contexts = min(max_contexts, TABLE_ENTRIES // (s * max(1, len(self.langs))))
         kept: list[list[int]] = [[] for _ in range(ORDER + 1)]
         chosen: list[dict[int, int]] = [{} for _ in range(ORDER + 1)]
         for _, order, key in ranked[:max_contexts]:
