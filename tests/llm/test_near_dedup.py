@@ -65,3 +65,27 @@ def test_chains_of_links(spark):
 
 def test_empty_table(spark):
     assert near_dedup.near_duplicates(cases.table(spark, [])).collect() == []
+
+
+def test_bounds_hold_for_every_threshold():
+    from math import comb
+
+    assert near_dedup.bounds(80) == (32, 10)
+    for threshold in range(1, 101):
+        k, shared = near_dedup.bounds(threshold)
+        t = threshold / 100
+        assert shared >= 1
+        assert sum(comb(k, i) * t**i * (1 - t) ** (k - i) for i in range(shared)) <= near_dedup.MISS
+    with pytest.raises(ValueError):
+        near_dedup.bounds(0)
+
+
+def test_low_thresholds_lose_no_link(spark):
+    """Pairs with a similarity of 30 per cent, 60 of 200 words."""
+    rows = []
+    for i in range(20):
+        words = [f"w{i}x{j}" for j in range(200)]
+        rows += [(2 * i, " ".join(words[:130])), (2 * i + 1, " ".join(words[70:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, words=1, threshold=30).collect()}
+    assert got == {i: i - i % 2 for i in range(40)}

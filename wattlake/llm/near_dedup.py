@@ -3,12 +3,13 @@
 A document is the set of the 64-bit hashes of its word shingles.  Documents
 with equal sets are one class from the start; all work below is on class
 representatives.  The *bottom-k sketch* of a set is its ``K`` smallest hashes.
-Two sets of similarity 0.8 share at least ``SHARED`` values of the sketch of
-their union but for a chance below 1e-9 (small sets: for certain, as the sketch
-is the set).  Hence:
+Two sets of the threshold's similarity share at least so many values of the
+sketch of their union as ``bounds`` says (10 of 32 at 0.8), but for a chance of
+at most ``MISS`` (small sets: for certain, as the sketch is the set); low
+thresholds take longer sketches.  Hence:
 
 1. inverted lists: each class is listed under its rarest sketch values only,
-   as many as two sketches with ``SHARED`` common values must meet in (prefix
+   as many as two sketches with so many common values must meet in (prefix
    filter: one order of values, by frequency then value, for all).  A value
    that a passage spreads over a third of the corpus is thus never a list
    unless documents have little else;
@@ -36,6 +37,7 @@ Defined results
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -46,8 +48,8 @@ from pyspark.sql import functions as F
 
 from wattlake.llm.common import stored
 
-K = 32
-SHARED = 10
+K = 32  # at least; see ``bounds``
+MISS = 1e-9
 SHORT_LIST = 16
 WORDS = 5
 THRESHOLD = 80  # per cent
@@ -87,8 +89,28 @@ class Shingles:
         return x ^ (x >> np.uint64(32))
 
 
-def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, s1, s2, sketch): set size, 128-bit hash of the set, the K smallest hashes."""
+def bounds(threshold: int) -> tuple[int, int]:
+    """(sketch length k, values shared): pairs at ``threshold`` per cent share fewer with a chance of at most MISS.
+
+    The shared values of a union's sketch are drawn without replacement, so
+    the binomial tail bounds the chance from above.
+    """
+    if not 1 <= threshold <= 100:
+        raise ValueError(f"threshold must be 1 to 100 per cent, not {threshold}")
+    t, k = threshold / 100, K
+    while (1 - t) ** k > MISS:
+        k += 1
+    shared, tail = 0, 0.0
+    while shared < k:
+        tail += math.comb(k, shared) * t**shared * (1 - t) ** (k - shared)
+        if tail > MISS:
+            break
+        shared += 1
+    return k, shared
+
+
+def sketches(docs: DataFrame, words: int = WORDS, k: int = K) -> DataFrame:
+    """(doc_id, n_shingles, s1, s2, sketch): set size, 128-bit hash of the set, the k smallest hashes."""
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(words)
@@ -98,7 +120,7 @@ def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 found = shingles.of(text)
                 whole = xxhash.xxh3_128_digest(found.tobytes())
                 s1, s2 = np.frombuffer(whole, np.int64).tolist()
-                rows.append((doc_id, len(found), s1, s2, found[:K].view(np.int64)))
+                rows.append((doc_id, len(found), s1, s2, found[:k].view(np.int64)))
             yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "s1", "s2", "sketch"])
 
     schema = "doc_id string, n_shingles long, s1 long, s2 long, sketch array<long>"
@@ -123,9 +145,10 @@ def sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
 def _least_shared(n: Column, threshold: int) -> Column:
     """Sketch values that a linked pair shares at least, if one of its sets has ``n``."""
+    k, shared = bounds(threshold)
     whole = F.ceil(n * threshold / 100)
     # where partners' sketches are whole sets too, the bound is exact
-    return F.when(n <= K * threshold // 100, whole).otherwise(F.lit(SHARED))
+    return F.when(n <= k * threshold // 100, whole).otherwise(F.lit(shared))
 
 
 def _prefixes(reps: DataFrame, threshold: int) -> DataFrame:
@@ -148,11 +171,12 @@ def _fits(na: str, nb: str, threshold: int) -> Column:
 
 def _estimated(pairs: DataFrame, reps: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) that their union sketch does not rule out, with the shared values ``m``."""
+    k, shared = bounds(threshold)
     side = lambda x: reps.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").where(_fits("na", "nb", threshold))
-    union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, K)
+    union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, k)
     both = both.select("a", "b", "na", "nb", F.size(F.array_intersect(F.array_intersect("sa", "sb"), union)).alias("m"))
-    return both.where(F.col("m") >= F.least(_least_shared(F.col("na"), threshold), _least_shared(F.col("nb"), threshold), F.lit(SHARED)))
+    return both.where(F.col("m") >= F.least(_least_shared(F.col("na"), threshold), _least_shared(F.col("nb"), threshold), F.lit(shared)))
 
 
 def _verified(pairs: DataFrame, full: DataFrame, threshold: int) -> DataFrame:
@@ -206,7 +230,7 @@ def _across(pairs: DataFrame, roots: DataFrame, *more: str) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
-    rows = stored(sketches(docs, words), "near-sketches")
+    rows = stored(sketches(docs, words, bounds(threshold)[0]), "near-sketches")
     named = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = stored(named.groupBy("s1", "s2").agg(F.min("doc_id").alias("node")), "near-classes")
     rep = named.join(classes.select("node", F.col("s1").alias("t1"), F.col("s2").alias("t2")), (F.col("doc_id") == F.col("node")) & (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")))
