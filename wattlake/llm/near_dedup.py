@@ -109,23 +109,28 @@ def bounds(threshold: int) -> tuple[int, int]:
     return k, shared
 
 
-def sketches(docs: DataFrame, words: int = WORDS, k: int = K) -> DataFrame:
-    """(doc_id, n_shingles, s1, s2, sketch): set size, 128-bit hash of the set, the k smallest hashes."""
+def sketches(docs: DataFrame, words: int = WORDS, k: int = K, text_key: str | None = None) -> DataFrame:
+    """(doc_id, n_shingles, s1, s2, sketch): set size, 128-bit hash of the set, the k smallest hashes.
+
+    With ``text_key``, a 64-bit hash of the text comes along under that name.
+    """
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(words)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            for doc_id, text, *key in zip(*map(batch.get, names)):
                 found = shingles.of(text)
                 whole = xxhash.xxh3_128_digest(found.tobytes())
                 s1, s2 = np.frombuffer(whole, np.int64).tolist()
-                rows.append((doc_id, len(found), s1, s2, found[:k].view(np.int64)))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "s1", "s2", "sketch"])
+                rows.append((doc_id, len(found), s1, s2, found[:k].view(np.int64), *key))
+            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "s1", "s2", "sketch", *keys])
 
-    schema = "doc_id string, n_shingles long, s1 long, s2 long, sketch array<long>"
+    keys = [text_key] if text_key else []
+    names = ["doc_id", "text", *keys]
+    schema = "doc_id string, n_shingles long, s1 long, s2 long, sketch array<long>" + "".join(f", {c} long" for c in keys)
     kind = docs.schema["doc_id"].dataType
-    out = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, schema)
+    out = docs.select(F.col("doc_id").cast("string"), "text", *[F.xxhash64("text").alias(c) for c in keys]).mapInPandas(run, schema)
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
@@ -228,9 +233,9 @@ def _across(pairs: DataFrame, roots: DataFrame, *more: str) -> DataFrame:
     return pairs.where("ra <> rb").select("a", "b", *more)
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
-    rows = stored(sketches(docs, words, bounds(threshold)[0]), "near-sketches")
+def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, text_key: str | None = None) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``; with ``text_key``, also a hash of its text."""
+    rows = stored(sketches(docs, words, bounds(threshold)[0], text_key), "near-sketches")
     named = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = stored(named.groupBy("s1", "s2").agg(F.min("doc_id").alias("node")), "near-classes")
     rep = named.join(classes.select("node", F.col("s1").alias("t1"), F.col("s2").alias("t2")), (F.col("doc_id") == F.col("node")) & (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")))
@@ -275,4 +280,4 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: int = THRESH
     of_class = classes.join(roots, "node", "left").select(F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.coalesce("root", "node").alias("root"))
     out = rows.join(of_class, (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), "left")
     component = F.coalesce("root", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"), *([text_key] if text_key else []))
