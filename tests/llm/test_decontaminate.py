@@ -1,0 +1,100 @@
+import random
+import re
+
+from tests.llm import cases
+from wattlake.llm import decontaminate
+from wattlake.llm.common import stored
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def words(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return WORD.findall(lowered)
+
+
+def brute(text, items, window=10):
+    """(words, hit words, ids) by trying every window at every place."""
+    doc, hit, ids = words(text), set(), set()
+    for item_id, item in items:
+        w = words(item)
+        size = min(window, len(w))
+        for s in range(len(w) - size + 1 if w else 0):
+            for at in range(len(doc) - size + 1):
+                if doc[at : at + size] == w[s : s + size]:
+                    hit.update(range(at, at + size))
+                    if item_id is not None:
+                        ids.add(str(item_id))
+    return len(doc), len(hit), sorted(ids)
+
+
+def made(seed=3):
+    rnd = random.Random(seed)
+    few = ["the", "of", "ÉTÉ", "a1", "straße", "Been", "x"]
+    say = lambda n, some=few: " ".join(rnd.choice(some) for _ in range(n))
+    rare = [f"w{i}" for i in range(40)]
+    items = [(i, say(rnd.randint(10, 30), few + rare)) for i in range(12)]
+    items += [(20, "one two three"), (21, "Alone"), (22, None), (23, ""), (24, "?!"), (25, items[0][1]), (2, say(12, rare)), (None, "nameless words here")]
+    items += [items[3], (26, say(14, few)), (27, say(12, ["the"]))]
+    texts = [say(rnd.randint(0, 60), few + rare) for _ in range(20)]
+    for i in range(12):
+        inside = items[i][1].split()
+        cut = inside[rnd.randint(0, 5) :][: rnd.randint(6, 30)]
+        texts.append(f"{say(rnd.randint(0, 9))} {', '.join(cut).upper().replace('É', 'é')}! {say(7, rare)}")
+    texts += [say(300), items[1][1] + " " + items[1][1], "One, two: three alone", "one two", "ALONE", "nameless words here", None, "", " \t", "¿é?", "İ one two three"]
+    texts += [say(4000, few + rare) + " " + items[4][1]] + [texts[21]] * 3
+    docs = [(i, t, "en", "s", 1, "c", "s") for i, t in enumerate(texts)]
+    docs += [docs[21], docs[21], (None, texts[22], None, None, None, None, None), (5, texts[23], "n", "s", 0, "", "")]
+    return docs, items
+
+
+def test_equals_brute_force_on_awkward_rows(spark):
+    docs, items = made()
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contamination(cases.table(spark, docs), bench).select("doc_id", "n_words", "n_hit", "items").collect()
+    want = [(d[0], *brute(d[1], items)) for d in docs]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1:])
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+    assert sum(1 for r in want if r[2]) > 10 and any(r[2] == 0 and r[1] > 20 for r in want)
+
+
+def test_plain_joins_give_the_same(spark, monkeypatch):
+    """Beyond the broadcast bound the joins are shuffled."""
+    monkeypatch.setattr(decontaminate, "join_small", lambda big, small, on, how="left": big.join(small.hint("merge"), on, how))
+    docs, items = made(4)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contamination(cases.table(spark, docs), bench).select("doc_id", "n_words", "n_hit", "items").collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1:])
+    assert sorted(map(tuple, got), key=key) == sorted([(d[0], *brute(d[1], items)) for d in docs], key=key)
+
+
+def test_proximity(spark):
+    item = "alpha beta gamma delta epsilon"
+    texts = [item, "alpha beta big gamma delta epsilon", "alpha beta big big gamma delta epsilon", "beta gamma delta alpha epsilon", "alpha beta gamma delta"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    hit = lambda slop: {r["doc_id"] for r in decontaminate.contamination(docs, bench, slop=slop).where("n_hit > 0").collect()}
+    assert hit(0) == {0}
+    assert hit(1) == {0, 1}
+    assert hit(2) >= {0, 1, 2} and 4 not in hit(2)
+    exact = decontaminate.contamination(docs, bench).where("n_hit > 0").first()
+    assert (exact["n_hit"], exact["items"]) == (5, ["1"])
+
+
+def test_matches_are_maximal_phrases(spark):
+    docs = spark.createDataFrame([(1, "x a b c d e f g h i j k l y")], "doc_id long, text string")
+    _, words_ = decontaminate.items_of(spark.createDataFrame([(7, "a b c d e f g h i j k l z")], "item_id long, text string"))
+    terms = decontaminate.terms_of(words_)
+    occurrences = stored(words_.join(terms, "word").drop("word"), "test-words")
+    got = decontaminate.matches(decontaminate.postings(docs, terms), occurrences).collect()
+    assert [(r["first"], r["last"], r["diagonal"], sorted(r["positions"])) for r in got] == [(0, 11, 1, list(range(1, 13)))]
+
+
+def test_empty_tables_and_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b c", 5, "k")], "doc_id long, text string, n_hit int, T1 string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    out = decontaminate.contamination(docs, none)
+    assert out.columns == ["doc_id", "text", "T1", "n_words", "n_hit", "items"]
+    assert [tuple(r) for r in out.collect()] == [(1, "a b c", "k", 3, 0, [])]
+    bench = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    assert decontaminate.contamination(docs.where("false"), bench).collect() == []

@@ -15,14 +15,15 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data
 def test_all_are_registered():
     names = set(entry.queries())
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for table in ("documents", "benchmark", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     got = queries.QUERIES[name](spark, SF)
     want = con.execute(queries.ORACLE_SQL[name])
     columns = [d[0] for d in want.description]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import read_table, stored
-from wattlake.llm import bpe, langid, mixing, quality, token_files, url_filter
+from wattlake.llm import bpe, centroids, decontaminate, langid, mixing, quality, token_files, url_filter
 from wattlake.llm.fingerprint import fingerprints
 from wattlake.llm.line_dedup import line_dedup
 from wattlake.llm.near_dedup import near_duplicates
@@ -70,6 +70,20 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, final = centroids.clustered(read_table(spark, sf_dir, "embeddings"))
+    names = F.array(*[F.lit(x) for x in centroids.digests(final)]).cast("array<string>")
+    return out.withColumn("centroid_sha256", F.get(names, F.col("cluster")))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -81,8 +95,40 @@ QUERIES = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_token_files": op9_token_files,
     "op10_fingerprints": op10_fingerprints,
+    "op11_decontamination": op11_decontamination,
+    "op12_centroid_clustering": op12_centroid_clustering,
 }
 
+
+def _clustering_sql(rounds: int = centroids.ROUNDS) -> str:
+    """Every round of assignment and new means as common table expressions of their own."""
+    steps = [
+        """kept AS MATERIALIZED (
+  SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF isfinite(x)]) = 64
+)""",
+        """c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS c, v FROM (SELECT sha256('1:' || vec_id) AS h, v FROM kept ORDER BY h LIMIT 16)
+)""",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, c, k.v, list_sum([(k.v[j] - m.v[j]) * (k.v[j] - m.v[j]) FOR j IN range(1, 65)])::BIGINT AS distance
+  FROM kept k CROSS JOIN c{r} m QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, c) = 1
+)""")
+        steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c, coalesce(n.v, o.v) AS v FROM c{r} o LEFT JOIN (
+    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS v
+    FROM (SELECT c, j, sum(x) AS s, count(*) AS n FROM (SELECT c, unnest(v) AS x, unnest(range(64)) AS j FROM a{r}) GROUP BY c, j) GROUP BY c
+  ) n USING (c)
+)""")
+    return "WITH " + ",\n".join(steps[:-1]) + f"""
+SELECT vec_id, c::INT AS cluster, distance, (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} m USING (c)
+"""
+
+
 ORACLE_SQL = {
     "op1_line_dedup": """
 WITH split AS (
@@ -169,4 +215,30 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
        ((copies + (upto <= rest OR (upto - words <= rest AND 2 * (rest - upto + words) >= words))::BIGINT) * size)::BIGINT AS taken
 FROM r
 """,
+    "op11_decontamination": """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+),
+item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[s : s + least(len(w), 10) - 1], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM item WHERE len(w) > 0)
+),
+gram AS (
+  SELECT doc_id, s, k, array_to_string(w[s : s + k - 1], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS s FROM d) JOIN (SELECT DISTINCT k FROM win) ON s + k - 1 <= len(w)
+),
+hit AS (SELECT doc_id, s, k, item_id FROM gram JOIN win USING (k, g)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + k)) AS p FROM hit) GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+""",
+    "op12_centroid_clustering": _clustering_sql(),
 }
