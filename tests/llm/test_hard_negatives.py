@@ -1,0 +1,91 @@
+import math
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from wattlake.llm import hard_negatives as hn
+
+SCHEMA = "vec_id long, embedding array<float>, label int, codes string"
+
+
+def brute(made, every=10, positives=5, negatives=10):
+    rows = [(i, y, [math.floor(256 * x) for x in v]) for i, v, y, *_ in made if v is not None and y is not None and all(x is not None and math.isfinite(x) for x in v)]
+    score = lambda a, b: sum(x * y for x, y in zip(a, b))
+    place = lambda s, i: (-s, i is None, i or 0)
+    out = []
+    for at, (i, y, v) in enumerate(rows):
+        if i is None or i % every:
+            continue
+        others = [(score(v, w), j, z) for k, (j, z, w) in enumerate(rows) if k != at]
+        near = sorted(((s, j) for s, j, z in others if z == y), key=lambda x: place(*x))[:positives]
+        for ps, p in near:
+            band = sorted(((s, j) for s, j, z in others if z != y and 30 * ps <= 100 * s <= 90 * ps), key=lambda x: place(*x))
+            out += [(i, p, r, j, ps, s) for r, (s, j) in enumerate(band[:negatives], 1)]
+    return out
+
+
+def rows(n=260, dims=64, seed=2, grid=64):
+    rnd = random.Random(seed)
+    f = lambda x: round(x * grid) / grid
+    made = [(i, [f(rnd.gauss(0, 0.2)) for _ in range(dims)], i % 3, "c") for i in range(n)]
+    made += [(n + i, made[10][1], i % 2, "c") for i in range(40)]  # one common vector: ties
+    made += [made[10], made[10], (20, made[21][1], 1, None), (None, made[30][1], 0, "c"), (None, made[30][1], 1, "c")]
+    made += [(2000, [0.0] * dims, 1, "c"), (2010, [0.5] * dims, 77, "c"), (2020, [-x for x in made[10][1]], -4, "c"), (2030, [0.25], 1, "c"), (2040, [], 0, "c")]
+    bad = [None, [None] + [0.5] * (dims - 1), [math.nan] * dims, [math.inf] + [0.0] * (dims - 1)]
+    return made + [(3000 + 10 * i, v, 0, "c") for i, v in enumerate(bad)] + [(4000, made[0][1], None, "c")]
+
+
+def result(spark, made, every=10):
+    out = hn.mine(spark.createDataFrame(made, SCHEMA).repartition(3), F.col("vec_id") % every == 0)
+    return [tuple(r) for r in out.collect()]
+
+
+def order(found):
+    return sorted(found, key=lambda r: tuple((x is None, x or 0) for x in r))
+
+
+def test_equals_brute_force_on_awkward_rows(spark, monkeypatch):
+    monkeypatch.setattr(hn, "LANE", 100)
+    monkeypatch.setattr(hn, "GROUP", 9)
+    made = rows()
+    want = brute(made)
+    assert len(want) > 500
+    assert order(result(spark, made)) == order(want)
+
+
+def test_empty_table(spark):
+    assert result(spark, [(10, None, 1, "c")]) == []
+
+
+def test_intervals_hold_and_filter():
+    rng = np.random.default_rng(1)
+    for dims in (3, 64, 100):
+        vectors = np.floor(256 * rng.normal(0, 0.125, (400, dims))).astype(np.int64)
+        vectors[5], vectors[6] = 0, 7
+        coder = hn.Coder(dims)
+        codes, alignments, rest = coder.codes(vectors)
+        least, most = coder.intervals({"codes": codes, "alignments": alignments, "rest": rest}, coder.planes(vectors[:40]))
+        exact = vectors[:40] @ vectors.T
+        assert (least <= exact).all() and (exact <= most).all()
+        lengths = np.sqrt((vectors[:40] ** 2).sum(axis=1))[:, None] * np.sqrt((vectors**2).sum(axis=1))[None, :]
+        assert np.median((most - least) / np.maximum(lengths, 1)) < 0.5  # without codes it would be 2
+
+
+def test_blocks_only_score_what_intervals_leave(monkeypatch):
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(hn, "CHUNK", 500)
+    seen = []
+    plain = hn._scored
+    monkeypatch.setattr(hn, "_scored", lambda *a: (lambda out: (seen.append(len(out[0])), out)[1])(plain(*a)))
+    vectors = np.floor(256 * rng.normal(0, 0.125, (8000, 64))).astype(np.int64)
+    side = object.__new__(hn.Side)
+    side.row, side.label, side.late = np.arange(8000), np.arange(8000) % 2, np.zeros(8000, bool)
+    side.id, side.vector = side.row, vectors
+    side.coded = dict(zip(("codes", "alignments", "rest"), hn.Coder(64).codes(vectors)))
+    anchors = object.__new__(hn.Side)
+    anchors.row, anchors.label, anchors.vector = side.row[:50], side.label[:50], vectors[:50]
+    i, j, score = hn.best_positives(side, anchors, 64, 5)
+    exact = vectors[:50] @ vectors.T
+    assert (score == exact[i, j]).all() and len(i) == 250
+    assert sum(seen) < 0.15 * 50 * 4000

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import read_table, stored
-from wattlake.llm import bpe, centroids, decontaminate, langid, mixing, quality, token_files, url_filter
+from wattlake.llm import bpe, centroids, decontaminate, hard_negatives, langid, mixing, quality, token_files, url_filter
 from wattlake.llm.fingerprint import fingerprints
 from wattlake.llm.line_dedup import line_dedup
 from wattlake.llm.near_dedup import near_duplicates
@@ -84,6 +84,11 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("centroid_sha256", F.get(names, F.col("cluster")))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -97,6 +102,7 @@ QUERIES = {
     "op10_fingerprints": op10_fingerprints,
     "op11_decontamination": op11_decontamination,
     "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 
@@ -241,4 +247,23 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
 """,
     "op12_centroid_clustering": _clustering_sql(),
+    "op13_hard_negatives": """
+WITH e AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF isfinite(x)]) = len(embedding)
+),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         list_sum([a.v[j] * b.v[j] FOR j IN range(1, len(a.v) + 1)])::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INT AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 10
+""",
 }
