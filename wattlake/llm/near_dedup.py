@@ -18,9 +18,16 @@ thresholds take longer sketches.  Hence:
 3. estimation: pairs whose sizes or union sketch rule out the similarity go;
 4. verification on full sets: first one pair for each class, then what is left
    between different components;
-5. long lists whose members still lie in several components give the pairs
-   between those components that size and estimation leave, so that no
-   link is lost; links inside a component cannot change it.
+5. long lists whose members still lie in several components are replaced, for
+   these members, by lists under the rarest values of their *full* sets.  If a
+   value is the first one that two sets share, in an order by frequency, their
+   overlap is at most what comes from it on in either set, its *reach*; a pair
+   is only looked at where both reaches make the threshold with both sizes
+   (exact, no estimate).  A member whose reach suits no size in its list leaves
+   it: documents that share a passage, and copies edited just too much, whose
+   own rare values come first.  What is left is paired across components only,
+   the members outside a list's largest component with the others, as links
+   inside a component cannot change it.
 
 Similarity is decided on sets of 64-bit shingle hashes in integers
 (100 * common >= threshold * union).
@@ -43,7 +50,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import stored
@@ -53,6 +60,8 @@ MISS = 1e-9
 SHORT_LIST = 16
 WORDS = 5
 THRESHOLD = 80  # per cent
+RARE = 128  # values of a set that are counted while its lists are paired
+VALUES = 100_000  # of a set that become rows at a time
 VOCABULARY = 500_000  # word hashes a task remembers at most
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -225,6 +234,60 @@ def components(edges: DataFrame) -> DataFrame:
         seen = now
 
 
+def _ordered(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """(node, text, n, value, df, rank): the full sets of ``members``, each in the order by frequency among them.
+
+    Several texts with one doc_id are sets of their own.
+    """
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for node, text, members in zip(batch["node"], batch["text"], batch["members"]):
+                values = np.frombuffer(members, np.int64)
+                for at in range(0, len(values), VALUES):
+                    yield pd.DataFrame({"node": node, "text": text, "n": len(values), "value": values[at : at + VALUES]})
+
+    kind = docs.schema["doc_id"].dataType
+    full = sets(docs, members, words).select(F.col("node").cast("string"), F.xxhash64("members").alias("text"), "members")
+    values = full.dropDuplicates(["node", "text"]).mapInPandas(run, "node string, text long, n long, value long")
+    values = stored(values, "near-values")
+    often = values.groupBy("value").agg(F.count(F.lit(1)).alias("df"))
+    rank = F.row_number().over(Window.partitionBy("node", "text").orderBy("df", "value"))
+    return values.join(often, "value").withColumn("rank", rank).withColumn("node", F.col("node").cast(kind))
+
+
+def _still_open(docs: DataFrame, members: DataFrame, words: int, threshold: int) -> DataFrame:
+    """Pairs (a, b) across components among ``members`` (node, root) that their full sets' rarest values allow."""
+
+    def linkable(overlap: Column, one: Column, other: Column) -> Column:
+        # overlap >= threshold * union, with the union as both sizes less the overlap
+        return overlap * (100 + threshold) >= (one + other) * threshold
+
+    prefix = F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1  # a partner shares one of so many
+    placed = _ordered(docs, members.select("node"), words).where(F.col("rank") <= F.greatest(prefix, F.lit(RARE)))
+    placed = stored(placed, "near-placed")
+    rare = placed.where(F.col("rank") <= RARE).groupBy("node", "text").agg(F.collect_list("value").alias("rare"))
+    at = placed.where((F.col("rank") <= prefix) & (F.col("df") > 1)).withColumn("reach", F.col("n") - F.col("rank") + 1)
+    at = stored(at.join(members, "node").select("value", "node", "text", "n", "reach", "root"), "near-places")
+    least = at.groupBy("value").agg(F.min("n").alias("least"))
+    at = at.join(least, "value").where(linkable(F.col("reach"), F.col("n"), F.col("least"))).drop("least")
+    parts = at.groupBy("value", "root").agg(F.count(F.lit(1)).alias("size")).groupBy("value")
+    parts = parts.agg(F.max(F.struct("size", "root"))["root"].alias("largest"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    at = stored(at.join(parts.select("value", "largest"), "value").join(rare, ["node", "text"]), "near-parted")
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "root", "reach", "rare")]
+    left = at.select("value", "largest", *side("a"))
+    right = at.where("root <> largest").select("value", *side("b"))
+    once = (F.col("root_a") == F.col("largest")) | (F.col("node_a") < F.col("node_b"))
+    unseen = F.greatest(F.col("n_a") - F.size("rare_a"), F.col("n_b") - F.size("rare_b"))
+    allowed = (
+        (F.col("root_a") != F.col("root_b")) & once & _fits("n_a", "n_b", threshold)
+        & linkable(F.least("reach_a", "reach_b"), F.col("n_a"), F.col("n_b"))
+        & linkable(F.size(F.array_intersect("rare_a", "rare_b")) + unseen, F.col("n_a"), F.col("n_b"))
+    )
+    both = left.join(right, (left["value"] == right["value"]) & allowed)
+    return both.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
 def _across(pairs: DataFrame, roots: DataFrame, *more: str) -> DataFrame:
     """Pairs whose ends lie in different components."""
     for x in ("a", "b"):
@@ -266,11 +329,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: int = THRESH
     # long lists that still lie in several components
     at = lists.join(centre.select("value"), "value").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = at.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("value")
-    at = stored(at.join(open_, "value", "left_semi").select("value", "node", "n", "root"), "near-open")
-    left = at.select("value", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    right = at.select("value", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    cross = left.join(right, "value").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _fits("na", "nb", threshold))
-    cross = cross.select("a", "b").distinct().join(found.select("a", "b"), ["a", "b"], "left_anti")
+    at = stored(at.join(open_, "value", "left_semi").select("node", "root").distinct(), "near-open")
+    cross = _still_open(docs, at, words, threshold).join(found.select("a", "b"), ["a", "b"], "left_anti")
     more = stored(_estimated(cross, reps, threshold), "near-more")
     if not more.isEmpty():
         wanted = more.select(F.col("a").alias("node")).union(more.select("b")).distinct()

@@ -220,6 +220,25 @@ r AS (
 SELECT doc_id, size, source_size, round(target, 6) AS target,
        ((copies + (upto <= rest OR (upto - words <= rest AND 2 * (rest - upto + words) >= words))::BIGINT) * size)::BIGINT AS taken
 FROM r
+""",
+    "op5_minhash_near_dedup": """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+),
+shingle AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[s : s + 3], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS s FROM d WHERE len(w) > 0)
+),
+size AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingle a JOIN shingle b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+link AS MATERIALIZED (
+  SELECT a, b FROM common JOIN size sa ON a = sa.doc_id JOIN size sb ON b = sb.doc_id WHERE 100 * common.n >= 80 * (sa.n + sb.n - common.n)
+),
+reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+root AS (SELECT a AS doc_id, min(b) AS least FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(least, doc_id)) AS component_id,
+       least(doc_id, coalesce(least, doc_id)) = doc_id AS kept
+FROM d LEFT JOIN size USING (doc_id) LEFT JOIN root USING (doc_id)
 """,
     "op11_decontamination": """
 WITH d AS (
