@@ -14,17 +14,21 @@ every token by the listed pairs and leaves out those that come to something
 else (the listed pairs can never make them).
 
 *Counting* (``count_tokens``): a broadcast table has the lengths of the
-frequent pre-tokens; misses are merged and remembered in the worker's cache.
-No pre-token is ever shuffled.
+frequent pre-tokens and is asked first; misses are merged and remembered in the
+worker's cache.  No pre-token is shuffled by its value.
 
 *Encoding* (``round_trip``): the frequent pre-tokens are compiled into a minimal
 acyclic automaton whose words are numbered by the counts on its arcs, the
 number leading to the ids.  It is one file, sent to each executor by Spark's
 file distribution and memory-mapped there by all its workers.
 
-The frequent pre-tokens are those of a bounded sample of documents
-(``SAMPLE_DOCS``, spread by hash) and at most ``FREQUENT`` of them; they decide
-how fast a pre-token's ids are found, never which.
+The frequent pre-tokens are counted over all texts.  Each task keeps a
+heavy-hitter summary of at most ``FREQUENT`` of them (what falls out lowers the
+others' counts alike, so that whatever makes up more than its share of 1 in
+``FREQUENT`` stays); summaries, one row a task, are merged ``FAN`` at a time in a
+tree, and the last one is all the driver gets.  They decide how fast a pre-token's
+ids are found, never which.  A worker's memory holds one encoder or counter at a
+time, caches of at most ``CACHE_BYTES`` a generation, and no unit over ``LONG``.
 
 Defined results: null text is the empty text (no token); the strings of
 special tokens inside a text become those tokens, as in the library; repeated
@@ -50,20 +54,25 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark import SparkFiles
+from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from wattlake.llm.common import fresh
+from wattlake.llm.common import fresh, stored
 from wattlake.session import hadoop_fs, scratch_path
 
 # Fixed value: the pattern of byte-level pre-tokenizers.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-SAMPLE_DOCS = 2_000
 FREQUENT = 50_000
-CACHE_ENTRIES = 500_000  # of each of a cache's two generations
+FAN = 8  # summaries that are merged at a time
+CACHE_ENTRIES = 500_000  # of each of a cache's two generations, at most
+CACHE_BYTES = 40 << 20  # and their size
+LONG = 64  # characters; longer units are counted and cached nowhere
+ROWS = 256  # texts that are encoded before their ids go back to Spark
 SHORT = 256  # symbols up to which repeated scans beat a heap
 
 _SPACE = re.compile(r"\s")
@@ -173,24 +182,43 @@ def fast_merges(data: dict) -> Callable[[str], list[int]]:
 class Cache(dict):
     """A bounded memory of ``make``: when full, what was not used lately is forgotten."""
 
-    def __init__(self, make: Callable, entries: int = CACHE_ENTRIES):
+    def __init__(self, make: Callable, entries: int = CACHE_ENTRIES, size: int = CACHE_BYTES):
         super().__init__()
-        self.make, self.entries, self.old = make, entries, {}
+        self.make, self.entries, self.size, self.held, self.old = make, entries, size, 0, {}
 
     def __missing__(self, key):
-        if len(self) >= self.entries:
-            self.old = dict(self)
-            self.clear()
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+            if isinstance(key, str) and len(key) > LONG:
+                return value
+        cost = sys.getsizeof(key) + sys.getsizeof(value) + 100  # with its place in the dictionary
+        if len(self) >= self.entries or self.held + cost > self.size:
+            self.old, self.held = dict(self), 0
+            self.clear()
+        self.held += cost
         self[key] = value
         return value
 
 
-def worker_memory() -> dict:
-    """A dictionary that lasts as long as this Python worker, across its tasks."""
-    return sys.modules.setdefault("wattlake_worker_memory", types.ModuleType("wattlake_worker_memory")).__dict__
+class Tiers(dict):
+    """A fixed table first; what it does not have is asked of ``rare``."""
+
+    def __init__(self, table: dict, rare: Cache):
+        super().__init__(table)
+        self.rare = rare
+
+    def __missing__(self, key):
+        return self.rare[key]
+
+
+def remembered(key: tuple, make: Callable):
+    """``make()`` for the first task of this Python worker with ``key``; whatever was remembered before it goes first."""
+    memory = sys.modules.setdefault("wattlake_worker_memory", types.ModuleType("wattlake_worker_memory")).__dict__
+    if memory.get("key") != key:
+        memory.pop("value", None)
+        memory["value"], memory["key"] = make(), key
+    return memory["value"]
 
 
 class Splitter:
@@ -260,37 +288,52 @@ class Splitter:
             return ["\n", *self.find(unit[1:])]
         return None if _SPACE.match(unit) else self.find(" " + unit)
 
-    def all_pieces(self, text: str) -> Iterator[str]:
-        for part, _ in self.segments(text):
-            for found in self.map(part, lambda piece: [piece], self.pieces):
-                for pieces in found:
-                    yield from pieces
 
+def trimmed(counts: Counter, most: int) -> Counter:
+    """At most ``most`` of ``counts``, less what the first one left out has."""
+    if len(counts) <= most:
+        return counts
+    cut = heapq.nlargest(most + 1, counts.values())[-1]
+    return Counter({k: n - cut for k, n in counts.items() if n > cut})
 
-def frequent_pretokens(docs: DataFrame, tokenizer, docs_wanted: int = SAMPLE_DOCS, most: int = FREQUENT) -> list[str]:
-    """The most frequent pre-tokens of a sample of about ``docs_wanted`` texts.
 
-    Each task counts the sampled texts it reads and returns at most ``most``
-    pre-tokens; the sample bounds what the driver receives.
-    """
-    n = docs.count()
-    if not n:
-        return []
-    share = min(1.0, docs_wanted / n)
-    near = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) + 1)
+def frequent_pretokens(docs: DataFrame, tokenizer, most: int = FREQUENT) -> list[str]:
+    """The most frequent pre-tokens of all texts, by heavy-hitter summaries merged in a tree."""
+
+    def row(part: int, counts: Counter) -> pd.DataFrame:
+        return pd.DataFrame({"part": [part], "pieces": [list(counts)], "counts": [list(counts.values())]})
 
     def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split, counts = Splitter(tokenizer.value), Counter()
+        split, units, pieces = Splitter(tokenizer.value), Counter(), Counter()
         for batch in batches:
             for text in batch["text"]:
-                counts.update(split.all_pieces(text))
-        top = counts.most_common(most)
-        yield pd.DataFrame({"piece": [p for p, _ in top], "n": [c for _, c in top]}, columns=["piece", "n"])
-
-    sampled = docs.where(near & F.col("text").isNotNull()).select("text")
-    counted = sampled.mapInPandas(count, "piece string, n long")
-    rows = counted.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(most).collect()
-    return [r["piece"] for r in rows]
+                found = text.replace("\n", " \n").split(" ")
+                if max(map(len, found)) > LONG:
+                    found = [u for u in found if len(u) <= LONG]
+                units.update(found)
+                if len(units) > 4 * most:
+                    units = trimmed(units, 2 * most)
+        units.pop("", None)
+        for unit, n in units.items():
+            for piece in split.pieces(unit) or ():
+                pieces[piece] += n
+        yield row(TaskContext.get().partitionId(), trimmed(pieces, most))
+
+    def merge(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+        total = Counter()
+        for pieces, counts in zip(parts["pieces"], parts["counts"]):
+            for piece, n in zip(pieces, counts):
+                total[piece] += int(n)
+        return row(key[0], trimmed(total, most))
+
+    schema = "part long, pieces array<string>, counts array<long>"
+    summaries = stored(docs.where(F.col("text").isNotNull()).select("text").mapInPandas(count, schema), "pretoken-counts")
+    parts = (summaries.agg(F.max("part")).first()[0] or 0) + 1
+    while parts > 1:
+        up = summaries.withColumn("part", F.floor(F.col("part") / FAN)).groupBy("part").applyInPandas(merge, schema)
+        summaries, parts = stored(up, "pretoken-counts"), -(-parts // FAN)
+    last = summaries.first()  # of at most ``most`` pre-tokens
+    return [p for p, _ in sorted(zip(last["pieces"], last["counts"]), key=lambda x: (-x[1], x[0]))] if last else []
 
 
 # ------------------------------------------------------------------ counting
@@ -300,22 +343,21 @@ class Counting:
     """Numbers of tokens by the frequent table first, then this worker's cache."""
 
     def __init__(self, data: dict, frequent: dict[str, int]):
-        self.split, self.frequent = Splitter(data), frequent
+        self.split = Splitter(data)
         merge = fast_merges(data)
-        self.rare = Cache(lambda piece: len(merge(piece)))
-        self.by_unit = Cache(self.of_unit)
+        self.pieces = Tiers(frequent, Cache(lambda piece: len(merge(piece))))
+        # units are written without their space: those that are one frequent pre-token
+        alone = {p[1:]: n for p, n in frequent.items() if len(p) > 1 and p[0] == " " and self.split.pieces(p[1:]) == [p]}
+        self.units = Tiers(alone, Cache(self.of_unit))
 
     def of_unit(self, unit: str) -> int | None:
         pieces = self.split.pieces(unit)
-        return None if pieces is None else sum(map(self.length, pieces))
-
-    def length(self, piece: str) -> int:
-        return self.frequent.get(piece) or self.rare[piece]
+        return None if pieces is None else sum(map(self.pieces.__getitem__, pieces))
 
     def count(self, text: str | None) -> int:
         total = 0
         for part, special in self.split.segments(text or ""):
-            total += sum(map(sum, self.split.map(part, self.length, self.by_unit.__getitem__))) + (special is not None)
+            total += sum(map(sum, self.split.map(part, self.pieces.__getitem__, self.units.__getitem__))) + (special is not None)
         return total
 
 
@@ -325,14 +367,13 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, name: str = "n_tokens") -
     tokenizer = sc.broadcast(load_tokenizer(tokenizer_path))
     merger = Merger(tokenizer.value)
     frequent = sc.broadcast({p: len(merger.ids(p.encode())) for p in frequent_pretokens(docs, tokenizer)})
+    run = uuid.uuid4().hex
 
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        memory, key = worker_memory(), ("count", tokenizer.value["key"])
-        if key not in memory:
-            memory[key] = Counting(tokenizer.value, frequent.value)
+        counting = remembered(("count", run), lambda: Counting(tokenizer.value, frequent.value))
         for texts in batches:
-            yield pd.Series([memory[key].count(t) for t in texts], dtype="int64")
+            yield pd.Series([counting.count(t) for t in texts], dtype="int64")
 
     return docs.withColumn(name, count.asNondeterministic()("text"))
 
@@ -441,30 +482,31 @@ def share_file(spark: SparkSession, content: bytes, name: str) -> str:
     return name
 
 
-def text_encoder(data: dict) -> Callable[[str | None], list[int]]:
-    """A function from a text to its ids, for tasks that only pass over texts once.
+def text_encoder(data: dict) -> Callable[[str | None], np.ndarray]:
+    """A function from a text to its ids (32-bit), for tasks that only pass over texts once.
 
-    tiktoken cuts by the same pattern and merges exactly (see above); special
-    tokens and texts with unassigned characters are seen to here.
+    tiktoken cuts by the same pattern and merges exactly (see above); its ranks
+    become ids by one look-up a text.  Special tokens and texts with unassigned
+    characters are seen to here.
     """
     import tiktoken
 
     ranked, tokens, split = data["ranked"], data["tokens"], Splitter(data)
     ranks = {tokens[i]: rank for rank, i in enumerate(ranked)}
-    encode = tiktoken.Encoding("texts", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    merge, to_id = fast_merges(data), ranked.__getitem__
+    encode = tiktoken.Encoding("texts", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_to_numpy
+    table = np.array(ranked, np.uint32)
+    merge = fast_merges(data)
 
-    def ids(text: str | None) -> list[int]:
-        out: list[int] = []
+    def ids(text: str | None) -> np.ndarray:
+        out: list[np.ndarray] = []
         for part, special in split.segments(text or ""):
             if split.strange(part):
-                for piece in split.by_library(part):
-                    out += merge(piece)
-            else:
-                out += map(to_id, encode(part))
+                out += [np.array(merge(piece), np.uint32) for piece in split.by_library(part)]
+            elif part:
+                out.append(table.take(encode(part, disallowed_special=())))
             if special is not None:
-                out.append(special)
-        return out
+                out.append(np.array([special], np.uint32))
+        return out[0] if len(out) == 1 else np.concatenate([np.zeros(0, np.uint32), *out])
 
     return ids
 
@@ -510,60 +552,77 @@ def make_lexicon(docs: DataFrame, tokenizer) -> str:
 
 
 def worker_encoding(data: dict, file: str | None) -> Encoding:
-    """This worker's encoder, the last one only; the lexicon file is memory-mapped."""
-    memory, key = worker_memory(), (data["key"], file)
-    if memory.get("encoding_key") != key:
+    """This worker's encoder; the lexicon file is memory-mapped."""
+
+    def make() -> Encoding:
         lexicon = None
         if file:
             with open(SparkFiles.get(file), "rb") as f:
                 lexicon = Lexicon(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
-        memory["encoding"], memory["encoding_key"] = Encoding(data, lexicon), key
-    return memory["encoding"]
+        return Encoding(data, lexicon)
+
+    return remembered(("encode", data["key"], file), make)
 
 
-def round_trip(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """``docs`` with ``ids`` (array of int), ``n_tokens`` and ``decoded`` of ``text``."""
-    return _with_encoding(docs, tokenizer_path, "ids array<int>, n_tokens long, decoded string", _whole)
+def round_trip(docs: DataFrame, tokenizer_path: str, columns: list[str] | None = None) -> DataFrame:
+    """``docs`` (or ``columns`` of it) with ``ids`` (array of int), ``n_tokens`` and ``decoded`` of ``text``."""
+    return _with_encoding(docs, tokenizer_path, "ids array<int>, n_tokens long, decoded string", _whole, columns)
 
 
-def encoded(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """``docs`` with ``ids``, ``n_tokens`` and ``round_trips``: whether they decode to ``text`` again."""
-    return _with_encoding(docs, tokenizer_path, "ids array<int>, n_tokens long, round_trips boolean", _checked)
+def encoded(docs: DataFrame, tokenizer_path: str, columns: list[str] | None = None) -> DataFrame:
+    """``docs`` (or ``columns`` of it) with ``ids``, ``n_tokens`` and ``round_trips``: whether they decode to ``text`` again."""
+    return _with_encoding(docs, tokenizer_path, "ids array<int>, n_tokens long, round_trips boolean", _checked, columns)
 
 
-def round_trip_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """``docs`` with ``n_tokens`` and the sha256 of the decimal ids joined by commas and of the decoded text."""
-    return _with_encoding(docs, tokenizer_path, "n_tokens long, ids_sha256 string, decoded_sha256 string", _digests)
+def round_trip_digests(docs: DataFrame, tokenizer_path: str, columns: list[str] | None = None) -> DataFrame:
+    """``docs`` (or ``columns`` of it) with ``n_tokens`` and the sha256 of the decimal ids joined by commas and of the decoded text."""
+    return _with_encoding(docs, tokenizer_path, "n_tokens long, ids_sha256 string, decoded_sha256 string", _digests, columns)
 
 
-def _whole(encoding: Encoding, text: str | None) -> tuple:
-    ids = np.frombuffer(encoding.encode(text), np.uint32)
-    return ids.astype(np.int32), len(ids), encoding.decode(ids.tolist())
+def _lists(ids: list[np.ndarray]) -> tuple[pa.Array, list[int]]:
+    lengths = list(map(len, ids))
+    flat = np.concatenate([np.zeros(0, np.uint32), *ids]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *lengths]), pa.int32()), pa.array(flat)), lengths
 
 
-def _checked(encoding: Encoding, text: str | None) -> tuple:
-    ids, n, decoded = _whole(encoding, text)
-    return ids, n, decoded == (text or "")
+def _whole(encoding: Encoding, texts: list[str | None]) -> list[pa.Array]:
+    ids = [np.frombuffer(encoding.encode(t), np.uint32) for t in texts]
+    lists, lengths = _lists(ids)
+    return [lists, pa.array(lengths, pa.int64()), pa.array([encoding.decode(x.tolist()) for x in ids], pa.string())]
 
 
-def _digests(encoding: Encoding, text: str | None) -> tuple:
-    ids = array("I", encoding.encode(text)).tolist()
-    decimal = ",".join(map(encoding.decimal.__getitem__, ids)).encode()
-    return len(ids), hashlib.sha256(decimal).hexdigest(), hashlib.sha256(encoding.decode(ids).encode("utf-8")).hexdigest()
+def _checked(encoding: Encoding, texts: list[str | None]) -> list[pa.Array]:
+    ids = [np.frombuffer(encoding.encode(t), np.uint32) for t in texts]
+    lists, lengths = _lists(ids)
+    same = [encoding.decode(x.tolist()) == (t or "") for x, t in zip(ids, texts)]
+    return [lists, pa.array(lengths, pa.int64()), pa.array(same, pa.bool_())]
 
 
-def _with_encoding(docs: DataFrame, tokenizer_path: str, fields: str, row: Callable) -> DataFrame:
+def _digests(encoding: Encoding, texts: list[str | None]) -> list[pa.Array]:
+    rows = []
+    for text in texts:
+        ids = array("I", encoding.encode(text)).tolist()
+        decimal = ",".join(map(encoding.decimal.__getitem__, ids)).encode()
+        rows.append((len(ids), hashlib.sha256(decimal).hexdigest(), hashlib.sha256(encoding.decode(ids).encode("utf-8")).hexdigest()))
+    n, ids_, decoded = zip(*rows) if rows else ((), (), ())
+    return [pa.array(n, pa.int64()), pa.array(ids_, pa.string()), pa.array(decoded, pa.string())]
+
+
+def _with_encoding(docs: DataFrame, tokenizer_path: str, fields: str, made: Callable, columns: list[str] | None) -> DataFrame:
+    """``made`` turns an encoder and some texts into the columns ``fields``; few rows at a time leave a task's memory small."""
     tokenizer = docs.sparkSession.sparkContext.broadcast(load_tokenizer(tokenizer_path))
     file = make_lexicon(docs, tokenizer)
-    names = [f.split(" ")[0] for f in fields.split(", ")]
+    new = StructType.fromDDL(fields)
+    kept = [c for c in (docs.columns if columns is None else columns) if c.lower() not in {f.lower() for f in new.names}]
+    (text,) = fresh(docs, "text_to_encode")
+    given = docs.select(*kept, F.col("text").alias(text))
 
-    @F.pandas_udf(fields)
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = worker_encoding(tokenizer.value, file)
-        for texts in batches:
-            yield pd.DataFrame([row(encoding, t) for t in texts], columns=names)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                found = made(encoding, part.column(len(kept)).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], *found], names=[*kept, *new.names])
 
-    docs = docs.drop(*names)
-    (got,) = fresh(docs, "encoded")
-    out = docs.withColumn(got, encode.asNondeterministic()("text"))
-    return out.select(*docs.columns, *[F.col(f"{got}.{n}").alias(n) for n in names])
+    return given.mapInArrow(run, StructType([*given.schema.fields[: len(kept)], *new.fields]))

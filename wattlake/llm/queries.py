@@ -52,7 +52,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = bpe.round_trip_digests(read_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+    out = bpe.round_trip_digests(read_table(spark, sf_dir, "documents"), tokenizer_path(), ["doc_id"])
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
@@ -62,8 +62,9 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = stored(token_files.segments(read_table(spark, sf_dir, "documents"), tokenizer_path()), "token-files")
-    return token_files.read_documents(files)
+    docs = read_table(spark, sf_dir, "documents")
+    files = stored(token_files.segments(docs, tokenizer_path()), "token-files")
+    return token_files.read_documents(files, docs.schema["doc_id"].dataType)
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,8 +14,12 @@ tasks need no care.  A segment's ``blocks`` are the file format proper:
 ``part`` and ``seq`` order the segments; ``before`` counts the ids of the part
 before the segment, so a reader only adds what earlier parts hold.
 
-Defined results: null or empty text is ``END`` alone; null doc_id comes first;
-equal doc_ids are ordered by text; an empty table gives no segment.
+Tasks take ranges of (doc_id, hash of the text, row), so that rows of one doc_id,
+or without any, are divided too.
+
+Defined results: null or empty text is ``END`` alone; doc_ids of any type go in
+ascending order, null first; equal doc_ids are ordered by a hash of their text,
+then by text; an empty table gives no segment.
 """
 
 from __future__ import annotations
@@ -28,15 +32,16 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
-from wattlake.llm.bpe import load_tokenizer, text_encoder, worker_memory
+from wattlake.llm.bpe import load_tokenizer, remembered, text_encoder
 
 END = 0
 BLOCK = 256
 PACKED_SHARE = 0.9
 SEGMENT_IDS = 1 << 16
 
-SCHEMA = "part int, seq int, before long, n_ids long, doc_ids array<long>, lengths array<int>, blocks binary"
+SCHEMA = "part int, seq int, before long, n_ids long, doc_ids array<string>, lengths array<int>, blocks binary"
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -91,13 +96,13 @@ def segments(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """The segments of ``docs`` (doc_id, text), ready to be written as a Parquet table."""
     tokenizer = docs.sparkSession.sparkContext.broadcast(load_tokenizer(tokenizer_path))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    keyed = docs.select("doc_id", "text", F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("h"), F.monotonically_increasing_id().alias("row"))
+    ordered = keyed.repartitionByRange(n, "doc_id", "h", "row").sortWithinPartitions("doc_id", "h", "text")
+    ordered = ordered.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memory, key = worker_memory(), ("texts", tokenizer.value["key"])
-        if key not in memory:
-            memory[key] = text_encoder(tokenizer.value)
-        encode, part = memory[key], TaskContext.get().partitionId()
+        encode = remembered(("texts", tokenizer.value["key"]), lambda: text_encoder(tokenizer.value))
+        part, end = TaskContext.get().partitionId(), np.array([END], np.uint32)
         seq, before, size, doc_ids, parts = 0, 0, 0, [], []
 
         def segment() -> pd.DataFrame:
@@ -107,10 +112,9 @@ def segments(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 ids = encode(text)
-                ids.append(END)
-                doc_ids.append(None if pd.isna(doc_id) else int(doc_id))
-                parts.append(np.array(ids, np.uint32))
-                size += len(ids)
+                doc_ids.append(doc_id)
+                parts.append(np.concatenate((ids, end)))
+                size += len(ids) + 1
                 if size >= SEGMENT_IDS:
                     yield segment()
                     seq, before, size, doc_ids, parts = seq + 1, before + size, 0, [], []
@@ -120,8 +124,8 @@ def segments(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     return ordered.mapInPandas(run, SCHEMA)
 
 
-def read_documents(files: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document in the segments ``files``."""
+def read_documents(files: DataFrame, id_type: DataType | str = "long") -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every document in the segments ``files``, with doc_ids of ``id_type``."""
     sums = files.groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # one row for each task that wrote: bounded by the partitions of the write
@@ -136,7 +140,7 @@ def read_documents(files: DataFrame) -> DataFrame:
                 ends = np.cumsum(lengths)
                 starts = ends - lengths
                 crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
-                ids = pd.array([None if pd.isna(i) else int(i) for i in doc_ids], dtype="Int64")
-                yield pd.DataFrame({"doc_id": ids, "start": first + starts, "n_tokens": lengths, "ids_crc32": crc})
+                yield pd.DataFrame({"doc_id": list(doc_ids), "start": first + starts, "n_tokens": lengths, "ids_crc32": crc})
 
-    return placed.mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    out = placed.mapInPandas(run, "doc_id string, start long, n_tokens long, ids_crc32 long")
+    return out.withColumn("doc_id", F.col("doc_id").cast(id_type))
