@@ -107,3 +107,10 @@ def test_every_language_is_in_the_sample(spark, monkeypatch):
     monkeypatch.setattr(langid, "TABLE_ENTRIES", 231 * 40 * 3)
     model = langid.ContextTrees(sample)
     assert model.bits.shape[1] == 231 and model.bits.size <= langid.TABLE_ENTRIES + 231 * model.size
+
+
+def test_number_signs_are_no_letters():
+    model = langid.ContextTrees([("de", "das ist gut"), ("en", "this is good")])
+    for text in ("½ ²", "①", "123 _", "!?", "٣", ""):
+        assert model.predict(text) == ("und", 0.0)
+    assert model.predict("das")[0] == "de"

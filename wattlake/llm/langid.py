@@ -25,16 +25,16 @@ Defined results
 * no labelled document at all: every document is ``und``;
 * equal code lengths: the language first in code-point order;
 * repeated rows get equal results; an empty table gives an empty result;
-  other columns pass through.
+  other columns pass through, ``lang_pred`` and ``lang_score`` are replaced.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,7 +51,7 @@ UNKNOWN = "und"
 SCORE_BYTES = 64
 CHUNK = 1 << 20
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # number signs are no letters
 
 
 def held_out(doc_id: Column) -> Column:
