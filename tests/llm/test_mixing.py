@@ -1,3 +1,4 @@
+import random
 from collections import defaultdict
 
 import pytest
@@ -54,7 +55,7 @@ def test_hash_is_whole_and_equal_rows_stand_together(spark):
     got = mixing.mix(docs).collect()
     assert len({r.copies for r in got if r.doc_id == 1}) == 1
     assert [r.copies for r in got if r.doc_id == 2] == [0]
-    assert docs.select(mixing.hash60(F.col("doc_id")).alias("h")).where("h < 0").count() == 0
+    assert docs.select(mixing.hash60(F.col("doc_id"), F.lit("x")).alias("h")).where("h < 0").count() == 0
 
 
 def test_mixed_rows_and_empty_table(spark):
@@ -64,3 +65,14 @@ def test_mixed_rows_and_empty_table(spark):
     copies = sum(r.copies for r in mixing.mix(docs).collect())
     assert rows.count() == copies
     assert mixing.mixed(cases.table(spark, [])).collect() == [] == mixing.mix(cases.table(spark, [])).collect()
+
+
+def test_rows_without_or_with_equal_ids_meet_the_target(spark):
+    """Texts, not ids alone, decide which rows are taken."""
+    rnd = random.Random(4)
+    text = lambda: " ".join(f"w{rnd.randint(0, 999)}" for _ in range(rnd.randint(5, 15)))
+    rows = [(None, text(), "a") for _ in range(200)] + [(7, text(), "b") for _ in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix(docs).groupBy("source").agg(F.first("target").alias("target"), F.sum(F.col("copies") * F.col("size")).alias("taken"))
+    for r in out.collect():
+        assert abs(r["taken"] - r["target"]) <= 15

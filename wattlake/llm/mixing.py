@@ -11,8 +11,9 @@ comparison.
 
 Defined results
 * null or wordless text: size 0, never taken; null ``source`` is a source of
-  its own, last in order; null ``doc_id`` hashes as the empty text;
-* repeated rows and equal hashes stand or fall together (one threshold);
+  its own, last in order; the hash is of id and text, so rows without an id, or
+  with one id and different texts, are taken one by one;
+* rows equal in id and text stand or fall together (one threshold);
 * an empty table gives an empty result; other columns pass through.
 
 Per-source tables have one row for each source (or bucket of a source) and
@@ -33,10 +34,10 @@ LEVELS = 5  # 5 x 12 = 60 bits of the hash
 EPSILON = 1e-6  # words; targets are doubles, budgets whole words
 
 
-def hash60(doc_id: Column) -> Column:
-    """60 bits of md5 of the id's text, as a non-negative long."""
-    text = F.coalesce(doc_id.cast("string"), F.lit(""))
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+def hash60(doc_id: Column, text: Column) -> Column:
+    """60 bits of md5 of the id, a line break and the text, as a non-negative long."""
+    both = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("\n"), F.coalesce(text, F.lit("")))
+    return F.conv(F.substring(F.md5(both), 1, 15), 16, 10).cast("long")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = MAX_REPEATS) -> DataFrame:
@@ -125,7 +126,7 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = MAX
     and one more of those with ``h`` < ``below``.
     """
     narrow = stored(
-        docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), hash60(F.col("doc_id")).alias("h")), "mix-docs"
+        docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), hash60(F.col("doc_id"), F.col("text")).alias("h")), "mix-docs"
     )
     sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = stored(source_targets(sizes, weights, repeats), "mix-targets")
@@ -152,7 +153,7 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = MA
     rows = docs.toDF(*own)
     at = {c.lower(): o for c, o in zip(docs.columns, own)}
     rows = rows.join(per_source, F.col(at["source"]).eqNullSafe(F.col("s_")))
-    copies = _copies(word_count(F.col(at["text"])), hash60(F.col(at["doc_id"])))
+    copies = _copies(word_count(F.col(at["text"])), hash60(F.col(at["doc_id"]), F.col(at["text"])))
     rows = rows.withColumn("copies", copies).where("copies > 0")
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return rows.select(*own).toDF(*docs.columns)
