@@ -15,11 +15,12 @@ all others are one), so the models have at most 41 ** (ORDER + 1) entries
 whatever the corpus; the counts come from all urls with a rule.
 
 Defined results
-* null url or url without ``://``: host and path are empty, no rule fits, and
-  it is blocked, as nothing can be fetched from it;
+* null url or url without ``://``: host and path are empty and no rule fits; the
+  models judge the whole string (null: as the empty one, ratio 0, allowed);
 * without urls accepted by rule or without rejected ones: allow;
 * repeated rows count as often as they occur and are judged alike; an empty
-  table gives an empty result; other columns pass through.
+  table gives an empty result; other columns pass through, those named as new
+  ones are replaced.
 """
 
 from __future__ import annotations
@@ -90,7 +91,8 @@ def _table() -> np.ndarray:
 
 def _contexts(url: str | None) -> np.ndarray:
     """For each character: the symbols of its last ORDER characters and its own, as one number."""
-    _, _, rest = (url or "").partition("://")
+    head, mark, tail = (url or "").partition("://")
+    rest = tail if mark else head
     symbols = np.concatenate((np.full(ORDER, _START), _table()[np.frombuffer(rest.encode("utf-8", "replace"), np.uint8)]))
     n = len(symbols) - ORDER
     key = np.zeros(n, np.int64)
@@ -140,7 +142,7 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     counts = _counts(labelled).toPandas()  # at most 2 * SYMBOLS ** (ORDER + 1) rows
     parts = {v: counts[counts["verdict"] == v] for v in ("allow", "block")}
     if any(p.empty for p in parts.values()):
-        return out.withColumns({"llr": F.lit(0.0), "verdict": F.coalesce(by_rule, F.when(F.col("host") == "", "block").otherwise("allow"))})
+        return out.withColumns({"llr": F.lit(0.0), "verdict": F.coalesce(by_rule, F.lit("allow"))})
     logs = [log_probabilities(p["gram"].to_numpy(), p["n"].to_numpy()) for p in parts.values()]
     ratio = pages.sparkSession.sparkContext.broadcast((logs[0] - logs[1]).astype(np.float32))
 
@@ -161,5 +163,5 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     under = steps["count"].cumsum() - steps["count"]
     # the highest step with at most LOST of the accepted urls under it, and never above even odds
     threshold = min(0.0, float(steps["step"][under <= LOST * steps["count"].sum()].max()) * STEP)
-    rest = F.when((F.col("host") == "") | (F.col("llr") < threshold), "block").otherwise("allow")
+    rest = F.when(F.col("llr") < threshold, "block").otherwise("allow")
     return out.withColumn("verdict", F.coalesce(code, rest)).drop(code)
