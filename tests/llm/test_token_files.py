@@ -44,3 +44,13 @@ def test_documents_come_back(spark, monkeypatch):
 def test_empty_table(spark):
     files = stored(token_files.segments(cases.table(spark, []), PATH), "test-files")
     assert token_files.read_documents(files).collect() == []
+
+
+def test_ids_of_any_type_and_copies_of_one_id(spark):
+    rows = [("b", "two words"), ("a", None), (None, "x"), (None, "y"), ("a", "one"), ("a", "one")] + [("z", f"text {i}") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    files = stored(token_files.segments(docs, PATH), "test-files")
+    got = sorted(map(tuple, token_files.read_documents(files, "string").collect()), key=lambda r: r[1])
+    assert [r[0] for r in got] == [None] * 2 + ["a"] * 3 + ["b"] + ["z"] * 50
+    assert [r[1] for r in got] == [sum(r[2] for r in got[:i]) for i in range(len(got))]
+    assert got[2][2] == 1  # the null text of "a" comes first
