@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import SPACES, WORD, stored
+from wattlake.llm.common import SPACES, stored
 
 BUCKET_BITS = 16
 TRUSTED_DOCS = 20_000
@@ -32,12 +32,14 @@ MIN_SCORE = -0.25
 MIN_WORDS = 20
 MAX_REPEATED = 30  # per cent of the words
 WINDOW = 8
+SPACE_RUN = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 TOKEN = r"\w+|[^\w\s]+"
 
 
 def _words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    inner = F.btrim(text, F.lit(SPACES))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, SPACE_RUN))
 
 
 def _let(value: Column, body) -> Column:
