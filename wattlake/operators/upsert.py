@@ -1,23 +1,27 @@
 """Write and upsert reading rows into the lake.
 
-Layouts (``schema.LAYOUTS``): ``meter_day`` is the source system's
-``metering_point=<id>/date=<UTC day>/`` with one file per meter and day;
-``day`` (the default for a new lake) is ``date=<UTC day>/`` with rows sorted
-by meter and timestamp, which keeps file counts proportional to data volume,
-not to meters x days.  Files are snappy Parquet, rows sorted by timestamp.  The upsert key is the timestamp within
+Layouts (``schema.LAYOUTS``): ``bucket`` (the default for a new lake) is
+``date=<UTC day>/bucket=<k>/``, where k is a hash of the meter modulo the number
+of buckets in the lake's manifest: files follow data volume, and a batch of few
+meters (a new meter's backfill) rewrites only their buckets of each day.
+``day`` is ``date=<UTC day>/`` with rows sorted by meter and timestamp.
+``meter_day`` is the source system's ``metering_point=<id>/date=<day>/`` with one
+file per meter and day: for lakes that exist, to be read or migrated.
+Files are snappy Parquet, rows sorted by timestamp.  The upsert key is the timestamp within
 (meter, day): an existing row goes when the new batch has a row with the same
 meter and timestamp; every new row stays, duplicates inside the new batch
 included.  Only partitions the batch touches are rewritten (dynamic overwrite).
 
 Plan of an upsert:
   1. new rows -> row count and the set of days of the batch: one small
-     aggregate (the day set is bounded by the batch's date range).
-  2. lake scan pruned to exactly those days (static partition pruning).  In
-     the ``day`` layout every read partition is a touched one, so a single
-     anti join on (meter, day, timestamp) gives the surviving old rows; a
-     touched day is rewritten whole, so its other meters survive too.  In
-     the ``meter_day`` layout a semi join on the touched (meter, day) pairs
-     comes first.
+     aggregate (the day set is bounded by the batch's date range, the bucket
+     set by the number of buckets).
+  2. lake scan pruned to exactly those days and buckets (static partition
+     pruning).  Every partition that is read and holds a new row is rewritten
+     whole; one anti join on (meter, day, timestamp) gives the old rows that
+     survive there.  In the ``bucket`` and ``meter_day`` layouts a semi join on
+     the touched folders comes first, as a batch need not touch every bucket of
+     every day.
   3. survivors UNION ALL new rows -> REBALANCE(partition keys) -> sort within
      partitions -> partitioned write.  REBALANCE lets AQE split a hot
      partition over several tasks and pack small ones together, so there is
@@ -31,7 +35,7 @@ root is safe because every read happens before the commit.
 from __future__ import annotations
 
 import datetime as dt
-from contextlib import contextmanager
+from dataclasses import replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -39,8 +43,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattlake.functions.calendar import ntz_to_instant, utc_date
-from wattlake.schema import DEFAULT_LAYOUT, LAYOUTS, PARTITION_COLUMNS, READING_COLUMNS
-from wattlake.sources.lake import detect_layout, detect_nanos, read_lake
+from wattlake.schema import DEFAULT_BUCKETS, DEFAULT_LAYOUT, LAYOUTS, PARTITION_COLUMNS, READING_COLUMNS
+from wattlake.session import hadoop_fs, session_conf
+from wattlake.sources.lake import bucket_of, read_lake
+from wattlake.sources.manifest import Manifest, claim_manifest, lake_manifest
 
 MP = "metering_point_id"
 
@@ -70,22 +76,7 @@ def to_lake_rows(readings: DataFrame) -> DataFrame:
     return rows.withColumn("metering_point", F.col(MP)).withColumn("date", utc_date(rows, "timestamp"))
 
 
-@contextmanager
-def _session_conf(spark: SparkSession, settings: dict[str, str]):
-    previous = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in previous.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
-def write_partitions(rows: DataFrame, root: str, layout: str = DEFAULT_LAYOUT) -> None:
+def write_partitions(rows: DataFrame, root: str, layout: str = "day", buckets: int = 0) -> None:
     """Dynamic-overwrite the partitions present in ``rows``.
 
     Timestamps are written as TIMESTAMP_MICROS (readable by any Parquet
@@ -100,7 +91,9 @@ def write_partitions(rows: DataFrame, root: str, layout: str = DEFAULT_LAYOUT) -
     settings = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}
     if layout == "meter_day":
         settings["spark.sql.adaptive.coalescePartitions.enabled"] = "false"
-    with _session_conf(spark, settings):
+    with session_conf(spark, settings):
+        if layout == "bucket":
+            rows = rows.withColumn("bucket", bucket_of(F.col(MP), buckets))
         (
             rows.select(*READING_COLUMNS, *keys)
             .hint("rebalance", *keys)
@@ -113,13 +106,13 @@ def write_partitions(rows: DataFrame, root: str, layout: str = DEFAULT_LAYOUT) -
         )
 
 
-def surviving_rows(existing: DataFrame, new_rows: DataFrame, layout: str = DEFAULT_LAYOUT) -> DataFrame:
+def surviving_rows(existing: DataFrame, new_rows: DataFrame, layout: str = "day") -> DataFrame:
     """Old rows of the touched partitions whose timestamp the batch does not bring.
 
     ``existing`` must already be limited to the batch's days.
     """
     replaced = new_rows.select(*PARTITION_COLUMNS, "timestamp").distinct()
-    if layout == "meter_day":
+    if layout != "day":  # every day that is read is a touched one
         touched = new_rows.select(*LAYOUTS[layout]).distinct()
         existing = existing.join(touched, LAYOUTS[layout], "left_semi")
     return existing.join(replaced, [*PARTITION_COLUMNS, "timestamp"], "left_anti")
@@ -128,68 +121,100 @@ def surviving_rows(existing: DataFrame, new_rows: DataFrame, layout: str = DEFAU
 def _refuse_shifted_folders(spark: SparkSession, root: str, days: list) -> None:
     """Folders near ``days`` must be named by the UTC day, or an upsert would leave old rows beside new ones."""
     near = {d + dt.timedelta(days=n) for d in days for n in (-1, 0, 1)}
-    lake = read_lake(spark, root, check=False, layout="meter_day").where(F.col("date").isin(sorted(near)))
+    lake = read_lake(spark, root, check=False, layout="meter_day", nanos=False).where(F.col("date").isin(sorted(near)))
     if not lake.where(utc_date(lake, "timestamp") != F.col("date")).isEmpty():
         raise ValueError(f"lake at {root} has folders named by another offset's day; copy it once with migrate_lake() before upserting into it")
 
 
 def upsert_readings(
-    spark: SparkSession, readings: DataFrame, root: str, layout: str | None = None
+    spark: SparkSession, readings: DataFrame, root: str, layout: str | None = None, buckets: int | None = None
 ) -> int:
     """Upsert ``readings`` into the lake at ``root``; returns the rows written.
 
     An existing lake keeps its layout; a new one gets ``layout`` (default
-    ``day``).  An empty batch writes nothing and touches no partition.
+    ``bucket``, with ``buckets`` of them) in a manifest, claimed before the
+    first row.  An empty batch writes nothing and touches no partition.
     """
-    return upsert_readings_days(spark, readings, root, layout)[0]
+    return upsert_readings_days(spark, readings, root, layout, buckets)[0]
 
 
 def upsert_readings_days(
-    spark: SparkSession, readings: DataFrame, root: str, layout: str | None = None
+    spark: SparkSession, readings: DataFrame, root: str, layout: str | None = None, buckets: int | None = None
 ) -> tuple[int, list]:
     """``upsert_readings`` that also returns the UTC days the batch touched."""
-    found = detect_layout(spark, root)
-    if found and layout and found != layout:
-        raise ValueError(f"lake at {root} has layout {found}, not {layout}")
-    if found and detect_nanos(spark, root):
+    found = lake_manifest(spark, root)
+    if found and layout and found.layout != layout:
+        raise ValueError(f"lake at {root} has layout {found.layout}, not {layout}")
+    if found and buckets and found.buckets != buckets:
+        raise ValueError(f"lake at {root} has {found.buckets} buckets, not {buckets}")
+    if found and found.unit == "nanos":
         raise ValueError(
             f"lake at {root} holds nanosecond timestamps (written by pandas); "
             "copy it once with migrate_lake() before upserting into it"
         )
-    layout = found or layout or DEFAULT_LAYOUT
     new_rows = to_lake_rows(readings).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        bounds = new_rows.agg(
-            F.count(F.lit(1)).alias("n"), F.collect_set("date").alias("days")
-        ).first()
+        parts = [F.count(F.lit(1)).alias("n"), F.collect_set("date").alias("days")]
+        if found and found.layout == "bucket":
+            parts.append(F.collect_set(bucket_of(F.col(MP), found.buckets)).alias("buckets"))
+        bounds = new_rows.agg(*parts).first()
         if not bounds["n"]:
             return 0, []
-        if found:
-            existing = read_lake(spark, root, check=False, layout=found).where(
-                F.col("date").isin(sorted(bounds["days"]))
-            )
-            if layout == "meter_day":
+        new_lake = found is None
+        if new_lake:
+            layout = layout or DEFAULT_LAYOUT
+            found = claim_manifest(spark, root, Manifest(layout, (buckets or DEFAULT_BUCKETS) if layout == "bucket" else 0))
+            new_lake = found.layout == layout and not path_has_days(spark, root)
+        if new_lake:
+            out = new_rows
+        else:
+            existing = read_lake(spark, root, check=False, manifest=found).where(F.col("date").isin(sorted(bounds["days"])))
+            batch = new_rows
+            if found.layout == "bucket":
+                batch = new_rows.withColumn("bucket", bucket_of(F.col(MP), found.buckets))
+                if "buckets" in bounds:
+                    existing = existing.where(F.col("bucket").isin(sorted(bounds["buckets"])))
+            if found.day_rule != "utc":
                 _refuse_shifted_folders(spark, root, bounds["days"])
-            out = surviving_rows(existing, new_rows, layout).select(*READING_COLUMNS, *PARTITION_COLUMNS)
+            out = surviving_rows(existing, batch, found.layout).select(*READING_COLUMNS, *PARTITION_COLUMNS)
             out = out.unionByName(new_rows.select(*READING_COLUMNS, *PARTITION_COLUMNS))
-        else:
-            out = new_rows
-        write_partitions(out, root, layout)
+        write_partitions(out, root, found.layout, found.buckets)
         return int(bounds["n"]), sorted(bounds["days"])
     finally:
         new_rows.unpersist()
 
 
-def migrate_lake(spark: SparkSession, source_root: str, target_root: str, layout: str | None = None) -> None:
+def path_has_days(spark: SparkSession, root: str) -> bool:
+    """Whether a writer that claimed the lake at the same time has put folders there."""
+    fs, path = hadoop_fs(spark, root)
+    return any("=" in status.getPath().getName() for status in fs.listStatus(path))
+
+
+def migrate_lake(spark: SparkSession, source_root: str, target_root: str, layout: str | None = None, buckets: int | None = None) -> None:
     """Rewrite a lake (e.g. one written by pandas) with wattlake's writer.
 
-    One partitioned rewrite; timestamps become microsecond instants and the
-    layout is kept unless ``layout`` says otherwise.
+    One partitioned rewrite into a new lake with a manifest; timestamps become
+    microsecond instants, days UTC days.  ``layout``: ``bucket`` unless said otherwise.
     """
-    layout = layout or detect_layout(spark, source_root) or DEFAULT_LAYOUT
+    layout = layout or DEFAULT_LAYOUT
+    target = claim_manifest(spark, target_root, Manifest(layout, (buckets or DEFAULT_BUCKETS) if layout == "bucket" else 0))
     lake = read_lake(spark, source_root)
     rows = lake.select(*READING_COLUMNS, *PARTITION_COLUMNS).withColumn("date", utc_date(lake, "timestamp"))
-    write_partitions(rows, target_root, layout)
+    write_partitions(rows, target_root, target.layout, target.buckets)
+
+
+def adopt_lake(spark: SparkSession, root: str) -> Manifest:
+    """Give a lake of another writer a manifest, after one scan of its day folders.
+
+    Where every folder names the UTC day of its rows, readers take the folder
+    as the day from then on, and a date filter prunes folders again.
+    """
+    found = lake_manifest(spark, root)
+    if found is None:
+        raise FileNotFoundError(f"No lake at {root}")
+    lake = read_lake(spark, root, manifest=found)
+    shifted = not lake.where(utc_date(lake, "timestamp") != F.col("date")).isEmpty()
+    return claim_manifest(spark, root, replace(found, day_rule="offset" if shifted else "utc"))
 
 
 def dedup_latest(readings: DataFrame) -> DataFrame:

@@ -19,19 +19,25 @@ READING = T.StructType(
 
 READING_COLUMNS = [f.name for f in READING.fields]
 
-# Directory keys of the lake.  Both layouts carry the columns
+# Directory keys of the lake.  All layouts carry the columns
 # ``metering_point`` and ``date`` once read; they differ in which are folders.
-#   meter_day: metering_point=<id>/date=<YYYY-MM-DD>/  one folder per meter and
-#              day, the source system's layout (many small files at scale);
+#   bucket:    date=<YYYY-MM-DD>/bucket=<k>/  the meters of a day by a hash of
+#              their id; a batch of few meters rewrites few buckets of its days;
 #   day:       date=<YYYY-MM-DD>/  rows sorted by meter and time in each file,
-#              meter filters prune through Parquet statistics.
-LAYOUTS = {"meter_day": ["metering_point", "date"], "day": ["date"]}
-DEFAULT_LAYOUT = "day"
+#              meter filters prune through Parquet statistics;
+#   meter_day: metering_point=<id>/date=<YYYY-MM-DD>/  one folder per meter and
+#              day, the source system's layout (many small files at scale).
+LAYOUTS = {"bucket": ["date", "bucket"], "day": ["date"], "meter_day": ["metering_point", "date"]}
+DEFAULT_LAYOUT = "bucket"
+# Meters of a day fall into so many buckets in a new lake; choose it so that a
+# bucket of a day is about one Parquet file of the wanted size.
+DEFAULT_BUCKETS = 8
 PARTITION_COLUMNS = ["metering_point", "date"]
 
 _PARTITION_FIELDS = {
     "metering_point": T.StructField("metering_point", T.StringType()),
     "date": T.StructField("date", T.DateType()),
+    "bucket": T.StructField("bucket", T.IntegerType()),
 }
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -96,3 +97,61 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     fs, hpath = hadoop_fs(spark, path)
     return bool(fs.exists(hpath))
 
+
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]):
+    """Session settings for the time of a block; what was set before comes back."""
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def read_small_file(spark: SparkSession, path: str) -> str:
+    """A small text file as a whole, from any Hadoop file system."""
+    fs, hpath = hadoop_fs(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def claim_file(spark: SparkSession, path: str, content: str) -> bool:
+    """Create ``path`` with ``content`` if there is no such file; whether this call made it.
+
+    The content is written beside it first and given the name in one step, so
+    nobody sees half a file: a hard link on a local disk, else a rename, which
+    HDFS refuses where the name is taken.  (Object stores whose rename is a
+    copy give no such promise; put these small files on a file system that does.)
+    """
+    fs, target = hadoop_fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    fs.mkdirs(target.getParent())
+    draft = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".draft-{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
+    out.write(bytearray(content.encode("utf-8")))
+    out.close()
+    try:
+        if fs.exists(target):
+            return False
+        if fs.getScheme() == "file":
+            files = jvm.java.nio.file.Files
+            local = [jvm.java.io.File(p.toUri().getPath()).toPath() for p in (target, draft)]
+            try:
+                files.createLink(*local)
+            except Exception as e:
+                if "FileAlreadyExists" in str(e):
+                    return False
+                raise
+            return True
+        return bool(fs.rename(draft, target))
+    finally:
+        fs.delete(draft, False)

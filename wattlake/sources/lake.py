@@ -1,32 +1,28 @@
-"""Scan of the Hive-partitioned reading lake metering_point=<id>/date=<day>/."""
+"""Scan of the Hive-partitioned reading lake (layouts: ``schema.LAYOUTS``)."""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattlake.functions.calendar import utc_date
 from wattlake.schema import DEFAULT_LAYOUT, READING_COLUMNS, lake_schema
 from wattlake.session import hadoop_fs, path_exists
+from wattlake.sources.manifest import NANOS_CONF, Manifest, lake_manifest
 
 
 def detect_layout(spark: SparkSession, root: str) -> str | None:
-    """Layout of an existing lake from its first folder, None if it has none."""
-    fs, hpath = hadoop_fs(spark, root)
-    if not fs.exists(hpath):
-        return None
-    entries = fs.listStatusIterator(hpath)
-    while entries.hasNext():
-        status = entries.next()
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith("metering_point="):
-            return "meter_day"
-        if status.isDirectory() and name.startswith("date="):
-            return "day"
-    return None
+    """Layout of an existing lake, None if there is none."""
+    manifest = lake_manifest(spark, root)
+    return manifest.layout if manifest else None
+
+
+def bucket_of(meter: Column, buckets: int) -> Column:
+    """The folder number of a meter in the ``bucket`` layout."""
+    return F.pmod(F.xxhash64(meter.cast("string")), F.lit(buckets)).cast("int")
 
 
 def _first_data_file(spark: SparkSession, root: str):
@@ -49,24 +45,9 @@ def _first_data_file(spark: SparkSession, root: str):
 
 
 def detect_nanos(spark: SparkSession, root: str) -> bool:
-    """Whether the lake's files hold TIMESTAMP(NANOS) columns (pandas' default).
-
-    Reads the footer of one data file through the JVM, so it works on any
-    Hadoop file system without pulling data to the driver.
-    """
-    path = _first_data_file(spark, root)
-    if path is None:
-        return False
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(
-        jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(path, conf)
-    )
-    try:
-        schema = reader.getFooter().getFileMetaData().getSchema().toString()
-    finally:
-        reader.close()
-    return "NANOS" in schema.upper()
+    """Whether the lake's files hold TIMESTAMP(NANOS) columns (pandas' default)."""
+    manifest = lake_manifest(spark, root)
+    return bool(manifest) and manifest.unit == "nanos"
 
 
 def _nanos_schema(layout: str) -> T.StructType:
@@ -83,25 +64,29 @@ def read_lake(
     check: bool = True,
     layout: str | None = None,
     nanos: bool | None = None,
+    manifest: Manifest | None = None,
 ) -> DataFrame:
-    """All lake rows with the columns ``metering_point`` and ``date``.
+    """All lake rows with the columns ``metering_point`` and ``date`` (and ``bucket``).
 
     The schema is given, so no file is sampled for inference and numeric
     looking ids stay strings.  Any file name under the partition folders is
     accepted (Spark writes part-*.parquet, other writers may not).
     With ``check``, a missing root or a root without files raises
     FileNotFoundError, as the reporting layer must not start on nothing.
-    ``nanos``: the files hold TIMESTAMP(NANOS) columns (pandas' default),
-    which Spark reads only as raw longs; they are turned into instants.
-    None (default) detects it from one file's footer.
+    Layout and timestamp unit come from the lake's manifest, or from an
+    inspection of all its footers where it has none.  TIMESTAMP(NANOS) columns
+    (pandas' default) are read as raw longs and turned into instants, which
+    needs a session setting; lakes in microseconds leave the session alone.
     """
     if check and not path_exists(spark, root):
         raise FileNotFoundError(f"Data path does not exist: {root}")
-    layout = layout or detect_layout(spark, root) or DEFAULT_LAYOUT
+    if manifest is None and (layout is None or nanos is None):
+        manifest = lake_manifest(spark, root)
+    layout = layout or (manifest.layout if manifest else DEFAULT_LAYOUT)
     if nanos is None:
-        nanos = detect_nanos(spark, root)
+        nanos = bool(manifest) and manifest.unit == "nanos"
     if nanos:
-        spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+        spark.conf.set(NANOS_CONF, "true")
         df = spark.read.schema(_nanos_schema(layout)).parquet(root)
         for c in ("timestamp", "ingestion_timestamp"):
             df = df.withColumn(c, F.timestamp_micros(F.floor(F.col(c) / 1000)))
@@ -109,7 +94,7 @@ def read_lake(
         df = spark.read.schema(lake_schema(layout)).parquet(root)
     if check and _first_data_file(spark, root) is None:
         raise FileNotFoundError(f"No Parquet files found under {root}")
-    if layout == "day":
+    if layout != "meter_day":
         # The meter key lives in the files; expose it under the folder name
         # too, so callers filter one column whatever the layout.
         df = df.withColumn("metering_point", df["metering_point_id"])
@@ -149,11 +134,15 @@ def read_readings(
     ``date_from``/``date_to`` are inclusive and prune on the ``date`` key;
     ``days`` prunes to exactly those days.
     """
-    df = read_lake(spark, root, check=check, nanos=nanos)
-    if detect_layout(spark, root) == "meter_day":
+    if check and not path_exists(spark, root):
+        raise FileNotFoundError(f"Data path does not exist: {root}")
+    manifest = lake_manifest(spark, root)
+    df = read_lake(spark, root, check=check, nanos=nanos, manifest=manifest)
+    if manifest and manifest.day_rule != "utc":
         # Other writers name these folders by the day of the timestamp's own
         # offset: the UTC day is that folder's or one next to it.
         df = _by_utc_day(df, date_from, date_to, days)
+    buckets = manifest.buckets if manifest else 0
     if date_from is not None:
         df = df.where(F.col("date") >= F.lit(date_from).cast("date"))
     if date_to is not None:
@@ -162,6 +151,8 @@ def read_readings(
         df = df.where(F.col("date").isin(sorted(set(days))))
     if isinstance(meters, list):
         df = df.where(F.col("metering_point").isin(meters))
+        if buckets:  # literals once folded: only these folders are listed
+            df = df.where(F.col("bucket").isin([bucket_of(F.lit(m), buckets) for m in meters]))
     elif meters is not None:
         # A checked broadcast of the meter set lets dynamic partition pruning
         # skip the folders of other meters in the meter/day layout (Spark
@@ -169,11 +160,14 @@ def read_readings(
         from wattlake.operators.joins import join_small
 
         keys = meters.select(F.col(meters.columns[0]).cast("string").alias("metering_point")).distinct()
-        df = join_small(df, keys, "metering_point", "left_semi")
+        on = ["metering_point"]
+        if buckets:
+            keys, on = keys.withColumn("bucket", bucket_of(F.col("metering_point"), buckets)), ["metering_point", "bucket"]
+        df = join_small(df, keys, on, "left_semi")
     cols = [F.col("metering_point").alias("metering_point_id")] + [
         F.col(c) for c in READING_COLUMNS if c != "metering_point_id"
     ]
-    # ``date`` (in the day layout the folder key, which is the UTC day of
-    # ``timestamp`` by construction of the writer) rides along: the stage view takes ``reading_date`` from
+    # ``date`` (the folder key where the manifest says that it is the UTC day
+    # of ``timestamp``) rides along: the stage view takes ``reading_date`` from
     # it, so a date filter on any view is a partition filter.
     return df.select(*cols, F.col("date"))
