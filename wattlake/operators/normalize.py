@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions.calendar import utc_date
@@ -206,9 +206,12 @@ def latest_response(readings: DataFrame, order: str) -> DataFrame:
     earlier one brought for the same hour, while duplicates inside one
     response stay.
     """
-    hour = Window.partitionBy(MP, "timestamp")
-    last = readings.withColumn("last_order", F.max(order).over(hour)).where(F.col(order) == F.col("last_order"))
-    return last.drop(order, "last_order")
+    hours = readings.groupBy(MP, "timestamp").agg(F.max(order).alias("last_order"), F.min(order).alias("first_order"))
+    contested = hours.where(F.col("first_order") < F.col("last_order")).select(MP, "timestamp", "last_order")
+    # mostly few or none: Spark broadcasts them once it has measured them
+    both = readings.join(contested, [MP, "timestamp"], "left")
+    kept = both.where(F.col("last_order").isNull() | (F.col(order) == F.col("last_order")))
+    return kept.select(*[c for c in readings.columns if c != order])
 
 
 def unparsable_documents(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -1,58 +1,87 @@
 """Ingestion state: last ingested day per meter, advanced by chunk outcomes.
 
-The state table lives under a root folder as numbered versions,
-``<root>/version=<n>/``; a write adds version n+1 and never rewrites the
-folder it read, so a failed or rerun job leaves the last good version in
-place.  One writer at a time, as with any file table.
+A version of the table is a folder of its own, ``<root>/data-<id>/``, written
+whole before ``<root>/_commits/<n>.json`` names it.  That small file is created
+atomically, so a commit is a compare-and-set: a run that read version n commits
+n + 1, and of two such runs one wins and the other one raises ``StateConflict``.
+A failed or rerun job leaves the last version in place.
+
+Older tables (``<root>/version=<n>/`` with a ``_SUCCESS`` marker) are read, and
+continued by commits; a version without its marker raises, as taking it for no
+state would load every meter from the start again.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.schema import STATE
-from wattlake.session import hadoop_fs
+from wattlake.session import claim_file, hadoop_fs, read_small_file
 
 MP = "metering_point_id"
+COMMITS = "_commits"
+NO_VERSION = -1
+
+
+class StateConflict(RuntimeError):
+    """Another run has committed the version that this one was to write."""
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, hpath = hadoop_fs(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(hpath)] if fs.exists(hpath) else []
+
+
+def _latest(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    """(version, folder) of the state, (NO_VERSION, None) if there is none."""
+    commits = [int(n[:-5]) for n in _names(spark, f"{root}/{COMMITS}") if n.endswith(".json") and n[:-5].isdigit()]
+    if commits:
+        named = json.loads(read_small_file(spark, f"{root}/{COMMITS}/{max(commits)}.json"))
+        return max(commits), f"{root}/{named['data']}"
+    older = [int(n.split("=", 1)[1]) for n in _names(spark, root) if n.startswith("version=")]
+    if not older:
+        return NO_VERSION, None
+    folder = f"{root}/version={max(older)}"
+    if "_SUCCESS" not in _names(spark, folder):
+        raise ValueError(f"{folder} has no _SUCCESS marker: its write did not end; remove it to go back to the version before")
+    return max(older), folder
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    fs, hpath = hadoop_fs(spark, root)
-    if not fs.exists(hpath):
-        return []
-    found = []
-    for status in fs.listStatus(hpath):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith("version="):
-            marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if fs.exists(marker):
-                found.append(int(name.split("=", 1)[1]))
-    return sorted(found)
+def state_version(spark: SparkSession, root: str) -> int:
+    """Number of the latest version, ``NO_VERSION`` before the first."""
+    return _latest(spark, root)[0]
 
 
 def init_state(spark: SparkSession, root: str) -> None:
     """Create an empty state table if there is none."""
-    if not _versions(spark, root):
-        spark.createDataFrame([], STATE).write.mode("overwrite").parquet(f"{root}/version=0")
+    if state_version(spark, root) == NO_VERSION:
+        try:
+            write_state(spark, spark.createDataFrame([], STATE), root, expected=NO_VERSION)
+        except StateConflict:
+            pass  # there is one now
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame | None:
     """Latest state version, or None when there is no state table yet."""
-    versions = _versions(spark, root)
-    if not versions:
-        return None
-    return spark.read.schema(STATE).parquet(f"{root}/version={versions[-1]}")
+    _, folder = _latest(spark, root)
+    return None if folder is None else spark.read.schema(STATE).parquet(folder)
 
 
-def write_state(spark: SparkSession, state: DataFrame, root: str) -> int:
-    """Write ``state`` as the next version; returns the version number."""
-    versions = _versions(spark, root)
-    nxt = versions[-1] + 1 if versions else 0
+def write_state(spark: SparkSession, state: DataFrame, root: str, expected: int | None = None) -> int:
+    """Commit ``state`` as the version after ``expected`` (default: the latest now); returns its number."""
+    if expected is None:
+        expected = state_version(spark, root)
+    data = f"data-{uuid.uuid4().hex}"
     # No coalesce(1): a fleet's state has a row per meter and is written by
     # as many tasks as the plan has (AQE packs small outputs anyway).
-    state.select(MP, "last_ingestion_date").write.mode("overwrite").parquet(f"{root}/version={nxt}")
-    return nxt
+    state.select(MP, "last_ingestion_date").write.parquet(f"{root}/{data}")
+    if state_version(spark, root) != expected or not claim_file(spark, f"{root}/{COMMITS}/{expected + 1}.json", json.dumps({"data": data})):
+        raise StateConflict(f"state at {root}: version {expected + 1} was committed by another run; plan this run again from it")
+    return expected + 1
 
 
 def lookup_state(state: DataFrame, metering_point_id: str) -> DataFrame:

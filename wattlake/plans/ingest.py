@@ -11,7 +11,11 @@ meters at once:
    prunes the listing of other folders);
 3. normalise (VARIANT, built-ins only) and upsert into the lake;
 4. optionally refresh the day-level rollup for the days written;
-5. chunk outcomes -> per-meter any-ok -> new state version.
+5. chunk outcomes -> per-meter any-ok -> new state version, committed only if
+   no other run has committed one since step 1.
+
+Responses count in the order in which they landed (file time, path, place in the
+file), which is fixed at the scan, before any row is moved.
 """
 
 from __future__ import annotations
@@ -25,12 +29,12 @@ from pyspark.sql import functions as F
 
 from wattlake.operators.normalize import latest_response, normalize_responses, usable
 from wattlake.operators.planning import load_plan
-from wattlake.operators.state import advance_state, chunk_outcomes, read_state, write_state
+from wattlake.operators.state import advance_state, chunk_outcomes, read_state, state_version, write_state
 from wattlake.operators.rollup import refresh_rollup
 from wattlake.operators.upsert import upsert_readings_days
 from wattlake.schema import DEFAULT_BACKFILL_DAYS, DEFAULT_CHUNK_DAYS
 from wattlake.session import checkpointed
-from wattlake.sources.responses import read_responses, response_order
+from wattlake.sources.responses import read_responses
 
 MP = "metering_point_id"
 
@@ -84,6 +88,7 @@ def run_ingest(
     """
     if ingested_at is None:
         ingested_at = dt.datetime.combine(as_of, dt.time(), tzinfo=dt.timezone.utc)
+    version = state_version(spark, state_root)
     state = read_state(spark, state_root)
     # Both small frames are reused several times below: compute each once.
     tracked = checkpointed(tracked.select(F.col(tracked.columns[0]).cast("string").alias(MP)).distinct())
@@ -91,11 +96,7 @@ def run_ingest(
     docs = read_responses(spark, raw_root, whole_files=whole_files, landing=landing)
     if filter_to_plan:
         docs = answering_documents(docs, plan)
-    docs = docs.withColumn("parsed", usable(F.col("value"))).withColumn(
-        "response_order", response_order()
-    ).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
+    docs = docs.withColumn("parsed", usable(F.col("value"))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         readings, rejects = normalize_responses(docs.where("parsed"), tracked=tracked, as_of=ingested_at, keep=["response_order"])
         readings = latest_response(readings, "response_order")
@@ -106,7 +107,7 @@ def run_ingest(
             write_rejects(docs, rejects.drop("response_order"), f"{rejects_root}/run_date={as_of}")
         landed = docs.select(F.col("metering_point").alias(MP), "chunk_from", "chunk_to", "parsed")
         outcomes = chunk_outcomes(plan, landed)
-        version = write_state(spark, advance_state(state, outcomes, strict), state_root)
+        version = write_state(spark, advance_state(state, outcomes, strict), state_root, expected=version)
     finally:
         docs.unpersist()
     return IngestResult(written, version, plan, outcomes, rejects)

@@ -34,9 +34,15 @@ def landed_at() -> Column:
     return F.struct(meta["file_modification_time"], meta["file_path"], meta["file_block_start"]).alias("landed_at")
 
 
-def response_order() -> Column:
-    """Orders the documents of one read (a batch frame): ``landed_at``, then the line."""
-    return F.struct("landed_at", F.monotonically_increasing_id().alias("line"))
+def response_order(lines: bool = True) -> Column:
+    """Orders the documents of one read: ``landed_at``, then the line.
+
+    To be taken straight from the scan, before rows are moved: there, the ids
+    of a file's block rise with its lines.  With one document a file
+    (``lines`` false) there is nothing to count.
+    """
+    line = F.monotonically_increasing_id() if lines else F.lit(0).cast("long")
+    return F.struct("landed_at", line.alias("line"))
 
 
 def _keyed_lines(df: DataFrame) -> DataFrame:
@@ -60,7 +66,7 @@ def read_responses(
     whole_files: bool = True,
     landing: str = "folders",
 ) -> DataFrame:
-    """Documents (``value``) with their source file and request keys.
+    """Documents (``value``) with their source file, request keys and ``response_order``.
 
     ``landing="folders"``: keys from the folders (if ``partitioned``);
     ``whole_files`` reads one document per file, else one per line.
@@ -71,17 +77,19 @@ def read_responses(
 
     if not path_exists(spark, root):
         empty = spark.createDataFrame([], RESPONSE_SCHEMA)
-        return empty.withColumn("source_file", F.lit(None).cast("string")).withColumn(
+        empty = empty.withColumn("source_file", F.lit(None).cast("string")).withColumn(
             "landed_at", F.struct(F.lit(None).cast("timestamp").alias("file_modification_time"))
         )
+        return empty.withColumn("response_order", response_order(False))
     if landing == "lines":
-        return _keyed_lines(spark.read.text(root))
+        return _keyed_lines(spark.read.text(root)).withColumn("response_order", response_order())
     reader = spark.read
     if partitioned:
         reader = reader.schema(RESPONSE_SCHEMA)
     # text() sets wholetext itself (default False), so it is passed here.
     df = reader.text(root, wholetext=whole_files)
-    return df.withColumn("source_file", F.col("_metadata.file_path")).withColumn("landed_at", landed_at())
+    df = df.withColumn("source_file", F.col("_metadata.file_path")).withColumn("landed_at", landed_at())
+    return df.withColumn("response_order", response_order(lines=not whole_files))
 
 
 def stream_responses(

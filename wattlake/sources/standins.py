@@ -229,13 +229,20 @@ def land_event_responses(
     value_shift: float = 0.0,
     chunk_days: int = 90,
     landing: str = "lines",
+    sends: int = 1,
+    faults: bool = False,
 ) -> None:
     """Play the fetcher: land the events of every planned chunk as responses.
 
     Days after ``as_of`` are not available yet.  ``value_shift`` is added to
     every value (a later run delivering corrected readings).  ``landing`` is
     ``lines`` (keyed JSON Lines) or ``folders`` (JSON Lines under the
-    chunk's folder keys).
+    chunk's folder keys).  With ``sends`` 2 or 3 a chunk comes again, later in
+    the same file, each time with 1 more in every value: first without its
+    ``view`` events, then with its ``purchase`` events only.  ``faults`` plants
+    what has to be rejected: a period start that is no time on every 13th of a
+    month, a position that is no number for every 97th event, and an answer that
+    is no JSON on every 17th for meters whose id ends in 1 or 6.
     """
     from wattlake.operators.joins import join_small
     from wattlake.operators.planning import chunk_of
@@ -245,11 +252,18 @@ def land_event_responses(
     windows = plan.select(MP, "date_from", "date_to").distinct()
     ev = table(spark, sf_dir, "events")
     kind = F.col("event_type")
+    send = F.col("send")
+    ev = ev.withColumn("send", F.explode(F.sequence(F.lit(0), F.lit(sends - 1))))
+    ev = ev.where((send == 0) | ((send == 1) & (kind != "view")) | ((send == 2) & (kind == "purchase")))
+    point = _point(kind, F.col("value") + F.lit(value_shift) + send.cast("double"), F.hour("ts"))
+    if faults:
+        point = point.withField(API_POSITION, F.when(F.col("event_id") % 97 == 0, F.lit("first")).otherwise(point[API_POSITION]))
     pts = ev.select(
         F.col("user_id").cast("string").alias(MP),
         "event_id",
+        "send",
         F.to_date("ts").alias("day"),
-        _point(kind, F.col("value") + F.lit(value_shift), F.hour("ts")).alias("point"),
+        point.alias("point"),
         (kind == "error").alias("failed"),
     ).where(F.col("day") <= F.lit(as_of).cast("date"))
     placed = join_small(pts, windows, MP, "inner").where(
@@ -259,7 +273,13 @@ def land_event_responses(
     placed = placed.withColumn("chunk_from", start).withColumn(
         "chunk_to", F.least(F.date_add(start, chunk_days - 1), F.col("date_to"))
     )
-    docs = pack_responses(placed.drop("date_from", "date_to"), ["chunk_from", "chunk_to"])
+    docs = pack_responses(placed.drop("date_from", "date_to"), ["chunk_from", "chunk_to", "send"])
+    if faults:
+        value = F.when(F.dayofmonth("day") == 13, F.regexp_replace("value", rf'"{API_START}":"[^"]*"', f'"{API_START}":"some day"')).otherwise(F.col("value"))
+        busy = (F.dayofmonth("day") == 17) & (F.col("metering_point").cast("long") % 5 == 1)
+        docs = docs.withColumn("value", F.when(busy, F.lit("busy, try again")).otherwise(value))
+    if sends > 1:  # all that a meter gets stands in one file, in the order of sending
+        docs = docs.repartition("metering_point").sortWithinPartitions("metering_point", "chunk_from", "send", "day")
     if landing == "lines":
         line = F.concat_ws("\t", "metering_point", "chunk_from", "chunk_to", "value")
         docs.select(line.alias("value")).write.mode("overwrite").text(raw_root)
