@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
@@ -96,10 +97,10 @@ def inspect_lake(spark: SparkSession, root: str) -> Manifest | None:
     with session_conf(spark, {NANOS_CONF: "true"}):
         try:
             schema = spark.read.option("mergeSchema", "true").parquet(root).schema
-        except PySparkException as e:
+        except (PySparkException, Py4JJavaError) as e:
             if "UNABLE_TO_INFER_SCHEMA" in str(e):  # folders without a file
                 return Manifest(layout, day_rule="offset")
-            if "MERGE" in str(e).upper():
+            if "CANNOT_MERGE" in str(e) or "Failed to merge" in str(e):
                 raise ValueError(
                     f"lake at {root} mixes files of different timestamp units; rewrite the files of one unit into a lake of their own with migrate_lake()"
                 ) from e
