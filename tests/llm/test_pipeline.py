@@ -22,6 +22,8 @@ def test_stages_keep_columns_and_take_effect(spark):
         if name == "language_id":
             assert {r[0] for r in made if r[1] and any(c.isalpha() for c in r[1])} >= {r[0] for r in got}
             assert not [r for r in got if not r[1] or not any(c.isalpha() for c in r[1])]
+            # every text of some length in the letters that the labelled ones have stays
+            assert {r[0] for r in got} >= {r[0] for r in made if r[1] and len(r[1]) > 100 and not set(r[1].lower()) - set("abcdeéßñ \n")}
         elif name == "line_dedup":
             want = brute_lines(made, 50)
             assert sorted((r[0] or -1, r[1]) for r in got) == sorted((r[0] or -1, want[(r[0] is None, r[0] or 0, r[1])][1]) for r in made)
@@ -31,6 +33,12 @@ def test_stages_keep_columns_and_take_effect(spark):
             assert sorted(r[0] for r in got if r[0] is not None) == sorted({v for v in roots.values()})
         elif name == "source_mixing":
             assert set(got) <= set(made)
+            words = lambda rows, s: sum(len(r[1].encode().split()) for r in rows if r[3] == s and r[1])
+            for source in {r[3] for r in made}:
+                had, took = words(made, source), words(got, source)
+                assert (took > 0) == (had > 0) and took <= 3 * had
+            total = sum(words(made, s) for s in {r[3] for r in made})
+            assert sum(words(got, s) for s in {r[3] for r in made}) == pytest.approx(total, rel=0.35)
         else:
             for doc_id, _, _, n, ids, same in got:
                 texts = [r[1] for r in made if r[0] == doc_id]
@@ -40,6 +48,19 @@ def test_stages_keep_columns_and_take_effect(spark):
         docs, made = out, got
 
 
+def test_language_stage_drops_noise_whatever_the_number_of_languages(spark):
+    import random
+
+    rnd = random.Random(1)
+    prose = {"de": "der hund lief schnell durch den garten und sah die katze ", "en": "the dog ran quickly through the garden and saw the cat "}
+    noise = "".join(chr(rnd.randint(0x4E00, 0x9FFF)) for _ in range(400))
+    for langs in (["de"], ["de", "en"]):
+        rows = [(i, prose[x] * 5, x) for i, x in enumerate(langs * 20)] + [(1000, noise, None), (1001, "12 34", None)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs, "").collect()}
+        assert kept == {r[0] for r in rows[:-2]}
+
+
 def test_empty_table(spark):
     docs = cases.table(spark, [])
     for name, stage in corpus_pipeline.STAGES:

@@ -25,7 +25,7 @@ Defined results
 * no labelled document at all: every document is ``und``;
 * equal code lengths: the language first in code-point order;
 * repeated rows get equal results; an empty table gives an empty result;
-  other columns pass through, ``lang_pred`` and ``lang_score`` are replaced.
+  other columns pass through, those named as new ones are replaced.
 """
 
 from __future__ import annotations
@@ -197,17 +197,21 @@ class ContextTrees:
             last = c[-ORDER:]
         return bits, len(raw)
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def judge(self, text: str | None) -> tuple[str, float, float | None]:
+        """(language, score, bits a byte of the text's code in that language)."""
         if not text or not self.langs or not _LETTER.search(text):
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, None
         bits, n = self.code_bits(text)
         best = int(bits.argmin())
         share = np.exp2((bits[best] - bits) * min(1.0, SCORE_BYTES / n))
-        return self.langs[best], float(1 / share.sum())
+        return self.langs[best], float(1 / share.sum()), float(bits[best] / n)
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        return self.judge(text)[:2]
 
 
 def identify(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``lang_score``, learned from ``labelled``.
+    """``docs`` with ``lang_pred``, ``lang_score`` and ``lang_bits`` (bits a byte, null for ``und``), learned from ``labelled``.
 
     ``labelled`` (default: the documents of ``docs`` that are not held out)
     needs doc_id, text and lang; lang, source and doc_id of a document play no
@@ -217,14 +221,14 @@ def identify(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
         labelled = docs.where(~held_out(F.col("doc_id")))
     trees = docs.sparkSession.sparkContext.broadcast(vars(ContextTrees(training_sample(labelled))))
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, bits double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = object.__new__(ContextTrees)
         model.__dict__ = trees.value
         for texts in batches:
-            yield pd.DataFrame([model.predict(t) for t in texts], columns=["lang", "score"])
+            yield pd.DataFrame([model.judge(t) for t in texts], columns=["lang", "score", "bits"])
 
-    docs = docs.drop("lang_pred", "lang_score")
+    docs = docs.drop("lang_pred", "lang_score", "lang_bits")
     (got,) = fresh(docs, "prediction")
     out = docs.withColumn(got, predict.asNondeterministic()("text"))
-    return out.select(*docs.columns, F.col(f"{got}.lang").alias("lang_pred"), F.col(f"{got}.score").alias("lang_score"))
+    return out.select(*docs.columns, F.col(f"{got}.lang").alias("lang_pred"), F.col(f"{got}.score").alias("lang_score"), F.col(f"{got}.bits").alias("lang_bits"))

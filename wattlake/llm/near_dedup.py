@@ -54,6 +54,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import stored
+from wattlake.operators.joins import join_small
 
 K = 32  # at least; see ``bounds``
 MISS = 1e-9
@@ -152,7 +153,8 @@ def sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame({"node": batch["doc_id"], "members": [shingles.of(t).tobytes() for t in batch["text"]]})
 
-    some = docs.join(wanted, docs["doc_id"] == wanted["node"], "left_semi")
+    # ids are small beside texts: up to a checked bound they travel, not the texts
+    some = join_small(docs, stored(wanted.select(F.col("node").alias("doc_id")).distinct(), "near-wanted"), "doc_id", "left_semi")
     out = some.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, "node string, members binary")
     return out.withColumn("node", F.col("node").cast(kind))
 
