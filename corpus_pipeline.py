@@ -15,14 +15,15 @@ from wattlake.llm.line_dedup import line_dedup
 from wattlake.llm.near_dedup import near_duplicates
 from wattlake.llm.queries import tokenizer_path
 
-#: With L languages an undecided text scores 1 / L; this rejects texts that no language suits better than others.
-MIN_LANGUAGE_SCORE = 0.3
+#: Bits a byte above which a text is in no learned language: its model does worse than one that knows nothing
+#: and takes 8 bits for every byte.  This depends neither on the number of languages nor on a text's length.
+MAX_LANGUAGE_BITS = 8.0
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach; texts without a letter go."""
+    """Documents in a language that the labelled ones teach; texts without a letter go, and those that no model codes."""
     out = langid.identify(docs)
-    sure = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("lang_score") >= MIN_LANGUAGE_SCORE)
+    sure = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("lang_bits") <= MAX_LANGUAGE_BITS)
     return out.where(sure).select(*docs.columns)
 
 
@@ -55,7 +56,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text again."""
-    out = bpe.encoded(docs, tokenizer_path())
+    out = bpe.encoded(docs, tokenizer_path(), ["doc_id", "lang", "source"])
     return out.select("doc_id", "lang", "source", "n_tokens", "ids", "round_trips")
 
 
