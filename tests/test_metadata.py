@@ -7,6 +7,7 @@ import json
 import pytest
 
 from wattlake.operators import metadata as M
+from wattlake.session import session_conf
 from wattlake.schema import METADATA, METADATA_SOURCE
 
 
@@ -103,3 +104,29 @@ def test_typed_listing_matches_json_dumps(spark, tmp_path):
     extras = {k: v for k, v in attrs.items() if k not in ("name", "type")}
     assert row.extra_metadata == json.dumps(extras)
     assert (row.name, row.type) == ("m1", "pv")  # a falsy name falls back to the id
+
+
+def test_listing_by_lines_is_split_and_keeps_its_order(spark, tmp_path):
+    from wattlake.sources.listing import read_listing
+
+    lines = ['{" m%d\\t": {"name": "n%d", "floor": %d}}' % (i, i % 50, i) for i in range(400)]
+    lines += ['{"m7": {"name": "later"}}', "", '{"  ": {"name": "blank"}}', '{"m400": null}']
+    (tmp_path / "a.json").write_text("\n".join(lines[:200]) + "\n")
+    (tmp_path / "b.json").write_text("\n".join(lines[200:]) + "\n")
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "2000"}):
+        listing = read_listing(spark, str(tmp_path), lines=True)
+        assert listing.rdd.getNumPartitions() > 4
+        rows = M.normalize_listing(listing).orderBy("position").collect()
+        tracked = {r.name: r.metering_point_id for r in M.tracked_meters(M.normalize_listing(listing)).collect()}
+    assert [r.metering_point_id for r in rows] == [f"m{i}" for i in range(401)]
+    assert rows[7].name == "later" and rows[400].name == "m400"
+    assert tracked["n49"] == "m399" and tracked["later"] == "m7" and tracked["n7"] == "m357"
+
+
+@pytest.mark.parametrize("line", ["[1]", "no json", '{"m": 5}', "null"])
+def test_lines_that_are_no_mapping_raise(spark, tmp_path, line):
+    from wattlake.sources.listing import read_listing
+
+    (tmp_path / "a.json").write_text('{"m": {}}\n' + line + "\n")
+    with pytest.raises(ValueError, match="mapping"):
+        read_listing(spark, str(tmp_path), lines=True)

@@ -20,6 +20,10 @@ ISO_START = (
 )
 
 
+# The form that responses mostly have: seconds, then Z or an offset of hours and minutes.
+USUAL_START = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:Z|[+-][0-9]{2}:[0-9]{2})$"
+
+
 def key_missing(v: Column, path: str) -> Column:
     """TRUE when ``path`` is absent (a JSON null is present, not missing)."""
     return F.try_variant_get(v, path, "variant").isNull()
@@ -86,8 +90,18 @@ def parse_instant(text: Column) -> Column:
 
     A value without offset is read as UTC.  Years alone, year and month,
     padded text and zone names are not accepted; fractions beyond micros are
-    cut off.
+    cut off.  The usual form is cut at its fixed places; only other forms cost
+    a match of the whole pattern for each part.
     """
+    wall = F.concat(F.substring(text, 1, 10), F.lit(" "), F.substring(text, 12, 8)).try_cast("timestamp_ntz")
+    # Z leaves both numbers empty
+    hours, minutes = (F.coalesce(F.substring(text, at, 2).try_cast("long"), F.lit(0)) for at in (21, 24))
+    ahead = F.when(F.substring(text, 20, 1) == "-", -1).otherwise(1) * (hours * 3600 + minutes * 60)
+    usual = F.timestamp_micros(F.unix_micros(ntz_to_instant(wall)) - ahead * F.lit(1_000_000))
+    return F.when(text.rlike(USUAL_START), usual).otherwise(_any_iso_instant(text))
+
+
+def _any_iso_instant(text: Column) -> Column:
 
     def part(group: int, default: str = "00") -> Column:
         found = F.regexp_extract(text, ISO_START, group)

@@ -1,7 +1,7 @@
 """Meter metadata: normalise the listing, build the dimension, tracked set.
 
 Input rows are (metering_point_id, attributes, position), ``position`` being
-the order of the meter in its source listing.  ``attributes`` is a
+the order of the meter in its source listing (a number, or a struct that sorts).  ``attributes`` is a
 map<string,string> (rows) or a map<string,variant> (a JSON listing, which
 keeps value types, so ``floor: 2`` stays a number in ``extra_metadata``).
 """
@@ -44,7 +44,7 @@ def normalize_listing(listing: DataFrame) -> DataFrame:
     rows = listing.select(
         F.regexp_replace(F.col(MP).cast("string"), BLANK_ENDS, "").alias(MP),
         attrs.alias("attributes"),
-        F.col("position").cast("long").alias("position"),
+        "position",
     ).where(F.col(MP).isNotNull() & (F.col(MP) != ""))
     rows = rows.groupBy(MP).agg(
         F.max_by("attributes", "position").alias("attributes"), F.min("position").alias("position")

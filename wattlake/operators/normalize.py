@@ -85,9 +85,14 @@ def _as_of_column(as_of: dt.datetime | None) -> Column:
     return F.lit(as_of)
 
 
+def parsed_document(docs: DataFrame) -> Column:
+    """The response as VARIANT: the column ``doc`` where ``docs`` has been parsed, else ``value`` parsed."""
+    return F.col("doc") if "doc" in docs.columns else F.try_parse_json("value")
+
+
 def _points(docs: DataFrame, keep: list[str], tracked: DataFrame | None) -> DataFrame:
     """One row per point of every successful result of a tracked meter."""
-    parsed = docs.select(*keep, F.try_parse_json("value").alias("doc"))
+    parsed = docs.select(*keep, parsed_document(docs).alias("doc"))
     results = parsed.select(
         *keep, F.explode(F.try_variant_get("doc", RESULTS, "array<variant>")).alias("r")
     )
@@ -141,7 +146,7 @@ def normalize_responses(
     as_of: dt.datetime | None = None,
     keep: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(readings, rejects) from a frame with one JSON document per row in ``value``.
+    """(readings, rejects) from a frame with one JSON document per row in ``value`` (or, parsed, in ``doc``).
 
     ``tracked`` is a one-column frame of meter ids to keep (None keeps all).
     ``as_of`` stamps ``ingestion_timestamp``/``ingestion_date``; it defaults to
@@ -184,7 +189,11 @@ def usable(value: Column) -> Column:
     list is; anything else (other JSON, a null result, a result that is not
     an object) means that the request failed.
     """
-    doc = F.try_parse_json(value)
+    return usable_document(F.try_parse_json(value))
+
+
+def usable_document(doc: Column) -> Column:
+    """``usable`` of a parsed response (null: no JSON)."""
     kind = json_type(doc, RESULTS)
     listed = F.forall(
         F.coalesce(F.try_variant_get(doc, RESULTS, "array<variant>"), F.array().cast("array<variant>")),

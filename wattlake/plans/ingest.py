@@ -27,7 +27,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.operators.normalize import latest_response, normalize_responses, usable
+from wattlake.operators.normalize import latest_response, normalize_responses, usable_document
 from wattlake.operators.planning import load_plan
 from wattlake.operators.state import advance_state, chunk_outcomes, read_state, state_version, write_state
 from wattlake.operators.rollup import refresh_rollup
@@ -69,6 +69,7 @@ def run_ingest(
     rejects_root: str | None = None,
     filter_to_plan: bool = True,
     rollup_root: str | None = None,
+    plan: DataFrame | None = None,
 ) -> IngestResult:
     """Ingest whatever the fetcher landed for the plan of ``as_of``.
 
@@ -85,6 +86,8 @@ def run_ingest(
     and outcomes still match chunks by their keys.
     With ``rollup_root``, the day-level rollup is refreshed for the days
     this run wrote (``operators.rollup``).
+    ``plan``: the plan that the fetcher worked through, if it is at hand
+    (checkpointed); else it is made again from the state.
     """
     if ingested_at is None:
         ingested_at = dt.datetime.combine(as_of, dt.time(), tzinfo=dt.timezone.utc)
@@ -92,11 +95,15 @@ def run_ingest(
     state = read_state(spark, state_root)
     # Both small frames are reused several times below: compute each once.
     tracked = checkpointed(tracked.select(F.col(tracked.columns[0]).cast("string").alias(MP)).distinct())
-    plan = checkpointed(load_plan(tracked, state, as_of, backfill_days, chunk_days))
+    if plan is None:
+        plan = checkpointed(load_plan(tracked, state, as_of, backfill_days, chunk_days))
     docs = read_responses(spark, raw_root, whole_files=whole_files, landing=landing)
     if filter_to_plan:
         docs = answering_documents(docs, plan)
-    docs = docs.withColumn("parsed", usable(F.col("value"))).persist(StorageLevel.MEMORY_AND_DISK)
+    # Parsed once; text is kept only of what is put aside whole.
+    docs = docs.withColumn("doc", F.try_parse_json("value"))
+    docs = docs.withColumn("parsed", usable_document(F.col("doc"))).withColumn("value", F.when(~F.col("parsed"), F.col("value")))
+    docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         readings, rejects = normalize_responses(docs.where("parsed"), tracked=tracked, as_of=ingested_at, keep=["response_order"])
         readings = latest_response(readings, "response_order")

@@ -134,6 +134,31 @@ def customer_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def land_customer_listing(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Land ``customer_listing`` as a JSON listing, one meter a line.
+
+    Planted: white space around every 5th id, a line with a blank id after every
+    11th, no attributes for every 13th, and a second entry, after all others,
+    for every 7th.
+    """
+    cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("position"), "c_name")
+    rows = customer_listing(spark, sf_dir).join(cust, "position")
+    key, attrs = F.col("position"), F.col("attributes")
+    padded = F.when(key % 5 == 0, F.concat(F.lit("  "), MP, F.lit("\t"))).otherwise(F.col(MP))
+    again = F.create_map(F.lit("name"), F.concat("c_name", F.lit(" again")), F.lit("type"), F.lit("second"))
+    entry = lambda place, id_, value: F.struct(place.alias("place"), id_.alias("id"), value.alias("value"))
+    entries = F.array(
+        entry(key * 2, padded, F.when(key % 13 > 0, attrs)),
+        entry(F.when(key % 11 == 0, key * 2 + 1), F.lit(" \t "), attrs),
+        entry(F.when(key % 7 == 0, key + F.lit(1 << 40)), F.col(MP), again),
+    )
+    lines = rows.select(F.explode(F.filter(entries, lambda e: e["place"].isNotNull())).alias("e"))
+    body = F.coalesce(F.to_json("e.value"), F.lit("null"))
+    name = F.to_json(F.array("e.id"))
+    line = F.concat(F.lit("{"), F.substring(name, F.lit(2), F.length(name) - 2), F.lit(": "), body, F.lit("}"))
+    lines.orderBy("e.place").select(line.alias("value")).write.text(path)
+
+
 def event_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State rows: last purchase day per user."""
     ev = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")

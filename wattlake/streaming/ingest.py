@@ -20,7 +20,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.operators.normalize import latest_response, normalize_responses, usable
+from wattlake.operators.normalize import latest_response, normalize_responses, usable_document
 from wattlake.operators.rollup import refresh_rollup
 from wattlake.operators.upsert import upsert_readings_days
 from wattlake.plans.ingest import write_rejects
@@ -53,15 +53,18 @@ def start_stream_ingest(
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         spark_ = batch.sparkSession
-        batch = batch.withColumn("response_order", response_order()).persist(StorageLevel.MEMORY_AND_DISK)
+        # the order is taken from the scan; each response is parsed once
+        batch = batch.withColumn("response_order", response_order()).withColumn("doc", F.try_parse_json("value"))
+        batch = batch.withColumn("parsed", usable_document(F.col("doc"))).withColumn("value", F.when(~F.col("parsed"), F.col("value")))
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            good = batch.where(usable(F.col("value")))
+            good = batch.where("parsed")
             readings, rejects = normalize_responses(good, tracked=tracked, as_of=as_of, keep=["response_order"])
             _, days = upsert_readings_days(spark_, latest_response(readings, "response_order"), lake_root)
             if rollup_root:
                 refresh_rollup(spark_, lake_root, rollup_root, days)
             if rejects_root:
-                write_rejects(batch.withColumn("parsed", usable(F.col("value"))), rejects, f"{rejects_root}/batch={batch_id}")
+                write_rejects(batch, rejects, f"{rejects_root}/batch={batch_id}")
         finally:
             batch.unpersist()
 
