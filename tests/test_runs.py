@@ -10,6 +10,7 @@ from wattlake.operators.state import NO_VERSION, StateConflict, init_state, read
 from wattlake.plans.ingest import run_ingest
 from wattlake.schema import STATE
 from wattlake.sources.lake import read_readings
+from wattlake.streaming.ingest import start_stream_ingest
 
 AS_OF = dt.date(2031, 6, 10)
 
@@ -71,3 +72,34 @@ def test_a_version_without_its_marker_raises(spark, tmp_path):
     os.makedirs(f"{root}/version=1")
     with pytest.raises(ValueError, match="_SUCCESS"):
         read_state(spark, root)
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    """Batches correct each other; the last one runs twice and is applied once."""
+    raw, lake, checkpoint, rejects = (str(tmp_path / x) for x in ("raw", "lake", "checkpoint", "rejects"))
+    os.makedirs(raw)
+    for i in range(3):
+        lines = [f"m{k}\t2031-06-01\t2031-06-10\t{response(f'm{k}', i)}" for k in range(i, 3)] + ["m0\t2031-06-01\t2031-06-10\tbusy"]
+        with open(f"{raw}/{i}.txt", "w") as f:
+            f.write("\n".join(lines) + "\n")
+        os.utime(f"{raw}/{i}.txt", (1_900_000_000 + i, 1_900_000_000 + i))
+
+    def run():
+        start_stream_ingest(spark, raw, lake, checkpoint, as_of=dt.datetime(2031, 6, 10), max_files_per_trigger=1, landing="lines", rejects_root=rejects).awaitTermination()
+        files = sorted(os.path.join(d, f) for root in (lake, rejects) for d, _, names in os.walk(root) for f in names if f.endswith(".parquet"))
+        return {r.metering_point_id: r.consumption_value for r in read_readings(spark, lake).collect()}, spark.read.parquet(rejects).count(), files
+
+    def forget(name):
+        """As after a crash before the file was written; Hadoop's checksum goes with it."""
+        folder, file = os.path.split(f"{checkpoint}/{name}")
+        for path in (f"{folder}/{file}", f"{folder}/.{file}.crc"):
+            if os.path.exists(path):
+                os.remove(path)
+
+    first = run()
+    assert first[:2] == ({"m0": 0.0, "m1": 1.0, "m2": 2.0}, 3)
+    forget("commits/2")
+    assert run() == first  # not even a file was written again
+    forget("commits/2")
+    forget("applied/2.json")
+    assert run()[:2] == first[:2]  # broken off before its end: applied again

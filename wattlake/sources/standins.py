@@ -261,8 +261,8 @@ def land_event_responses(
 
     Days after ``as_of`` are not available yet.  ``value_shift`` is added to
     every value (a later run delivering corrected readings).  ``landing`` is
-    ``lines`` (keyed JSON Lines) or ``folders`` (JSON Lines under the
-    chunk's folder keys).  With ``sends`` 2 or 3 a chunk comes again, later in
+    ``lines`` (keyed JSON Lines), ``sends`` (the same in a folder for each
+    send) or ``folders`` (JSON Lines under the chunk's folder keys).  With ``sends`` 2 or 3 a chunk comes again, later in
     the same file, each time with 1 more in every value: first without its
     ``view`` events, then with its ``purchase`` events only.  ``faults`` plants
     what has to be rejected: a period start that is no time on every 13th of a
@@ -309,6 +309,10 @@ def land_event_responses(
         line = F.concat_ws("\t", "metering_point", "chunk_from", "chunk_to", "value")
         docs.select(line.alias("value")).write.mode("overwrite").text(raw_root)
         return
+    if landing == "sends":
+        line = F.concat_ws("\t", "metering_point", "chunk_from", "chunk_to", "value")
+        docs.select("send", line.alias("value")).write.mode("overwrite").partitionBy("send").text(raw_root)
+        return
     (
         docs.select("metering_point", "chunk_from", "chunk_to", "value")
         .write.mode("overwrite")

@@ -15,6 +15,7 @@ non-time windows on streams.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +25,11 @@ from wattlake.operators.normalize import latest_response, normalize_responses, u
 from wattlake.operators.rollup import refresh_rollup
 from wattlake.operators.upsert import upsert_readings_days
 from wattlake.plans.ingest import write_rejects
+from wattlake.session import claim_file, path_exists
 from wattlake.sources.responses import response_order, stream_responses
 
+LEDGER = "applied"
+
 
 def start_stream_ingest(
     spark: SparkSession,
@@ -46,6 +50,11 @@ def start_stream_ingest(
     With ``rejects_root``, each micro-batch writes its skipped points and
     unusable responses to a folder of its own (overwritten on a replay).
 
+    A batch is entered in a ledger beside the checkpoint once all its outputs
+    are written.  A replay of an entered batch does nothing; one that broke off
+    before is applied again as a whole, which every output takes (the upsert and
+    the rollup by key, rejects by a folder for each batch).
+
     With ``rollup_root``, every micro-batch also refreshes the day-level
     rollup for the days it wrote (idempotent, like the upsert).
     """
@@ -53,6 +62,9 @@ def start_stream_ingest(
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         spark_ = batch.sparkSession
+        entry = f"{checkpoint}/{LEDGER}/{batch_id}.json"
+        if path_exists(spark_, entry):
+            return  # a replay of a batch whose lake, rollup and rejects are all written
         # the order is taken from the scan; each response is parsed once
         batch = batch.withColumn("response_order", response_order()).withColumn("doc", F.try_parse_json("value"))
         batch = batch.withColumn("parsed", usable_document(F.col("doc"))).withColumn("value", F.when(~F.col("parsed"), F.col("value")))
@@ -65,6 +77,7 @@ def start_stream_ingest(
                 refresh_rollup(spark_, lake_root, rollup_root, days)
             if rejects_root:
                 write_rejects(batch, rejects, f"{rejects_root}/batch={batch_id}")
+            claim_file(spark_, entry, json.dumps({"days": [str(d) for d in days]}))
         finally:
             batch.unpersist()
 
