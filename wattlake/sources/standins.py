@@ -91,8 +91,7 @@ def lineitem_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata listing (id, attributes, position) from customers.
 
-    Customers with a negative balance are not listed (so some meters have no
-    metadata); household names are empty (fall back to the id); machinery
+    Household names are empty (fall back to the id); machinery
     customers share one name per nation (the tracked set keeps the last);
     automobile customers have no extra attributes.
     """
