@@ -56,3 +56,37 @@ def test_one_row_and_none(spark):
     one = fp.fingerprints(cases.table(spark, [(4, "abcd", None, None, None, None, None)])).collect()
     assert [(r.doc_id, r.edited_sha256, r.near_next) for r in one] == [(4, hashlib.sha256(b"abab").hexdigest(), 1.0)]
     assert fp.fingerprints(cases.table(spark, [])).collect() == []
+
+
+def walked(text):
+    """The fingerprint by a walk over the bytes, piece after piece."""
+    codes = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    raw, hashes = text.encode(), []
+    for k in range(len(raw)):
+        h = 0
+        for age in range(7):  # the byte itself has the highest power
+            byte = raw[k - age] if k >= age else 0
+            h = (h + (byte + 1) * 16777619 ** (7 - age)) % 2**32
+        for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+            h = (h ^ h >> shift) * factor % 2**32
+        hashes.append(h)
+
+    def signature(block):
+        out, ends, total, filled = "", 0, 0, False
+        for h in hashes:
+            total, filled = total + h, True
+            if h % block == block - 1:
+                out, ends, total, filled = out + codes[(total >> 5) % 64], ends + 1, 0, False
+        return out + codes[(total >> 5) % 64] * filled, ends
+
+    block = 3
+    while signature(block)[1] >= 64:
+        block *= 2
+    return f"{block}:{signature(block)[0]}:{signature(2 * block)[0]}"
+
+
+def test_fingerprints_equal_a_walk_over_the_bytes():
+    rnd = random.Random(8)
+    texts = ["", "a", "ab" * 400, "é" * 30, *[cases.sentence(rnd, n) for n in (1, 5, 40, 150, 900)], *[r[1] for r in cases.rows() if r[1]][:30]]
+    assert [fp.fingerprint(t) for t in texts] == [walked(t) for t in texts]
+    assert len({walked(t).split(":")[0] for t in texts}) > 3

@@ -1,5 +1,9 @@
+import math
 import re
-from collections import defaultdict
+import struct
+from collections import Counter, defaultdict
+
+import xxhash
 
 from tests.llm import cases
 from wattlake.llm import quality
@@ -47,3 +51,36 @@ def test_labelled_junk_goes_and_good_text_stays(spark):
     got = verdicts.where("NOT base_failed").join(labels, "doc_id").collect()
     good, bad = ([r.kept for r in got if r.quality == q] for q in (1, 0))
     assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.2 * len(bad)
+
+
+def gram_buckets(text):
+    """Buckets of a text's tokens and token pairs, from Spark's hash by another library."""
+    tokens = [xxhash.xxh64_intdigest(t.encode(), 42) for t in re.findall(r"\w+|[^\w\s]+", text or "", re.ASCII)]
+    out = list(tokens)
+    for i, t in enumerate(tokens):
+        h = 42
+        for number, size in [*[(tokens[i - 1], "Q")] * (i > 0), (t, "Q"), (2, "I")]:
+            h = xxhash.xxh64_intdigest(struct.pack("<" + size, number), h)
+        out.append(h)
+    return [h >> 48 for h in out]
+
+
+def test_score_equals_brute_force(spark):
+    made = cases.rows(21)
+    trusted = {i for i in range(12)}
+    labels = spark.createDataFrame([(i, 1) for i in trusted] + [(20, 0), (None, 1)], "doc_id long, quality int")
+    grams = [(r[0], gram_buckets(r[1])) for r in made]
+    raw, good = Counter(), Counter()
+    for doc_id, found in grams:
+        raw.update(found)
+        if doc_id in trusted:
+            good.update(found)
+    size, n_raw, n_good = 2**16, sum(raw.values()), sum(good.values())
+
+    def weight(b):
+        p = (raw[b] + 1) / (n_raw + size)
+        return math.log((good[b] + size * p) / (n_good + size) / p)
+
+    got = Counter((r.doc_id, round(r.score, 9)) for r in quality.judge(cases.table(spark, made), labels).collect())
+    assert got == Counter((i, round(sum(map(weight, found)) / len(found) if found else 0.0, 9)) for i, found in grams)
+    assert len({score for _, score in got}) > 30
