@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import math
 
+import pytest
+
 from tests.conftest import UTC, reading
 from wattlake.operators import rollup as R
 from wattlake.operators import views as V
@@ -66,3 +68,26 @@ def test_refresh_only_touched_days(spark, make_readings, tmp_path):
     assert got[("m", dt.date(2025, 1, 30))] == 3.0
     R.refresh_rollup(spark, lake, roll, [])  # nothing touched, nothing written
     assert R.read_rollup(spark, roll).count() == 10
+
+
+def test_hourly_profile_adds_up_over_days_and_follows_a_reload(spark, make_readings, tmp_path):
+    lake, roll = str(tmp_path / "lake"), str(tmp_path / "rollup")
+    upsert_readings(spark, _fixture(make_readings), lake)
+    R.refresh_rollup(spark, lake, roll)
+    week = [dt.datetime(2025, 1, 30, 1, tzinfo=UTC) + dt.timedelta(days=7 * n) for n in range(3)]  # a Thursday's hour
+    _, days = upsert_readings_days(spark, make_readings([reading("m", t, 10.0 * n) for n, t in enumerate(week)]), lake)
+    R.refresh_rollup(spark, lake, roll, days)
+    profile = R.hourly_from_rollup(R.read_rollup(spark, roll))
+    wanted = V.hourly_profile(V.clean(V.stage(R.read_readings(spark, lake))))
+    assert profile.dtypes == wanted.dtypes and _rows(profile) == _rows(wanted)
+    assert [r.avg_kwh for r in profile.where("metering_point_id = 'm' AND reading_hour = 1 AND reading_weekday = 4").collect()] == [(0 + 10 + 20 + 5) / 4]
+
+
+def test_a_rollup_without_hours_is_not_taken_for_an_empty_one(spark, make_readings, tmp_path):
+    lake, roll = str(tmp_path / "lake"), str(tmp_path / "rollup")
+    upsert_readings(spark, _fixture(make_readings), lake)
+    R.refresh_rollup(spark, lake, f"{roll}-new")
+    R.read_rollup(spark, f"{roll}-new").drop("hour_kwh", "hour_counts").write.partitionBy("reading_date").parquet(roll)
+    assert R.daily_from_rollup(R.read_rollup(spark, roll)).count() > 0
+    with pytest.raises(Exception, match="refresh_rollup"):
+        R.hourly_from_rollup(R.read_rollup(spark, roll)).collect()

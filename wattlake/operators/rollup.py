@@ -5,12 +5,14 @@ One row per (meter, UTC day) with every per-day measure the views need:
     stage_count                   rows of the day (null / negative included)
     total_kwh, avg_kwh, min_kwh,  over clean rows only
     max_kwh, reading_count,
-    hourly_stddev_kwh
+    hourly_stddev_kwh,
+    hour_kwh, hour_counts         sum and count of each hour of the day (24 places)
 
 From it, ``daily_consumption``, ``load_variability``, ``missing_data_summary``,
-``monthly_consumption``, ``daily_quality_flags`` and the enriched view follow
-without reading any reading row: at hourly resolution the rollup is about
-1/24 of the lake.  The hourly profile still needs the readings.
+``monthly_consumption``, ``daily_quality_flags``, the enriched view and the hourly
+profile follow without reading any reading row.  The profile adds up the hours'
+sums and counts of a meter's days, so a day that is loaded again only changes
+its own row.  Reports that do not need the hours do not read their columns.
 
 The rollup is partitioned by ``reading_date``; ``refresh_rollup`` recomputes
 exactly the given days from the lake (partition-pruned read, partial
@@ -26,7 +28,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wattlake.functions.calendar import month_start
+from wattlake.functions.calendar import iso_weekday, month_start, weekday_label
 from wattlake.functions.metrics import guarded_ratio
 from wattlake.operators.views import stage
 from wattlake.schema import EXPECTED_READINGS_PER_DAY
@@ -40,6 +42,7 @@ def day_stats(staged: DataFrame) -> DataFrame:
     value = F.col("consumption_value")
     clean = value.isNotNull() & (value >= 0)
     kept = F.when(clean, value)
+    hours = [F.when(clean & (F.col("reading_hour") == h), value) for h in range(24)]
     return staged.groupBy(MP, "reading_date").agg(
         F.count(F.lit(1)).alias("stage_count"),
         F.sum(kept).alias("total_kwh"),
@@ -48,6 +51,8 @@ def day_stats(staged: DataFrame) -> DataFrame:
         F.max(kept).alias("max_kwh"),
         F.count(kept).alias("reading_count"),
         F.stddev_pop(kept).alias("hourly_stddev_kwh"),
+        F.array(*[F.sum(h) for h in hours]).alias("hour_kwh"),
+        F.array(*[F.count(h) for h in hours]).alias("hour_counts"),
     )
 
 
@@ -76,7 +81,7 @@ def refresh_rollup(
 ROLLUP_SCHEMA = (
     "metering_point_id string, stage_count bigint, total_kwh double, avg_kwh double, "
     "min_kwh double, max_kwh double, reading_count bigint, hourly_stddev_kwh double, "
-    "reading_date date"
+    "hour_kwh array<double>, hour_counts array<bigint>, reading_date date"
 )
 
 
@@ -124,3 +129,18 @@ def monthly_from_rollup(rollup: DataFrame) -> DataFrame:
         (total - previous).alias("delta_kwh"),
         guarded_ratio(total, previous).alias("delta_ratio"),
     )
+
+
+def hourly_from_rollup(rollup: DataFrame) -> DataFrame:
+    """The hourly profile from the hours' sums and counts.
+
+    Raises on rows of a rollup that was written without them: refresh it once.
+    """
+    old = F.raise_error(F.lit("the rollup has days without hour columns; run refresh_rollup() for them"))
+    counts = F.when(F.col("hour_counts").isNull(), old.cast("array<bigint>")).otherwise(F.col("hour_counts"))
+    day = F.col("reading_date")
+    hours = rollup.where("reading_count > 0").select(
+        MP, iso_weekday(day).alias("reading_weekday"), weekday_label(day).alias("reading_weekday_label"), "hour_kwh", F.posexplode(counts).alias("hour", "n")
+    )
+    hours = hours.where("n > 0").select(MP, F.col("hour").cast("bigint").alias("reading_hour"), "reading_weekday", "reading_weekday_label", F.get("hour_kwh", F.col("hour")).alias("kwh"), "n")
+    return hours.groupBy(MP, "reading_hour", "reading_weekday", "reading_weekday_label").agg((F.sum("kwh") / F.sum("n")).alias("avg_kwh"))
