@@ -54,3 +54,13 @@ def test_ids_of_any_type_and_copies_of_one_id(spark):
     assert [r[0] for r in got] == [None] * 2 + ["a"] * 3 + ["b"] + ["z"] * 50
     assert [r[1] for r in got] == [sum(r[2] for r in got[:i]) for i in range(len(got))]
     assert got[2][2] == 1  # the null text of "a" comes first
+
+
+@pytest.mark.parametrize("width", range(33))
+def test_every_width_round_trips(width):
+    rng = np.random.default_rng(width)
+    ids = rng.integers(0, 2**width, 3000, dtype=np.uint64).astype(np.uint32)
+    ids[::97] = rng.integers(0, 2**32, len(ids[::97]), dtype=np.uint64).astype(np.uint32)
+    packed = token_files.pack(ids)
+    assert (token_files.unpack(packed) == ids).all()
+    assert len(packed) < 3000 * (width + 4) / 8 + 12 * (6 * 31 + 32) + 100

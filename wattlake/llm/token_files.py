@@ -9,7 +9,9 @@ tasks need no care.  A segment's ``blocks`` are the file format proper:
 * a block holds ``BLOCK`` ids (the last one fewer): its minimum, the width in bits and the number
   of exceptions; the differences to the minimum, packed at that width, which
   the ``PACKED_SHARE`` percentile of the differences fits; then position and
-  whole difference of each exception.
+  whole difference of each exception.  Widths are even, beyond 16 multiples of
+  4: four (two) differences fill the low bytes of a little-endian 64-bit word,
+  and only these bytes are written.
 
 ``part`` and ``seq`` order the segments; ``before`` counts the ids of the part
 before the segment, so a reader only adds what earlier parts hold.
@@ -44,6 +46,35 @@ SEGMENT_IDS = 1 << 16
 SCHEMA = "part int, seq int, before long, n_ids long, doc_ids array<string>, lengths array<int>, blocks binary"
 
 
+def _per_word(width: int) -> int:
+    return 4 if width <= 16 else 2
+
+
+def _packed(values: np.ndarray, width: int) -> np.ndarray:
+    """The bytes (lines) of ``values`` (lines of BLOCK 64-bit numbers) at ``width``."""
+    per = _per_word(width)
+    parts = values.reshape(len(values), -1, per)
+    words = parts[:, :, 0].copy()
+    for i in range(1, per):
+        words |= parts[:, :, i] << np.uint64(i * width)
+    raw = words.astype("<u8").view(np.uint8).reshape(len(values), BLOCK // per, 8)
+    return np.ascontiguousarray(raw[:, :, : per * width // 8]).reshape(len(values), -1)
+
+
+def _unpacked(raw: np.ndarray, width: int) -> np.ndarray:
+    """What ``_packed`` was given, as 32-bit numbers."""
+    if not width:
+        return np.zeros((len(raw), BLOCK), np.uint32)
+    per = _per_word(width)
+    words = np.zeros((len(raw), BLOCK // per, 8), np.uint8)
+    words[:, :, : per * width // 8] = raw.reshape(len(raw), BLOCK // per, -1)
+    words = words.reshape(len(raw), -1).view("<u8")
+    mask, out = np.uint64((1 << width) - 1), np.empty((len(raw), BLOCK // per, per), np.uint32)
+    for i in range(per):
+        out[:, :, i] = (words >> np.uint64(i * width)) & mask
+    return out.reshape(len(raw), BLOCK)
+
+
 def pack(ids: np.ndarray) -> bytes:
     """The blocks of ``ids`` (32-bit unsigned)."""
     n_blocks = -(-len(ids) // BLOCK)
@@ -57,17 +88,19 @@ def pack(ids: np.ndarray) -> bytes:
     at = int(np.ceil(PACKED_SHARE * BLOCK)) - 1
     fits = np.partition(grid, at, axis=1)[:, at] if n_blocks else least
     widths = np.ceil(np.log2(fits.astype(np.float64) + 1)).astype(int)
+    widths = np.where(widths <= 16, -(-widths // 2) * 2, -(-widths // 4) * 4)
     out: list[bytes] = [b""] * n_blocks
     for width in np.unique(widths).tolist():
         rows = np.flatnonzero(widths == width)
-        some = grid[rows]
-        low = some & np.uint32((1 << width) - 1)
-        bits = (low[:, :, None] >> np.arange(width, dtype=np.uint32)).astype(np.uint8) & 1
-        packed = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
-        for row, values, body in zip(rows.tolist(), some, packed):
-            over = np.flatnonzero(values >> np.uint32(width)) if width < 32 else np.zeros(0, int)
-            head = np.array([least[row], width, len(over)], "<u4").tobytes()
-            out[row] = head + body.tobytes() + over.astype("<u2").tobytes() + values[over].astype("<u4").tobytes()
+        some = grid[rows].astype(np.uint64)
+        packed = _packed(some & np.uint64((1 << width) - 1), width)
+        line, place = np.nonzero(some >> np.uint64(width))
+        over = some[line, place].astype("<u4")
+        place, ends = place.astype("<u2"), np.searchsorted(line, np.arange(len(rows) + 1))
+        for i, row in enumerate(rows.tolist()):
+            a, b = ends[i], ends[i + 1]
+            head = np.array([least[row], width, b - a], "<u4").tobytes()
+            out[row] = head + packed[i].tobytes() + place[a:b].tobytes() + over[a:b].tobytes()
     starts = np.cumsum([0, *map(len, out)]).astype("<u4")
     return np.array([len(ids), n_blocks], "<u4").tobytes() + starts.tobytes() + b"".join(out)
 
@@ -75,20 +108,17 @@ def pack(ids: np.ndarray) -> bytes:
 def unpack(data: bytes) -> np.ndarray:
     """The ids that ``pack`` was given."""
     n, n_blocks = np.frombuffer(data, "<u4", 2).tolist()
-    base = 8 + 4 * (n_blocks + 1)
-    starts = np.frombuffer(data, "<u4", n_blocks + 1, 8).tolist()
+    raw = np.frombuffer(data, np.uint8)
+    starts = np.frombuffer(data, "<u4", n_blocks + 1, 8).astype(np.int64)[:-1] + 8 + 4 * (n_blocks + 1)
+    heads = raw[starts[:, None] + np.arange(12)].view("<u4") if n_blocks else np.zeros((0, 3), np.uint32)
     out = np.empty((n_blocks, BLOCK), np.uint32)
-    for i in range(n_blocks):
-        at = base + starts[i]
-        least, width, n_over = np.frombuffer(data, "<u4", 3, at).tolist()
-        at += 12
-        size = BLOCK * width // 8
-        bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), bitorder="little").reshape(BLOCK, width)
-        values = bits.astype(np.uint32) @ (np.uint32(1) << np.arange(width, dtype=np.uint32)) if width else np.zeros(BLOCK, np.uint32)
-        if n_over:
-            over = np.frombuffer(data, "<u2", n_over, at + size)
-            values[over] = np.frombuffer(data, "<u4", n_over, at + size + 2 * n_over)
-        out[i] = values + np.uint32(least)
+    for width in np.unique(heads[:, 1]).tolist():
+        rows, size = np.flatnonzero(heads[:, 1] == width), BLOCK * width // 8
+        values = _unpacked(raw[starts[rows][:, None] + 12 + np.arange(size)], width)
+        for i in np.flatnonzero(heads[rows, 2]).tolist():
+            at, n_over = int(starts[rows[i]]) + 12 + size, int(heads[rows[i], 2])
+            values[i, np.frombuffer(data, "<u2", n_over, at)] = np.frombuffer(data, "<u4", n_over, at + 2 * n_over)
+        out[rows] = values + heads[rows, 0][:, None]
     return out.reshape(-1)[:n]
 
 
