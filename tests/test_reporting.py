@@ -3,7 +3,6 @@
 import uuid
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests.conftest import reading
 from tests.test_manifest import DAYS, fleet, pruned
