@@ -364,8 +364,8 @@ class Counting:
 def count_tokens(docs: DataFrame, tokenizer_path: str, name: str = "n_tokens") -> DataFrame:
     """``docs`` with the number of tokens of ``text`` in column ``name`` (long)."""
     sc = docs.sparkSession.sparkContext
-    tokenizer = sc.broadcast(load_tokenizer(tokenizer_path))
-    merger = Merger(tokenizer.value)
+    data = load_tokenizer(tokenizer_path)
+    tokenizer, merger = sc.broadcast(data), Merger(data)
     frequent = sc.broadcast({p: len(merger.ids(p.encode())) for p in frequent_pretokens(docs, tokenizer)})
     run = uuid.uuid4().hex
 
@@ -544,9 +544,8 @@ class Encoding:
         return b"".join(map(self.tokens.__getitem__, ids)).decode("utf-8", "replace")
 
 
-def make_lexicon(docs: DataFrame, tokenizer) -> str:
+def make_lexicon(docs: DataFrame, tokenizer, merger: Merger) -> str:
     """Compile the frequent pre-tokens of ``docs``; the name of the file on the executors."""
-    merger = Merger(tokenizer.value)
     words = {w: merger.ids(w) for w in (p.encode("utf-8") for p in frequent_pretokens(docs, tokenizer))}
     return share_file(docs.sparkSession, compile_lexicon(words), "lexicon")
 
@@ -610,8 +609,10 @@ def _digests(encoding: Encoding, texts: list[str | None]) -> list[pa.Array]:
 
 def _with_encoding(docs: DataFrame, tokenizer_path: str, fields: str, made: Callable, columns: list[str] | None) -> DataFrame:
     """``made`` turns an encoder and some texts into the columns ``fields``; few rows at a time leave a task's memory small."""
-    tokenizer = docs.sparkSession.sparkContext.broadcast(load_tokenizer(tokenizer_path))
-    file = make_lexicon(docs, tokenizer)
+    data = load_tokenizer(tokenizer_path)  # the driver reads no copy of it from the broadcast
+    tokenizer = docs.sparkSession.sparkContext.broadcast(data)
+    file = make_lexicon(docs, tokenizer, Merger(data))
+    del data
     new = StructType.fromDDL(fields)
     kept = [c for c in (docs.columns if columns is None else columns) if c.lower() not in {f.lower() for f in new.names}]
     (text,) = fresh(docs, "text_to_encode")
