@@ -51,3 +51,8 @@ def test_empty_table_and_other_columns(spark):
     out = line_dedup(cases.table(spark, []))
     assert out.collect() == []
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "copies", "sketch", "n_lines", "n_deleted_lines"]
+
+
+def test_the_last_plan_does_not_hold_the_joins_of_all_rounds(spark):
+    plan = line_dedup(cases.table(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") <= 4

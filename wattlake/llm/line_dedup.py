@@ -99,7 +99,8 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         if k:
             ranks = stored(_double(ranks, 1 << (k - 1)), f"lines-suffixes{1 << k}")
         named = _named(runs.where(F.col("k") == k), ranks, 1 << k)
-        found = _later_copies(named)
+        # stored round by round: one plan of all rounds' joins takes the driver hundreds of MB
+        found = stored(_later_copies(named), f"lines-later{1 << k}")
         later = found if later is None else later.union(found)
     if later is None:
         later = runs.select("doc", "th", "start", "len")
