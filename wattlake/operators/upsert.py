@@ -45,6 +45,7 @@ from pyspark.sql import types as T
 from wattlake.functions.calendar import ntz_to_instant, utc_date
 from wattlake.schema import DEFAULT_BUCKETS, DEFAULT_LAYOUT, LAYOUTS, PARTITION_COLUMNS, READING_COLUMNS
 from wattlake.session import hadoop_fs, session_conf
+from wattlake.sources.folders import overwrite_folders
 from wattlake.sources.lake import bucket_of, read_lake
 from wattlake.sources.manifest import Manifest, claim_manifest, lake_manifest
 
@@ -84,7 +85,8 @@ def write_partitions(rows: DataFrame, root: str, layout: str = "day", buckets: i
     In the ``meter_day`` layout the work of a write grows with the number of
     folders, not bytes, so AQE must not coalesce the rebalanced partitions
     by size (it would hand thousands of tiny folders to one task); skew
-    splitting stays on.
+    splitting stays on.  On a local or mounted disk ``sources.folders`` writes
+    that layout.
     """
     keys = LAYOUTS[layout]
     spark = rows.sparkSession
@@ -94,11 +96,11 @@ def write_partitions(rows: DataFrame, root: str, layout: str = "day", buckets: i
     with session_conf(spark, settings):
         if layout == "bucket":
             rows = rows.withColumn("bucket", bucket_of(F.col(MP), buckets))
+        dealt = rows.select(*READING_COLUMNS, *keys).hint("rebalance", *keys).sortWithinPartitions(*keys, MP, "timestamp")
+        if layout == "meter_day" and hadoop_fs(spark, root)[0].getScheme() == "file":
+            return overwrite_folders(dealt, root, keys)
         (
-            rows.select(*READING_COLUMNS, *keys)
-            .hint("rebalance", *keys)
-            .sortWithinPartitions(*keys, MP, "timestamp")
-            .write.mode("overwrite")
+            dealt.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("compression", "snappy")
             .partitionBy(*keys)
