@@ -38,6 +38,11 @@ def json_type(v: Column, path: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
 
 
+def is_object(v: Column) -> Column:
+    """Whether ``v`` is a JSON object; unlike ``json_type`` this does not go through all that it holds."""
+    return F.coalesce(F.try_variant_get(v, "$", "struct<>").isNotNull(), F.lit(False))
+
+
 def truthy(v: Column, path: str) -> Column:
     """Python truthiness of the value at ``path``; FALSE when it is absent.
 

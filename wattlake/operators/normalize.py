@@ -34,6 +34,7 @@ from wattlake.functions.parsing import (
     add_hours,
     float_or_default,
     int_or_default,
+    is_object,
     json_type,
     key_missing,
     parse_instant,
@@ -135,7 +136,7 @@ def _points(docs: DataFrame, keep: list[str], tracked: DataFrame | None) -> Data
         text_or_default(pt, QUALITY, "").alias("quality"),
         # Defaults apply to keys missing from an object; a point that is not
         # an object at all (a bare number, a list) is malformed.
-        F.coalesce(F.schema_of_variant(pt).startswith("OBJECT"), F.lit(False)).alias("is_object"),
+        is_object(pt).alias("is_object"),
         F.to_json(pt).alias("point_json"),
     )
 
@@ -194,29 +195,34 @@ def usable(value: Column) -> Column:
 
 def usable_document(doc: Column) -> Column:
     """``usable`` of a parsed response (null: no JSON)."""
-    kind = json_type(doc, RESULTS)
-    listed = F.forall(
-        F.coalesce(F.try_variant_get(doc, RESULTS, "array<variant>"), F.array().cast("array<variant>")),
-        lambda r: F.coalesce(F.schema_of_variant(r).startswith("OBJECT"), F.lit(False)),
-    )
+    kind = json_type(doc, RESULTS)  # of what is no list only: it goes through all that a value holds
+    results = F.try_variant_get(doc, RESULTS, "array<variant>")
     result_ok = (
         F.when(key_missing(doc, RESULTS), F.lit(True))
-        .when(kind.startswith("ARRAY"), listed)
+        .when(results.isNotNull(), F.forall(results, is_object))
         .when(kind == "STRING", F.try_variant_get(doc, RESULTS, "string") == "")
         .otherwise(kind == "OBJECT<>")
     )
-    return F.coalesce(F.schema_of_variant(doc).startswith("OBJECT") & result_ok, F.lit(False))
+    return F.coalesce(is_object(doc) & result_ok, F.lit(False))
 
 
-def latest_response(readings: DataFrame, order: str) -> DataFrame:
+def latest_response(readings: DataFrame, order: str, places: DataFrame | None = None) -> DataFrame:
     """Per (meter, timestamp), all rows of the response that comes last by ``order``; drops ``order``.
 
+    ``places``: (``order``, ``response_order``) of all responses, where ``order`` is only a number that
+    tells them apart.  Rows then carry that number, and the order is looked up for the hours that
+    several responses bring.
+
     Responses are applied one after the other: a later one replaces what an
     earlier one brought for the same hour, while duplicates inside one
     response stay.
     """
     hours = readings.groupBy(MP, "timestamp").agg(F.max(order).alias("last_order"), F.min(order).alias("first_order"))
     contested = hours.where(F.col("first_order") < F.col("last_order")).select(MP, "timestamp", "last_order")
+    if places is not None:
+        rivals = readings.join(contested, [MP, "timestamp"], "left_semi").select(MP, "timestamp", order).distinct()
+        ranked = rivals.join(places.select(order, "response_order"), order)
+        contested = ranked.groupBy(MP, "timestamp").agg(F.max_by(order, "response_order").alias("last_order"))
     # mostly few or none: Spark broadcasts them once it has measured them
     both = readings.join(contested, [MP, "timestamp"], "left")
     kept = both.where(F.col("last_order").isNull() | (F.col(order) == F.col("last_order")))

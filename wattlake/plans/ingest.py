@@ -101,17 +101,20 @@ def run_ingest(
     if filter_to_plan:
         docs = answering_documents(docs, plan)
     # Parsed once; text is kept only of what is put aside whole.
-    docs = docs.withColumn("doc", F.try_parse_json("value"))
+    docs = docs.withColumn("response", F.col("response_order.line")).withColumn("doc", F.try_parse_json("value"))
     docs = docs.withColumn("parsed", usable_document(F.col("doc"))).withColumn("value", F.when(~F.col("parsed"), F.col("value")))
     docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        readings, rejects = normalize_responses(docs.where("parsed"), tracked=tracked, as_of=ingested_at, keep=["response_order"])
-        readings = latest_response(readings, "response_order")
-        written, days = upsert_readings_days(spark, readings, lake_root)
+        readings, rejects = normalize_responses(docs.where("parsed"), tracked=tracked, as_of=ingested_at, keep=["response"])
+        readings = readings.persist(StorageLevel.MEMORY_AND_DISK)  # looked at twice or more for the latest response
+        try:
+            written, days = upsert_readings_days(spark, latest_response(readings, "response", docs), lake_root)
+        finally:
+            readings.unpersist()
         if rollup_root:
             refresh_rollup(spark, lake_root, rollup_root, days)
         if rejects_root:
-            write_rejects(docs, rejects.drop("response_order"), f"{rejects_root}/run_date={as_of}")
+            write_rejects(docs, rejects.drop("response"), f"{rejects_root}/run_date={as_of}")
         landed = docs.select(F.col("metering_point").alias(MP), "chunk_from", "chunk_to", "parsed")
         outcomes = chunk_outcomes(plan, landed)
         version = write_state(spark, advance_state(state, outcomes, strict), state_root, expected=version)

@@ -34,15 +34,14 @@ def landed_at() -> Column:
     return F.struct(meta["file_modification_time"], meta["file_path"], meta["file_block_start"]).alias("landed_at")
 
 
-def response_order(lines: bool = True) -> Column:
+def response_order() -> Column:
     """Orders the documents of one read: ``landed_at``, then the line.
 
     To be taken straight from the scan, before rows are moved: there, the ids
-    of a file's block rise with its lines.  With one document a file
-    (``lines`` false) there is nothing to count.
+    of a file's block rise with its lines.  ``line`` alone tells the documents
+    of one read apart, but says nothing of their order.
     """
-    line = F.monotonically_increasing_id() if lines else F.lit(0).cast("long")
-    return F.struct("landed_at", line.alias("line"))
+    return F.struct("landed_at", F.monotonically_increasing_id().alias("line"))
 
 
 def _keyed_lines(df: DataFrame) -> DataFrame:
@@ -80,7 +79,7 @@ def read_responses(
         empty = empty.withColumn("source_file", F.lit(None).cast("string")).withColumn(
             "landed_at", F.struct(F.lit(None).cast("timestamp").alias("file_modification_time"))
         )
-        return empty.withColumn("response_order", response_order(False))
+        return empty.withColumn("response_order", response_order())
     if landing == "lines":
         return _keyed_lines(spark.read.text(root)).withColumn("response_order", response_order())
     reader = spark.read
@@ -89,7 +88,7 @@ def read_responses(
     # text() sets wholetext itself (default False), so it is passed here.
     df = reader.text(root, wholetext=whole_files)
     df = df.withColumn("source_file", F.col("_metadata.file_path")).withColumn("landed_at", landed_at())
-    return df.withColumn("response_order", response_order(lines=not whole_files))
+    return df.withColumn("response_order", response_order())
 
 
 def stream_responses(

@@ -66,13 +66,18 @@ def start_stream_ingest(
         if path_exists(spark_, entry):
             return  # a replay of a batch whose lake, rollup and rejects are all written
         # the order is taken from the scan; each response is parsed once
-        batch = batch.withColumn("response_order", response_order()).withColumn("doc", F.try_parse_json("value"))
+        batch = batch.withColumn("response_order", response_order()).withColumn("response", F.col("response_order.line"))
+        batch = batch.withColumn("doc", F.try_parse_json("value"))
         batch = batch.withColumn("parsed", usable_document(F.col("doc"))).withColumn("value", F.when(~F.col("parsed"), F.col("value")))
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good = batch.where("parsed")
-            readings, rejects = normalize_responses(good, tracked=tracked, as_of=as_of, keep=["response_order"])
-            _, days = upsert_readings_days(spark_, latest_response(readings, "response_order"), lake_root)
+            readings, rejects = normalize_responses(good, tracked=tracked, as_of=as_of, keep=["response"])
+            readings = readings.persist(StorageLevel.MEMORY_AND_DISK)  # looked at twice or more for the latest response
+            try:
+                _, days = upsert_readings_days(spark_, latest_response(readings, "response", good), lake_root)
+            finally:
+                readings.unpersist()
             if rollup_root:
                 refresh_rollup(spark_, lake_root, rollup_root, days)
             if rejects_root:
