@@ -33,7 +33,7 @@ MIN_WORDS = 20
 MAX_REPEATED = 30  # per cent of the words
 WINDOW = 8
 SPACE_RUN = r"[\x20\x09-\x0D]+"
-SYMBOLS = "#*$%&|<>"
+SYMBOL = r"[#*$%&|<>]"
 TOKEN = r"\w+|[^\w\s]+"
 
 
@@ -86,14 +86,16 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
 
 
 def base_columns(text: Column) -> dict[str, Column]:
-    """word_chars, n_symbols, n_dup_lines and, in ``of_words``, n_words and n_repeat_words of ``text``, as longs."""
+    """n_symbols, n_dup_lines and, in ``of_words``, n_words, word_chars and n_repeat_words of ``text``, as longs."""
     text = F.coalesce(text, F.lit(""))
-    of_words = _let(_words(text), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words")))
-    lines = F.filter(F.split(text, "\n"), lambda line: F.translate(line, SPACES, "") != "")
+    # translate() looks every character up in a map, so words are joined, symbols matched and lines trimmed instead
+    of_words = _let(_words(text), lambda w: F.struct(
+        F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"), repeated_words(w).alias("n_repeat_words")
+    ))
+    lines = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(SPACES)) != "")
     return {
         "of_words": of_words,
-        "word_chars": F.length(F.translate(text, SPACES, "")).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
+        "n_symbols": F.regexp_count(text, F.lit(SYMBOL)).cast("long"),
         "n_dup_lines": _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
     }
 
@@ -102,11 +104,14 @@ def _buckets(text: Column, bits: int) -> Column:
     """The buckets of all tokens and token pairs of ``text``."""
     tokens = F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda t: F.xxhash64(t))
 
+    def bucket(h: Column) -> Column:
+        return F.shiftrightunsigned(h, 64 - bits).cast("int")
+
     def both(h: Column) -> Column:
         # the first token has nothing before it: a null, which the hash passes over
-        return F.concat(h, F.transform(h, lambda x, i: F.xxhash64(F.get(h, i - 1), x, F.lit(2))))
+        return F.concat(F.transform(h, bucket), F.transform(h, lambda x, i: bucket(F.xxhash64(F.get(h, i - 1), x, F.lit(2)))))
 
-    return F.transform(_let(tokens, both), lambda x: F.shiftrightunsigned(x, 64 - bits).cast("int"))
+    return _let(tokens, both)
 
 
 def weights(docs: DataFrame, trusted: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
@@ -152,7 +157,7 @@ def judge(docs: DataFrame, labels: DataFrame, min_score: float = MIN_SCORE) -> D
 
     score = F.coalesce(_let(_buckets(F.col("text"), BUCKET_BITS), mean), F.lit(0.0))
     out = docs.select("doc_id", "text", weight_array(table).alias("weights")).withColumns(base_columns(F.col("text")) | {"score": score}).drop("text", "weights")
-    out = out.select("doc_id", "of_words.*", "word_chars", "n_symbols", "n_dup_lines", "score")
+    out = out.select("doc_id", "of_words.*", "n_symbols", "n_dup_lines", "score")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     out = out.withColumn("base_failed", failed)
     return out.select("doc_id", *names, "base_failed", "score", (~F.col("base_failed") & (F.col("score") >= min_score)).alias("kept"))
