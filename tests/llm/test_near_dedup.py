@@ -1,10 +1,11 @@
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import cases
-from wattlake.llm import near_dedup
+from wattlake.llm import common, near_dedup
 
 
 def shingles(text, n):
@@ -89,3 +90,19 @@ def test_low_thresholds_lose_no_link(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, words=1, threshold=30).collect()}
     assert got == {i: i - i % 2 for i in range(40)}
+
+
+def test_tasks_hold_few_texts_and_no_other_operators_memory(spark):
+    batch = pa.RecordBatch.from_pydict({"doc_id": [str(i) for i in range(2 * near_dedup.SLICE + 1)]})
+    parts = list(near_dedup.slices([batch, batch.slice(0, 0)]))
+    assert [p.num_rows for p in parts] == [near_dedup.SLICE, near_dedup.SLICE, 1]
+    assert pa.Table.from_batches(parts).to_pydict() == batch.to_pydict()
+    assert common.remembered(("one",), lambda: "kept") == common.remembered(("one",), lambda: "new") == "kept"
+    common.forget()
+    assert common.remembered(("one",), lambda: "new") == "new"
+    common.forget()
+    common.forget()  # nothing to let go of
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    near_dedup.near_duplicates(cases.table(spark, [])).collect()
+    assert spark.conf.get(key) == before

@@ -45,7 +45,6 @@ import mmap
 import re
 import struct
 import sys
-import types
 import unicodedata
 import uuid
 from array import array
@@ -61,7 +60,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from wattlake.llm.common import fresh, stored
+from wattlake.llm.common import forget, fresh, remembered, stored
 from wattlake.session import hadoop_fs, scratch_path
 
 # Fixed value: the pattern of byte-level pre-tokenizers.
@@ -212,15 +211,6 @@ class Tiers(dict):
         return self.rare[key]
 
 
-def remembered(key: tuple, make: Callable):
-    """``make()`` for the first task of this Python worker with ``key``; whatever was remembered before it goes first."""
-    memory = sys.modules.setdefault("wattlake_worker_memory", types.ModuleType("wattlake_worker_memory")).__dict__
-    if memory.get("key") != key:
-        memory.pop("value", None)
-        memory["value"], memory["key"] = make(), key
-    return memory["value"]
-
-
 class Splitter:
     """Cuts texts into units and units into pre-tokens.
 
@@ -297,14 +287,18 @@ def trimmed(counts: Counter, most: int) -> Counter:
     return Counter({k: n - cut for k, n in counts.items() if n > cut})
 
 
-def frequent_pretokens(docs: DataFrame, tokenizer, most: int = FREQUENT) -> list[str]:
+def frequent_pretokens(docs: DataFrame, tokenizer: dict, most: int = FREQUENT) -> list[str]:
     """The most frequent pre-tokens of all texts, by heavy-hitter summaries merged in a tree."""
 
+    # a small part of the tokenizer: tasks that only cut texts hold no merges
+    cutting = docs.sparkSession.sparkContext.broadcast({name: tokenizer[name] for name in ("raw", "special")})
+
     def row(part: int, counts: Counter) -> pd.DataFrame:
         return pd.DataFrame({"part": [part], "pieces": [list(counts)], "counts": [list(counts.values())]})
 
     def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split, units, pieces = Splitter(tokenizer.value), Counter(), Counter()
+        forget()
+        split, units, pieces = Splitter(cutting.value), Counter(), Counter()
         for batch in batches:
             for text in batch["text"]:
                 found = text.replace("\n", " \n").split(" ")
@@ -366,7 +360,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, name: str = "n_tokens") -
     sc = docs.sparkSession.sparkContext
     data = load_tokenizer(tokenizer_path)
     tokenizer, merger = sc.broadcast(data), Merger(data)
-    frequent = sc.broadcast({p: len(merger.ids(p.encode())) for p in frequent_pretokens(docs, tokenizer)})
+    frequent = sc.broadcast({p: len(merger.ids(p.encode())) for p in frequent_pretokens(docs, data)})
     run = uuid.uuid4().hex
 
     @F.pandas_udf("long")
@@ -544,7 +538,7 @@ class Encoding:
         return b"".join(map(self.tokens.__getitem__, ids)).decode("utf-8", "replace")
 
 
-def make_lexicon(docs: DataFrame, tokenizer, merger: Merger) -> str:
+def make_lexicon(docs: DataFrame, tokenizer: dict, merger: Merger) -> str:
     """Compile the frequent pre-tokens of ``docs``; the name of the file on the executors."""
     words = {w: merger.ids(w) for w in (p.encode("utf-8") for p in frequent_pretokens(docs, tokenizer))}
     return share_file(docs.sparkSession, compile_lexicon(words), "lexicon")
@@ -611,7 +605,7 @@ def _with_encoding(docs: DataFrame, tokenizer_path: str, fields: str, made: Call
     """``made`` turns an encoder and some texts into the columns ``fields``; few rows at a time leave a task's memory small."""
     data = load_tokenizer(tokenizer_path)  # the driver reads no copy of it from the broadcast
     tokenizer = docs.sparkSession.sparkContext.broadcast(data)
-    file = make_lexicon(docs, tokenizer, Merger(data))
+    file = make_lexicon(docs, data, Merger(data))
     del data
     new = StructType.fromDDL(fields)
     kept = [c for c in (docs.columns if columns is None else columns) if c.lower() not in {f.lower() for f in new.names}]

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +46,20 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def remembered(key: tuple, make: Callable):
+    """``make()`` for the first task of this Python worker with ``key``; whatever was remembered before it goes first."""
+    memory = sys.modules.setdefault("wattlake_worker_memory", types.ModuleType("wattlake_worker_memory")).__dict__
+    if memory.get("key") != key:
+        memory.pop("value", None)
+        memory["value"], memory["key"] = make(), key
+    return memory["value"]
+
+
+def forget() -> None:
+    """Let go of what ``remembered`` holds: Spark gives the worker of one operator's tasks to the next operator's."""
+    memory = sys.modules.get("wattlake_worker_memory")
+    if memory:
+        memory.__dict__.pop("value", None)
+        memory.__dict__.pop("key", None)

@@ -38,7 +38,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import fresh, stored
+from wattlake.llm.common import forget, fresh, stored
 
 ORDER = 3
 DOCS_PER_LANG = 200
@@ -223,6 +223,7 @@ def identify(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
 
     @F.pandas_udf("lang string, score double, bits double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        forget()
         model = object.__new__(ContextTrees)
         model.__dict__ = trees.value
         for texts in batches:

@@ -49,12 +49,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import stored
+from wattlake.llm.common import forget, stored
 from wattlake.operators.joins import join_small
+from wattlake.session import session_conf
 
 K = 32  # at least; see ``bounds``
 MISS = 1e-9
@@ -63,7 +65,9 @@ WORDS = 5
 THRESHOLD = 80  # per cent
 RARE = 128  # values of a set that are counted while its lists are paired
 VALUES = 100_000  # of a set that become rows at a time
-VOCABULARY = 500_000  # word hashes a task remembers at most
+VOCABULARY = 100_000  # word hashes a task remembers at most
+BATCH = "4m"  # bytes of texts or sets sent to a Python worker at a time
+SLICE = 256  # rows whose texts and sets a task holds as Python objects at a time
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -99,6 +103,13 @@ class Shingles:
         return x ^ (x >> np.uint64(32))
 
 
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in pieces of at most SLICE, none empty; their buffers are shared, not copied."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def bounds(threshold: int) -> tuple[int, int]:
     """(sketch length k, values shared): pairs at ``threshold`` per cent share fewer with a chance of at most MISS.
 
@@ -125,22 +136,25 @@ def sketches(docs: DataFrame, words: int = WORDS, k: int = K, text_key: str | No
     With ``text_key``, a 64-bit hash of the text comes along under that name.
     """
 
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         shingles = Shingles(words)
-        for batch in batches:
-            rows = []
-            for doc_id, text, *key in zip(*map(batch.get, names)):
+        for batch in slices(batches):
+            n_shingles, whole, least = [], [], []
+            for text in batch.column("text").to_pylist():
                 found = shingles.of(text)
-                whole = xxhash.xxh3_128_digest(found.tobytes())
-                s1, s2 = np.frombuffer(whole, np.int64).tolist()
-                rows.append((doc_id, len(found), s1, s2, found[:k].view(np.int64), *key))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "s1", "s2", "sketch", *keys])
+                n_shingles.append(len(found))
+                whole.append(np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64))
+                least.append(found[:k].copy())  # a view would hold the whole set
+            ends = np.cumsum([0, *map(len, least)], dtype=np.int32)
+            sketch = pa.ListArray.from_arrays(ends, np.concatenate(least).view(np.int64))
+            s1, s2 = np.array(whole).T.copy()
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_shingles, pa.int64()), pa.array(s1), pa.array(s2), sketch, *map(batch.column, keys)], names=["doc_id", "n_shingles", "s1", "s2", "sketch", *keys])
 
     keys = [text_key] if text_key else []
-    names = ["doc_id", "text", *keys]
     schema = "doc_id string, n_shingles long, s1 long, s2 long, sketch array<long>" + "".join(f", {c} long" for c in keys)
     kind = docs.schema["doc_id"].dataType
-    out = docs.select(F.col("doc_id").cast("string"), "text", *[F.xxhash64("text").alias(c) for c in keys]).mapInPandas(run, schema)
+    out = docs.select(F.col("doc_id").cast("string"), "text", *[F.xxhash64("text").alias(c) for c in keys]).mapInArrow(run, schema)
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
@@ -148,14 +162,16 @@ def sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(node, members): the full sets, as 64-bit numbers in order, of the documents in ``wanted``."""
     kind = docs.schema["doc_id"].dataType
 
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         shingles = Shingles(words)
-        for batch in batches:
-            yield pd.DataFrame({"node": batch["doc_id"], "members": [shingles.of(t).tobytes() for t in batch["text"]]})
+        for batch in slices(batches):
+            members = [shingles.of(t).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(members, pa.binary())], names=["node", "members"])
 
     # ids are small beside texts: up to a checked bound they travel, not the texts
     some = join_small(docs, stored(wanted.select(F.col("node").alias("doc_id")).distinct(), "near-wanted"), "doc_id", "left_semi")
-    out = some.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, "node string, members binary")
+    out = some.select(F.col("doc_id").cast("string"), "text").mapInArrow(run, "node string, members binary")
     return out.withColumn("node", F.col("node").cast(kind))
 
 
@@ -300,6 +316,11 @@ def _across(pairs: DataFrame, roots: DataFrame, *more: str) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, text_key: str | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``; with ``text_key``, also a hash of its text."""
+    with session_conf(docs.sparkSession, {"spark.sql.execution.arrow.maxBytesPerBatch": BATCH}):
+        return _near_duplicates(docs, words, threshold, text_key)
+
+
+def _near_duplicates(docs: DataFrame, words: int, threshold: int, text_key: str | None) -> DataFrame:
     rows = stored(sketches(docs, words, bounds(threshold)[0], text_key), "near-sketches")
     named = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = stored(named.groupBy("s1", "s2").agg(F.min("doc_id").alias("node")), "near-classes")

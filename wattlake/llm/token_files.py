@@ -36,7 +36,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from wattlake.llm.bpe import load_tokenizer, remembered, text_encoder
+from wattlake.llm.bpe import load_tokenizer, text_encoder
+from wattlake.llm.common import remembered
 
 END = 0
 BLOCK = 256
