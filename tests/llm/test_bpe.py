@@ -1,11 +1,14 @@
+import gc
 import hashlib
 import random
+import weakref
 from array import array
 
+import numpy as np
 import pytest
 
 from tests.llm import cases
-from wattlake.llm import bpe
+from wattlake.llm import bpe, common
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -86,3 +89,21 @@ def test_queries_equal_the_library(spark, library):
 def test_empty_table(spark):
     assert bpe.count_tokens(cases.table(spark, []), PATH).collect() == []
     assert bpe.round_trip(cases.table(spark, []), PATH).collect() == []
+
+
+def test_a_forgotten_encoder_is_freed_at_once(data):
+    """It and its cache refer to each other, so the worker would keep both while other operators run."""
+    small = bpe.for_tasks(data)
+    make = lambda: bpe.Encoding(small, None)
+    common.forget()
+    gc.disable()
+    try:
+        first = weakref.ref(common.remembered(("first",), make))
+        assert first().decode(np.frombuffer(first().encode("as it was"), np.uint32).tolist()) == "as it was"
+        second = weakref.ref(common.remembered(("second",), make))
+        assert first() is None and second() is not None
+        common.forget()
+        assert second() is None
+    finally:
+        gc.enable()
+        common.forget()

@@ -60,7 +60,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from wattlake.llm.common import forget, fresh, remembered, stored
+from wattlake.llm.common import forget, fresh, remembered, stored, trim
 from wattlake.session import hadoop_fs, scratch_path
 
 # Fixed value: the pattern of byte-level pre-tokenizers.
@@ -114,6 +114,11 @@ def load_tokenizer(path: str) -> dict:
     return data | {"ranked": [*by_byte, *reachable]}
 
 
+def for_tasks(data: dict) -> dict:
+    """The part of ``load_tokenizer``'s answer that tasks need: they merge by ``ranked``, not by pairs."""
+    return {name: data[name] for name in ("raw", "key", "special", "tokens", "ranked")}
+
+
 class Merger:
     """BPE merges of one pre-token by the listed pairs: the lowest rank first, leftmost first."""
 
@@ -359,7 +364,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, name: str = "n_tokens") -
     """``docs`` with the number of tokens of ``text`` in column ``name`` (long)."""
     sc = docs.sparkSession.sparkContext
     data = load_tokenizer(tokenizer_path)
-    tokenizer, merger = sc.broadcast(data), Merger(data)
+    tokenizer, merger = sc.broadcast(for_tasks(data)), Merger(data)
     frequent = sc.broadcast({p: len(merger.ids(p.encode())) for p in frequent_pretokens(docs, data)})
     run = uuid.uuid4().hex
 
@@ -604,7 +609,7 @@ def _digests(encoding: Encoding, texts: list[str | None]) -> list[pa.Array]:
 def _with_encoding(docs: DataFrame, tokenizer_path: str, fields: str, made: Callable, columns: list[str] | None) -> DataFrame:
     """``made`` turns an encoder and some texts into the columns ``fields``; few rows at a time leave a task's memory small."""
     data = load_tokenizer(tokenizer_path)  # the driver reads no copy of it from the broadcast
-    tokenizer = docs.sparkSession.sparkContext.broadcast(data)
+    tokenizer = docs.sparkSession.sparkContext.broadcast(for_tasks(data))
     file = make_lexicon(docs, data, Merger(data))
     del data
     new = StructType.fromDDL(fields)
@@ -619,5 +624,7 @@ def _with_encoding(docs: DataFrame, tokenizer_path: str, fields: str, made: Call
                 part = batch.slice(at, ROWS)
                 found = made(encoding, part.column(len(kept)).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], *found], names=[*kept, *new.names])
+                del part, found
+            trim()
 
     return given.mapInArrow(run, StructType([*given.schema.fields[: len(kept)], *new.fields]))

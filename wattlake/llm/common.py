@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,7 +55,7 @@ def remembered(key: tuple, make: Callable):
     """``make()`` for the first task of this Python worker with ``key``; whatever was remembered before it goes first."""
     memory = sys.modules.setdefault("wattlake_worker_memory", types.ModuleType("wattlake_worker_memory")).__dict__
     if memory.get("key") != key:
-        memory.pop("value", None)
+        forget()
         memory["value"], memory["key"] = make(), key
     return memory["value"]
 
@@ -60,6 +63,15 @@ def remembered(key: tuple, make: Callable):
 def forget() -> None:
     """Let go of what ``remembered`` holds: Spark gives the worker of one operator's tasks to the next operator's."""
     memory = sys.modules.get("wattlake_worker_memory")
-    if memory:
+    if memory and "key" in memory.__dict__:
         memory.__dict__.pop("value", None)
         memory.__dict__.pop("key", None)
+        gc.collect()  # encoders and their caches refer to each other
+    trim()
+
+
+def trim() -> None:
+    """Give freed memory back to the system: Arrow and the C library keep it for this worker, also while it waits."""
+    pa.default_memory_pool().release_unused()
+    if release := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc only
+        release(0)

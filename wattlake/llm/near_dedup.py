@@ -54,7 +54,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import forget, stored
+from wattlake.llm.common import forget, stored, trim
 from wattlake.operators.joins import join_small
 from wattlake.session import session_conf
 
@@ -150,6 +150,7 @@ def sketches(docs: DataFrame, words: int = WORDS, k: int = K, text_key: str | No
             sketch = pa.ListArray.from_arrays(ends, np.concatenate(least).view(np.int64))
             s1, s2 = np.array(whole).T.copy()
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_shingles, pa.int64()), pa.array(s1), pa.array(s2), sketch, *map(batch.column, keys)], names=["doc_id", "n_shingles", "s1", "s2", "sketch", *keys])
+        trim()
 
     keys = [text_key] if text_key else []
     schema = "doc_id string, n_shingles long, s1 long, s2 long, sketch array<long>" + "".join(f", {c} long" for c in keys)
@@ -168,6 +169,7 @@ def sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
         for batch in slices(batches):
             members = [shingles.of(t).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(members, pa.binary())], names=["node", "members"])
+        trim()
 
     # ids are small beside texts: up to a checked bound they travel, not the texts
     some = join_small(docs, stored(wanted.select(F.col("node").alias("doc_id")).distinct(), "near-wanted"), "doc_id", "left_semi")
