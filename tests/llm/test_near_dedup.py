@@ -106,3 +106,10 @@ def test_tasks_hold_few_texts_and_no_other_operators_memory(spark):
     before = spark.conf.get(key)
     near_dedup.near_duplicates(cases.table(spark, [])).collect()
     assert spark.conf.get(key) == before
+
+
+def test_links_of_many_tasks_are_few_files(spark):
+    pairs = spark.range(1000, numPartitions=40).selectExpr("id AS a", "id + 1 AS b")
+    links = near_dedup._links(pairs)
+    assert links.exceptAll(pairs).isEmpty() and pairs.exceptAll(links).isEmpty()
+    assert len(links.inputFiles()) < 8

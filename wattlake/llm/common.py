@@ -17,6 +17,12 @@ from wattlake.session import scratch_path
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = "[^\\x20\\x09-\\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
+#: For intermediate files on a local or mounted disk (other file systems do not look at this).  Without native
+#: libraries, Hadoop's local file systems start a ``chmod`` for each file and folder, the checked one two more for
+#: the checksum file, and until a new process runs its own program all memory of the executor counts for it as well.
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+#: In place of checksum files: those that Parquet keeps in every page.
+CHECKED_PAGES = {"parquet.page.write-checksum.enabled": "true", "parquet.page.verify-checksum.enabled": "true"}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,10 +34,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     This cuts the lineage: later jobs read files that every executor sees, so
     a lost executor costs a task rerun, never the whole computation again.
+    Files have no checksum files beside them; damaged pages end the reading job.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.options(**PLAIN_FILES, **CHECKED_PAGES).parquet(path)
+    return df.sparkSession.read.schema(df.schema).options(**CHECKED_PAGES).parquet(path)
 
 
 def word_count(text: Column) -> Column:

@@ -230,6 +230,11 @@ def _verified(pairs: DataFrame, full: DataFrame, threshold: int) -> DataFrame:
     return both.where(linked("ma", "mb")).select("a", "b")
 
 
+def _links(pairs: DataFrame) -> DataFrame:
+    """The verified pairs, stored: few rows from the many tasks that compare sets, so they are dealt to few files."""
+    return stored(pairs.hint("rebalance"), "near-links")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable, for every node of ``edges`` (a, b).
 
@@ -346,10 +351,10 @@ def _near_duplicates(docs: DataFrame, words: int, threshold: int, text_key: str
     full = stored(sets(docs, wanted, words), "near-sets")
     # one pair for each document first: what is likeliest to be linked
     best = found.groupBy("b").agg(F.max(F.struct(F.col("m") / F.greatest("na", "nb"), "m", "a")).alias("p")).select(F.col("p.a").alias("a"), "b")
-    edges = stored(_verified(best, full, threshold), "near-links")
+    edges = _links(_verified(best, full, threshold))
     roots = components(edges)
     rest = stored(_across(found, roots), "near-rest")
-    edges = stored(edges.union(_verified(rest, full, threshold)), "near-links")
+    edges = _links(edges.union(_verified(rest, full, threshold)))
     roots = components(edges)
     # long lists that still lie in several components
     at = lists.join(centre.select("value"), "value").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -359,7 +364,7 @@ def _near_duplicates(docs: DataFrame, words: int, threshold: int, text_key: str
     more = stored(_estimated(cross, reps, threshold), "near-more")
     if not more.isEmpty():
         wanted = more.select(F.col("a").alias("node")).union(more.select("b")).distinct()
-        edges = stored(edges.union(_verified(more, stored(sets(docs, wanted, words), "near-sets"), threshold)), "near-links")
+        edges = _links(edges.union(_verified(more, stored(sets(docs, wanted, words), "near-sets"), threshold)))
         roots = components(edges)
     # documents -> class -> component
     of_class = classes.join(roots, "node", "left").select(F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.coalesce("root", "node").alias("root"))
