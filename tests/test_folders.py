@@ -4,10 +4,13 @@ import datetime as dt
 import glob
 import os
 
+import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 
 from tests.conftest import UTC, reading
-from wattlake.operators.upsert import upsert_readings, to_lake_rows, write_partitions
+from wattlake.operators import upsert
+from wattlake.operators.upsert import migrate_lake, upsert_readings, to_lake_rows, write_partitions
 from wattlake.schema import READING_COLUMNS
 from wattlake.sources import folders
 from wattlake.sources.lake import read_lake
@@ -71,11 +74,93 @@ def test_a_folder_of_several_batches_is_one_file(spark, make_readings, tmp_path)
 
 
 def test_a_swap_that_is_run_again_finds_what_it_moved(tmp_path):
-    import pyarrow as pa
-
     home, staged = tmp_path / "lake", tmp_path / "staged.parquet"
     staged.write_text("rows")
     batch = pa.RecordBatch.from_pydict({"folder": ["metering_point=a/date=2025-01-01"], "files": [[str(staged)]]})
     for _ in range(2):
         assert [b.column("n").to_pylist() for b in folders._folder_swap(str(home))(iter([batch]))] == [[1]]
     assert (home / "metering_point=a" / "date=2025-01-01" / "staged.parquet").read_text() == "rows"
+
+
+def foreign(root, folder, name="data.parquet", **changed):
+    """Two rows as another writer may leave them; a column that is changed to None is left out."""
+    at = pa.array([T0, T0 + HOUR], pa.timestamp("us", "UTC"))
+    columns = {
+        "metering_point_id": pa.array(["f", "f"]),
+        "timestamp": at,
+        "consumption_value": pa.array([1.5, None]),
+        "quality": pa.array(["A", None]),
+        "unit": pa.array(["kWh", "kWh"]),
+        "ingestion_timestamp": at,
+        "ingestion_date": pa.array([T0.date(), None]),
+    }
+    columns = {k: v for k, v in (columns | changed).items() if v is not None}
+    os.makedirs(f"{root}/{folder}", exist_ok=True)
+    pq.write_table(pa.table(columns), f"{root}/{folder}/{name}")
+
+
+def whole(spark, root):
+    return read_lake(spark, root, layout="meter_day", nanos=False, whole=True)
+
+
+def same_as_sparks_scan(spark, root):
+    ours, theirs = whole(spark, root), read_lake(spark, root, layout="meter_day", nanos=False)
+    assert ours.schema == theirs.schema and ours.inputFiles() == []
+    assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
+    return ours.count()
+
+
+def test_migration_keeps_no_folder_in_the_driver(spark, make_readings, tmp_path, monkeypatch):
+    old, new, written = str(tmp_path / "old"), str(tmp_path / "new"), []
+    upsert_readings(spark, make_readings([reading(m, T0 + n * 9 * HOUR, float(n)) for m in ODD for n in range(4)]), old, layout="meter_day")
+    monkeypatch.setattr(upsert, "write_partitions", lambda rows, *a: (written.append(rows), write_partitions(rows, *a)))
+    migrate_lake(spark, old, new)
+    # Spark's scan has the name of each folder and file in the driver
+    assert [rows.inputFiles() for rows in written] == [[]]
+    a, b = read_lake(spark, old), read_lake(spark, new)
+    columns = [*READING_COLUMNS, "date"]
+    assert b.count() == 4 * len(ODD)
+    assert a.select(columns).exceptAll(b.select(columns)).isEmpty() and b.select(columns).exceptAll(a.select(columns)).isEmpty()
+
+
+def test_tasks_read_what_sparks_scan_reads(spark, make_readings, tmp_path):
+    root, none = str(tmp_path / "lake"), "__HIVE_DEFAULT_PARTITION__"
+    write_partitions(to_lake_rows(make_readings([reading(m, T0 + n * 9 * HOUR, float(n)) for m in ODD for n in range(4)])), root, "meter_day")
+    at, day = pa.array([T0, None]), "date=2025-01-01"
+    foreign(root, f"metering_point=f/{day}")
+    foreign(root, f"metering_point=f/{day}", "part-2", extra=pa.array([1, 2]), unit=None)
+    foreign(root, f"metering_point=0012/date={none}")
+    foreign(root, f"metering_point={none}/{day}", timestamp=at.cast(pa.timestamp("ms", "UTC")), ingestion_timestamp=at.cast(pa.timestamp("us")))
+    foreign(root, f"metering_point=g/{day}", quality=None, Quality=pa.array(["B", "C"]).dictionary_encode(), unit=pa.array(["kWh", "Wh"], pa.large_string()))
+    foreign(root, f"metering_point=h/{day}", consumption_value=pa.array([0.1, None], pa.float32()), quality=pa.nulls(2, pa.string()))
+    foreign(root, f"metering_point=h/{day}", "int", consumption_value=pa.array([3, None], pa.int32()), unit=pa.array([b"x", None]))
+    foreign(root, f"metering_point=h/{day}/below", metering_point_id=pa.array(["other", None]))
+    for hidden in ("_SUCCESS", "_temporary/0/x", ".staging/metering_point=z/x", f"metering_point=f/{day}/.x.crc", f"metering_point=f/{day}/_x", f"metering_point=.z/{day}/empty", "stray"):
+        os.makedirs(os.path.dirname(f"{root}/{hidden}"), exist_ok=True)
+        open(f"{root}/{hidden}", "w").write("" if hidden.endswith("empty") else "no Parquet file")
+    assert same_as_sparks_scan(spark, root) == 4 * len(ODD) + 2 * 8
+
+
+def test_files_with_many_rows_and_folders_with_many_files(spark, tmp_path):
+    root, n = str(tmp_path / "lake"), 25_001
+    many = [T0 + k * dt.timedelta(seconds=1) for k in range(n)]
+    rows = {"metering_point_id": pa.array(["f"] * n), "timestamp": pa.array(many, pa.timestamp("us", "UTC")), "consumption_value": pa.array(range(n)).cast(pa.float64())}
+    foreign(root, "metering_point=f/date=2025-01-01", **rows, quality=None, unit=None, ingestion_timestamp=None, ingestion_date=None)
+    for k in range(250):
+        foreign(root, "metering_point=g/date=2025-01-01", f"part-{k}")
+    assert same_as_sparks_scan(spark, root) == n + 500
+
+
+def test_whole_reads_refuse_what_sparks_scan_refuses(spark, tmp_path):
+    for name, changed, folder in [("long", {"consumption_value": pa.array([1, 2])}, "a"), ("date", {"ingestion_date": pa.array(["2025-01-01", None])}, "a"), ("folder", {}, "a/b=1")]:
+        root = str(tmp_path / name)
+        foreign(root, "metering_point=m/date=2025-01-01")
+        foreign(root, f"metering_point={folder}/date=2025-01-01", **changed)
+        with pytest.raises(Exception, match="is not in a folder|is not read as"):
+            whole(spark, root).collect()
+        with pytest.raises(Exception):
+            read_lake(spark, root, layout="meter_day", nanos=False).select(READING_COLUMNS).collect()
+    os.makedirs(tmp_path / "none" / "metering_point=a")
+    for missing in ("none", "nowhere"):
+        with pytest.raises(FileNotFoundError):
+            whole(spark, str(tmp_path / missing))

@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 from wattlake.functions.calendar import ntz_to_instant, utc_date
 from wattlake.schema import DEFAULT_BUCKETS, DEFAULT_LAYOUT, LAYOUTS, PARTITION_COLUMNS, READING_COLUMNS
 from wattlake.session import hadoop_fs, session_conf
-from wattlake.sources.folders import overwrite_folders
+from wattlake.sources.folders import is_local, overwrite_folders
 from wattlake.sources.lake import bucket_of, read_lake
 from wattlake.sources.manifest import Manifest, claim_manifest, lake_manifest
 
@@ -97,7 +97,7 @@ def write_partitions(rows: DataFrame, root: str, layout: str = "day", buckets: i
         if layout == "bucket":
             rows = rows.withColumn("bucket", bucket_of(F.col(MP), buckets))
         dealt = rows.select(*READING_COLUMNS, *keys).hint("rebalance", *keys).sortWithinPartitions(*keys, MP, "timestamp")
-        if layout == "meter_day" and hadoop_fs(spark, root)[0].getScheme() == "file":
+        if layout == "meter_day" and is_local(spark, root):
             return overwrite_folders(dealt, root, keys)
         (
             dealt.write.mode("overwrite")
@@ -200,7 +200,7 @@ def migrate_lake(spark: SparkSession, source_root: str, target_root: str, layout
     """
     layout = layout or DEFAULT_LAYOUT
     target = claim_manifest(spark, target_root, Manifest(layout, (buckets or DEFAULT_BUCKETS) if layout == "bucket" else 0))
-    lake = read_lake(spark, source_root)
+    lake = read_lake(spark, source_root, whole=True)
     rows = lake.select(*READING_COLUMNS, *PARTITION_COLUMNS).withColumn("date", utc_date(lake, "timestamp"))
     write_partitions(rows, target_root, target.layout, target.buckets)
 

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattlake.functions.calendar import utc_date
-from wattlake.schema import DEFAULT_LAYOUT, READING_COLUMNS, lake_schema
+from wattlake.schema import DEFAULT_LAYOUT, LAYOUTS, READING_COLUMNS, lake_schema
 from wattlake.session import hadoop_fs, path_exists
+from wattlake.sources.folders import has_data_file, is_local, read_folders
 from wattlake.sources.manifest import NANOS_CONF, Manifest, lake_manifest
 
 
@@ -65,6 +66,7 @@ def read_lake(
     layout: str | None = None,
     nanos: bool | None = None,
     manifest: Manifest | None = None,
+    whole: bool = False,
 ) -> DataFrame:
     """All lake rows with the columns ``metering_point`` and ``date`` (and ``bucket``).
 
@@ -77,6 +79,9 @@ def read_lake(
     inspection of all its footers where it has none.  TIMESTAMP(NANOS) columns
     (pandas' default) are read as raw longs and turned into instants, which
     needs a session setting; lakes in microseconds leave the session alone.
+    ``whole`` says that no folder will be pruned: the folders of the
+    ``meter_day`` layout, on a local or mounted disk, are then listed and read by
+    tasks, as Spark's scan would keep all of them in the driver.
     """
     if check and not path_exists(spark, root):
         raise FileNotFoundError(f"Data path does not exist: {root}")
@@ -85,14 +90,18 @@ def read_lake(
     layout = layout or (manifest.layout if manifest else DEFAULT_LAYOUT)
     if nanos is None:
         nanos = bool(manifest) and manifest.unit == "nanos"
+    schema = _nanos_schema(layout) if nanos else lake_schema(layout)
+    in_tasks = whole and layout == "meter_day" and is_local(spark, root)
+    if in_tasks:
+        df = read_folders(spark, root, schema, LAYOUTS[layout])
+    else:
+        if nanos:
+            spark.conf.set(NANOS_CONF, "true")
+        df = spark.read.schema(schema).parquet(root)
     if nanos:
-        spark.conf.set(NANOS_CONF, "true")
-        df = spark.read.schema(_nanos_schema(layout)).parquet(root)
         for c in ("timestamp", "ingestion_timestamp"):
             df = df.withColumn(c, F.timestamp_micros(F.floor(F.col(c) / 1000)))
-    else:
-        df = spark.read.schema(lake_schema(layout)).parquet(root)
-    if check and _first_data_file(spark, root) is None:
+    if check and not (has_data_file(spark, root) if in_tasks else _first_data_file(spark, root)):
         raise FileNotFoundError(f"No Parquet files found under {root}")
     if layout != "meter_day":
         # The meter key lives in the files; expose it under the folder name
