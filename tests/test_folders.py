@@ -14,6 +14,7 @@ from wattlake.operators.upsert import migrate_lake, upsert_readings, to_lake_row
 from wattlake.schema import READING_COLUMNS
 from wattlake.sources import folders
 from wattlake.sources.lake import read_lake
+from wattlake.sources.manifest import NANOS_CONF
 
 T0 = dt.datetime(2025, 1, 1, 10, tzinfo=UTC)
 ODD = ["a", "", "a b", "x/y", "50%", "k=v", "q?*:#[]{}^'\"\\", "tab\there", "\x7f", "."]
@@ -99,12 +100,12 @@ def foreign(root, folder, name="data.parquet", **changed):
     pq.write_table(pa.table(columns), f"{root}/{folder}/{name}")
 
 
-def whole(spark, root):
-    return read_lake(spark, root, layout="meter_day", nanos=False, whole=True)
+def whole(spark, root, nanos=False):
+    return read_lake(spark, root, layout="meter_day", nanos=nanos, whole=True)
 
 
-def same_as_sparks_scan(spark, root):
-    ours, theirs = whole(spark, root), read_lake(spark, root, layout="meter_day", nanos=False)
+def same_as_sparks_scan(spark, root, nanos=False):
+    ours, theirs = whole(spark, root, nanos), read_lake(spark, root, layout="meter_day", nanos=nanos)
     assert ours.schema == theirs.schema and ours.inputFiles() == []
     assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
     return ours.count()
@@ -151,6 +152,18 @@ def test_files_with_many_rows_and_folders_with_many_files(spark, tmp_path):
     assert same_as_sparks_scan(spark, root) == n + 500
 
 
+def test_nanoseconds_are_read_as_sparks_scan_reads_them(spark, tmp_path):
+    root, before = str(tmp_path / "lake"), spark.conf.get(NANOS_CONF)
+    at = pa.array([1_700_000_000_123_456_789, -1_001], pa.timestamp("ns", "UTC"))
+    foreign(root, "metering_point=n/date=2023-11-14", timestamp=at, ingestion_timestamp=pa.array([None, 5_000], pa.timestamp("ns")))
+    try:
+        whole(spark, root, nanos=True).collect()
+        assert spark.conf.get(NANOS_CONF) == before  # tasks need no setting
+        assert same_as_sparks_scan(spark, root, nanos=True) == 2
+    finally:
+        spark.conf.set(NANOS_CONF, before)
+
+
 def test_whole_reads_refuse_what_sparks_scan_refuses(spark, tmp_path):
     for name, changed, folder in [("long", {"consumption_value": pa.array([1, 2])}, "a"), ("date", {"ingestion_date": pa.array(["2025-01-01", None])}, "a"), ("folder", {}, "a/b=1")]:
         root = str(tmp_path / name)
@@ -164,3 +177,6 @@ def test_whole_reads_refuse_what_sparks_scan_refuses(spark, tmp_path):
     for missing in ("none", "nowhere"):
         with pytest.raises(FileNotFoundError):
             whole(spark, str(tmp_path / missing))
+    (tmp_path / "none" / "metering_point=a" / "date=2025-01-01").mkdir()
+    (tmp_path / "none" / "metering_point=a" / "date=2025-01-01" / "empty").write_text("")
+    assert same_as_sparks_scan(spark, str(tmp_path / "none")) == 0

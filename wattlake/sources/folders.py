@@ -152,7 +152,7 @@ def _folder_swap(home: str):
 
 def _walker():
     def walk(folder: str) -> Iterator[tuple[str, int]]:
-        """Files that Spark's scan takes (none that is hidden, in a hidden folder, or empty) and their bytes."""
+        """Files, and their bytes, that are not hidden or in a hidden folder by the rules of Spark's scan."""
         import os
 
         with os.scandir(folder) as entries:
@@ -162,8 +162,8 @@ def _walker():
                     continue
                 if entry.is_dir():
                     yield from walk(entry.path)
-                elif size := entry.stat().st_size:
-                    yield entry.path, size
+                else:
+                    yield entry.path, entry.stat().st_size
 
     return walk
 
@@ -171,13 +171,14 @@ def _walker():
 def _top_folders(home: str):
     def top(batches: Iterator) -> Iterator:
         import os
-        from itertools import batched
+        from itertools import islice
 
         import pyarrow as pa
 
         for _ in batches:
             with os.scandir(home) as entries:
-                for names in batched((e.name for e in entries if "=" in e.name and e.name[0] != "." and e.is_dir()), 10_000):
+                found = (e.name for e in entries if "=" in e.name and e.name[0] != "." and e.is_dir())
+                while names := list(islice(found, 10_000)):
                     yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["folder"])
 
     return top
@@ -190,6 +191,8 @@ def _file_lister(home: str):
         for folder in folders:
             files, size = [], 0
             for file, n in walk(f"{home}/{folder}"):
+                if not n:  # Spark's scan leaves empty files out
+                    continue
                 if files and (len(files) == most_files or size + n > most_bytes):
                     yield files
                     files, size = [], 0
@@ -199,12 +202,13 @@ def _file_lister(home: str):
                 yield files
 
     def listed(batches: Iterator) -> Iterator:
-        from itertools import batched
+        from itertools import islice
 
         import pyarrow as pa
 
         for batch in batches:
-            for rows in batched(groups(batch.column("folder").to_pylist()), 200):
+            found = groups(batch.column("folder").to_pylist())
+            while rows := list(islice(found, 200)):
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.string()))], names=["files"])
 
     return listed
